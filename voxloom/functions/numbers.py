@@ -53,6 +53,14 @@ def unit_hash(*parts: Column | str | int) -> Column:
 
     Built on md5 so that any other engine can reproduce it.
     """
+    return F.conv(F.substring(_digest(*parts), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def hash_rank(*parts: Column | str | int) -> Column:
+    """A repeatable integer of 60 bits to order rows by."""
+    return F.conv(F.substring(_digest(*parts), 1, 15), 16, 10).cast("bigint")
+
+
+def _digest(*parts: Column | str | int) -> Column:
     cols = [p if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import py_round, unit_hash
+from ..functions.numbers import hash_rank, py_round, unit_hash
 from ..functions.text import words
 from .alignment import align_ops, spread
 from .ordering import dense_index
@@ -46,8 +46,9 @@ def overtalk(timed: DataFrame, seed: int = 0, max_overlap: float = 1.0) -> DataF
     files, offset of the second, merged text in order of word starts, total length.
     """
     files = files_of_words(timed).withColumn("_half", unit_hash(F.col("audio_filepath"), seed, "half") < 0.5)
-    order = F.xxhash64("audio_filepath", F.lit(seed))
-    ranked = dense_index(files.withColumn("_order", order), "_order", ["_half"], "_rank", row_bits=44)
+    ordered = files.withColumn("_order", hash_rank(F.col("audio_filepath"), seed, "order"))
+    # Hashes are spread over 60 bits, so 2^20 ranges of 40 bits share the files evenly.
+    ranked = dense_index(ordered, "_order", ["_half"], "_rank", row_bits=40, ties=["audio_filepath"])
     a = ranked.filter("_half").select(
         "_rank", F.col("audio_filepath").alias("first_path"), F.col("length").alias("_la"), F.col("words").alias("_wa")
     )

@@ -45,3 +45,10 @@ def loan_word_scores(
         F.coalesce(F.sum(F.when(~known, F.col("p"))), F.lit(0)).alias("fp"),
         (truth_total - covered).alias("fn"),
     )
+
+
+def loan_word_pairs(truth: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Occurrences of each word on both sides; words of one side only are included."""
+    g = truth.filter("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("in_truth"))
+    p = predicted.filter("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("heard"))
+    return g.join(p, "word", "full").na.fill(0, ["in_truth", "heard"])

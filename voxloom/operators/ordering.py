@@ -14,9 +14,14 @@ _LEVEL_BITS = 20
 
 
 def dense_index(
-    df: DataFrame, order: str = "row_id", group: Sequence[str] = (), name: str = "idx", row_bits: int = _ROW_BITS
+    df: DataFrame,
+    order: str = "row_id",
+    group: Sequence[str] = (),
+    name: str = "idx",
+    row_bits: int = _ROW_BITS,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Number rows 0, 1, 2, … by a unique integer column, within each group or overall.
+    """Number rows 0, 1, 2, … by an integer column, within each group or overall; ``ties`` order equal ids.
 
     Ids are cut into ranges of fixed width, so a range holds a bounded number of rows whatever the data
     looks like and however large a group is. Rows are numbered inside their range and shifted by the
@@ -41,7 +46,7 @@ def dense_index(
         if before is not None:
             shifted = shifted.join(before, group + parent).withColumn("_before", F.col("_before") + F.col("_above"))
         before = shifted.select(*group, levels[k], F.col("_before").alias("_above"))
-    inside = F.row_number().over(Window.partitionBy(*group, levels[0]).orderBy(order))
+    inside = F.row_number().over(Window.partitionBy(*group, levels[0]).orderBy(order, *ties))
     return (
         keyed.withColumn("_at", inside)
         .join(before, group + [levels[0]])

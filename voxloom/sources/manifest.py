@@ -56,7 +56,7 @@ def read_manifest(
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType = TSV) -> DataFrame:
     """Tab-separated table with a header; columns are matched by name through the header."""
-    header = spark.read.csv(path, sep="\t", header=True, quote="\u0000")
+    header = spark.read.csv(path, sep="\t", header=True, escape='"')
     return header.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], file_order().alias("place"))
 
 
