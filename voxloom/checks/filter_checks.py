@@ -66,10 +66,10 @@ def c5(spark, d):
     return v.table(spark, d, "pages").select("page_id", has_extension(F.col("url"), ".html").alias("is_html"))
 
 
-@check("c6_name_parts", "SELECT event_id FROM events WHERE len(string_split(string_split(event_type || '/' || replace(value::VARCHAR, '.', '_'), '/')[-1], '_')) <> 2")
+@check("c6_name_parts", "SELECT page_id FROM pages WHERE len(string_split(string_split(replace(url, '?', '_'), '/')[-1], '_')) <> 2")
 def c6(spark, d):
-    name = F.concat("event_type", F.lit("/"), F.replace(F.col("value").cast("string"), F.lit("."), F.lit("_")))
-    return v.table(spark, d, "events").filter(name_parts_ne(name, 2)).select("event_id")
+    name = F.replace("url", F.lit("?"), F.lit("_"))
+    return v.table(spark, d, "pages").filter(name_parts_ne(name, 2)).select("page_id")
 
 
 @check("c8_label_length", "SELECT o_orderkey, CASE WHEN l.lang <> 'validation' AND n >= 4 THEN 'label_length' ELSE 'kept' END AS outcome FROM (SELECT l_orderkey AS o_orderkey, count(*) AS n, CASE WHEN max(l_returnflag) = 'A' THEN 'train' WHEN max(l_returnflag) = 'N' THEN 'test' ELSE 'validation' END AS lang FROM lineitem GROUP BY 1) l")
@@ -105,10 +105,10 @@ def c13(spark, d):
     return filters.min_segments(tracks).select("id", F.size("segments").cast("bigint").alias("n"))
 
 
-@check("c13_exploded_segments", "SELECT user_id AS id, event_id FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 100)")
+@check("c13_exploded_segments", "SELECT user_id AS id, event_id FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 70)")
 def c13b(spark, d):
     events = v.table(spark, d, "events").select(F.col("user_id").alias("id"), "event_id")
-    return fallback.tracks_with_segments(events, "id", 100)
+    return fallback.tracks_with_segments(events, "id", 70)
 
 
 @check("c14_empty_refs", M + "SELECT row_id, CASE WHEN length(trim(regexp_replace(text, '[a-z .,]', '', 'g'))) <= 1 THEN 'empty_ref' ELSE 'kept' END AS outcome FROM manifest")

@@ -121,7 +121,7 @@ def words(c: Column) -> Column:
 def sentences(c: Column) -> Column:
     """Sentences with their end marks; a line end also closes one."""
     parts = F.regexp_extract_all(c, F.lit("([^.!?。！？\\n]+[.!?。！？]*)"), F.lit(1))
-    return F.filter(F.transform(parts, F.trim), lambda s: s.rlike(r"[^\s.!?。！？]"))
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s.rlike(r"[^\s.!?。！？]"))
 
 
 def strip_tags(c: Column) -> Column:

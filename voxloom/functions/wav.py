@@ -2,47 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HEADER_BYTES = 44
 
 
-def _uint(content: Column, at: int, size: int) -> Column:
-    """Little-endian unsigned integer at a 1-based byte position."""
-    text = F.hex(F.substring(content, at, size))
-    pairs = [F.substring(text, 2 * k + 1, 2) for k in reversed(range(size))]
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def _uint(hexed: Column, at: int, size: int) -> Column:
+    """Little-endian unsigned integer at a 1-based byte position of a hex text."""
+    pairs = [F.substring(hexed, 2 * (at + k) - 1, 2) for k in reversed(range(size))]
     return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
 
 
-def _chunk(content: Column, at: int, name: str) -> Column:
-    return F.substring(content, at, 4) == F.lit(name).cast("binary")
+def _chunk(hexed: Column, at: int, name: str) -> Column:
+    return F.substring(hexed, 2 * at - 1, 8) == name.encode().hex().upper()
 
 
-def pcm_info(content: Column) -> Column:
-    """Struct of format fields; null unless the file has the plain 44-byte PCM header."""
+def _fields(hexed: Column) -> Column:
     plain = (
-        (F.octet_length(content) >= HEADER_BYTES)
-        & _chunk(content, 1, "RIFF")
-        & _chunk(content, 9, "WAVE")
-        & _chunk(content, 13, "fmt ")
-        & (_uint(content, 17, 4) == 16)
-        & (_uint(content, 21, 2) == 1)
-        & _chunk(content, 37, "data")
+        (F.length(hexed) == 2 * HEADER_BYTES)
+        & _chunk(hexed, 1, "RIFF")
+        & _chunk(hexed, 9, "WAVE")
+        & _chunk(hexed, 13, "fmt ")
+        & (_uint(hexed, 17, 4) == 16)
+        & (_uint(hexed, 21, 2) == 1)
+        & _chunk(hexed, 37, "data")
     )
     return F.when(
         plain,
         F.struct(
-            _uint(content, 23, 2).cast("int").alias("channels"),
-            _uint(content, 25, 4).cast("int").alias("sample_rate"),
-            _uint(content, 29, 4).alias("byte_rate"),
-            _uint(content, 33, 2).cast("int").alias("block_align"),
-            _uint(content, 35, 2).cast("int").alias("bits"),
-            _uint(content, 41, 4).alias("data_bytes"),
+            _uint(hexed, 23, 2).cast("int").alias("channels"),
+            _uint(hexed, 25, 4).cast("int").alias("sample_rate"),
+            _uint(hexed, 29, 4).alias("byte_rate"),
+            _uint(hexed, 33, 2).cast("int").alias("block_align"),
+            _uint(hexed, 35, 2).cast("int").alias("bits"),
+            _uint(hexed, 41, 4).alias("data_bytes"),
         ),
     )
 
 
+def pcm_info(content: Column) -> Column:
+    """Struct of format fields; null unless the file has the plain 44-byte PCM header."""
+    return let(F.hex(F.substring(content, 1, HEADER_BYTES)), _fields)
+
+
 def little_endian(value: Column, size: int) -> Column:
     """Hex text of the value's low bytes, lowest first."""
     text = F.lpad(F.hex(value.cast("bigint")), 16, "0")

@@ -39,13 +39,37 @@ def _next_column(match: int, up: int, down: int, full: int) -> tuple[int, int, i
     return level, rise, (level & up) << 1 & full | full & ~(level | shifted), level & shifted
 
 
+def _places(items: Sequence[str]) -> dict[str, int]:
+    """For each distinct item, the bits of the positions it stands at."""
+    where: dict[str, int] = {}
+    for i, item in enumerate(items):
+        where[item] = where.get(item, 0) | 1 << i
+    return where
+
+
+def distance(ref: Sequence[str], hyp: Sequence[str]) -> int:
+    """Edit distance, one column of bits per item of the shorter side."""
+    if len(ref) < len(hyp):
+        ref, hyp = hyp, ref
+    if not hyp:
+        return len(ref)
+    cost, full, last = len(ref), (1 << len(ref)) - 1, 1 << len(ref) - 1
+    where, up, down = _places(ref), full, 0
+    for item in hyp:
+        level, rise, next_up, next_down = _next_column(where.get(item, 0), up, down, full)
+        if rise & last:
+            cost += 1
+        elif level & up & last:
+            cost -= 1
+        up, down = next_up, next_down
+    return cost
+
+
 def walk(ref: Sequence[str], hyp: Sequence[str]) -> Iterator[tuple[str, int, int]]:
     """Moves of the alignment from the end of both sequences: op and the positions it stops at."""
     n, m = len(ref), len(hyp)
     full = (1 << n) - 1
-    where: dict[str, int] = {}
-    for i, word in enumerate(ref):
-        where[word] = where.get(word, 0) | 1 << i
+    where = _places(ref)
     block = max(_BLOCK, isqrt(m))
     starts = []
     up, down = full, 0
@@ -121,7 +145,18 @@ def _udfs():
         kind = pa.struct([("op", text), ("ref", text), ("hyp", text), ("ref_pos", place), ("hyp_pos", place)])
         return pa.array([trace_ops(a, b) for a, b in zip(_word_lists(ref), _word_lists(hyp))], pa.list_(kind))
 
-    return counts, ops
+    @F.arrow_udf("int")
+    def word_edits(ref: pa.Array, hyp: pa.Array) -> pa.Array:
+        return pa.array(map(distance, _word_lists(ref), _word_lists(hyp)), pa.int32())
+
+    @F.arrow_udf("int")
+    def char_edits(ref: pa.Array, hyp: pa.Array) -> pa.Array:
+        pairs = zip(*(side.to_numpy(zero_copy_only=False).tolist() for side in (ref, hyp)))
+        return pa.array((None if a is None or b is None else distance(a, b) for a, b in pairs), pa.int32())
+
+    # Called nondeterministic so that a filter on the result is not moved, with a second call, below the
+    # repartitioning that spreads the work.
+    return tuple(f.asNondeterministic() for f in (counts, ops, word_edits, char_edits))
 
 
 def align_counts(ref: Column, hyp: Column) -> Column:
@@ -149,28 +184,27 @@ def align(df: DataFrame, ref: str = "ref_words", hyp: str = "hyp_words") -> Data
 
 
 def word_distance(ref: Column, hyp: Column) -> Column:
-    """Word edit distance without a Python worker: each distinct word of the pair becomes one character
-    and the built-in ``levenshtein`` compares the two strings."""
-    known = F.array_distinct(F.concat(ref, hyp))
+    """Edit distance of two word arrays."""
+    return _udfs()[2](ref, hyp)
 
-    def code(word: Column) -> Column:
-        at = F.array_position(known, word) + 0x100
-        # Step over the surrogate range, which holds no characters.
-        return F.lpad(F.hex(F.when(at >= 0xD800, at + 0x800).otherwise(at)), 8, "0")
 
-    def encode(side: Column) -> Column:
-        return F.decode(F.unhex(F.array_join(F.transform(side, code), "")), "UTF-32")
+def char_distance(ref: Column, hyp: Column) -> Column:
+    """Edit distance of two texts in characters.
 
-    return F.levenshtein(encode(ref), encode(hyp))
+    Same value as the built-in ``levenshtein``, whose cost is the product of both lengths; here a text
+    length of work covers 64 characters of the other text at a time.
+    """
+    return _udfs()[3](ref, hyp)
 
 
 def cer(ref: Column, hyp: Column) -> Column:
     """Character error rate of one pair; null for an empty reference."""
-    return F.try_divide(F.levenshtein(ref, hyp), F.length(ref))
+    return F.try_divide(char_distance(ref, hyp).cast("double"), F.length(ref))
 
 
 def confusions(df: DataFrame, k: int | None = None, ref: str = "ref_words", hyp: str = "hyp_words") -> DataFrame:
     """How often each (op, reference word, hypothesis word) occurs; the ``k`` most frequent if asked."""
-    ops = spread(df).select(F.explode(align_ops(F.col(ref), F.col(hyp))).alias("o")).select("o.op", "o.ref", "o.hyp")
+    ops = spread(df).select(align_ops(F.col(ref), F.col(hyp)).alias("ops"))
+    ops = ops.select(F.explode("ops").alias("o")).select("o.op", "o.ref", "o.hyp")
     counted = ops.groupBy("op", "ref", "hyp").agg(F.count("*").alias("n"))
     return counted if k is None else counted.orderBy(F.desc("n"), "op", "ref", "hyp").limit(k)

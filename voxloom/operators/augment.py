@@ -68,7 +68,7 @@ def _mixer():
             out.append(y.astype(np.float32))
         return pa.array(out, pa.list_(pa.float32()))
 
-    return mix
+    return mix.asNondeterministic()
 
 
 def augment_settings(df: DataFrame, key: str, seed: int = 0) -> DataFrame:

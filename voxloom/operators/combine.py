@@ -118,7 +118,8 @@ def word_times(truth: DataFrame, timed: DataFrame, col: str = "text") -> DataFra
         F.coalesce("words", F.array().cast("array<struct<start:double,end:double,pos:int,word:string>>"))
     )
     met = met.withColumn("words", times).withColumn("hyp_words", F.transform("words", lambda w: w["word"]))
-    ops = spread(met).select("audio_filepath", "words", F.explode(align_ops(F.col("ref_words"), F.col("hyp_words"))).alias("o"))
+    ops = spread(met).select("audio_filepath", "words", align_ops(F.col("ref_words"), F.col("hyp_words")).alias("ops"))
+    ops = ops.select("audio_filepath", "words", F.explode("ops").alias("o"))
     slot = F.get(F.col("words"), F.col("o.hyp_pos"))
     return ops.filter("o.ref IS NOT NULL").select(
         "audio_filepath",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import py_round
 from ..functions.paths import natural_key
 from ..functions.text import normalize_basic, space_scripts, strip_punct, tokenize_mixed, words
-from .alignment import align, cer, spread
+from .alignment import align, cer, char_distance, spread
 from .filters import reason_if
 
 
@@ -95,7 +95,7 @@ def micro_cer(pairs: DataFrame, by: str | Sequence[str] = "checkpoint", ref: str
     """Character errors over reference characters, all pairs taken together."""
     by = [by] if isinstance(by, str) else list(by)
     counted = spread(pairs.select(*by, ref, hyp)).select(
-        *by, F.levenshtein(ref, hyp).alias("_errors"), F.length(ref).alias("_chars")
+        *by, char_distance(F.col(ref), F.col(hyp)).alias("_errors"), F.length(ref).alias("_chars")
     )
     return counted.groupBy(*by).agg(F.try_divide(F.sum("_errors"), F.sum("_chars")).alias("cer"))
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import space_scripts, words
+from ..functions.wav import let
+from .alignment import spread
 from .ordering import skew_join
 
 # Fixed value: no word is longer than this.
@@ -45,25 +47,31 @@ def best_split(token: str, counts: dict[str, int], pairs: dict[str, int], total:
         n = counts.get(word)
         return n / total if n else 10.0 / (total * 10 ** len(word))
 
-    # best[end][length of last word] = (score, length of the word before)
+    given: dict[str, dict[str, float]] = {}
+    for pair, n in pairs.items():
+        first, word = pair.split(" ")
+        if first in counts:
+            given.setdefault(word, {})[first] = log10(n / total / alone(first))
+
+    # best[end][length of last word] = (score, length of the word before); top is the best entry of a cell.
     best: list[dict[int, tuple[float, int]]] = [{0: (0.0, 0)}]
+    top = [(0.0, 0)]
     for end in range(1, len(token) + 1):
         cell = {}
         for size in range(1, min(MAX_WORD, end) + 1):
-            word, start = token[end - size : end], end - size
-            plain = log10(alone(word))
-            found = None
-            for before, (score, _) in best[start].items():
-                step, first = plain, token[start - before : start]
-                n = pairs.get(f"{first} {word}") if before and first in counts else None
-                if n:
-                    step = log10(n / total / alone(first))
-                if found is None or score + step > found[0]:
-                    found = (score + step, before)
-            cell[size] = found
+            start = end - size
+            word = token[start:end]
+            plain, after = log10(alone(word)), given.get(word)
+            if after is None:
+                cell[size] = (top[start][0] + plain, top[start][1])
+            else:
+                cell[size] = max(
+                    (score + after.get(token[start - before : start], plain), before)
+                    for before, (score, _) in best[start].items()
+                )
         best.append(cell)
-    out, end = [], len(token)
-    size = max(best[end], key=lambda k: best[end][k][0])
+        top.append(max((score, size) for size, (score, _) in cell.items()))
+    out, end, size = [], len(token), top[-1][1]
     while end:
         out.append(token[end - size : end])
         end, size = end - size, best[end][size][1]
@@ -73,55 +81,49 @@ def best_split(token: str, counts: dict[str, int], pairs: dict[str, int], total:
 @lru_cache(maxsize=1)
 def _splitter():
     @F.arrow_udf("string")
-    def split(token: pa.Array, known: pa.Array, pairs: pa.Array, total: pa.Array) -> pa.Array:
+    def split(token: pa.Array, known: pa.Array, total: pa.Array) -> pa.Array:
         out = []
-        for t, k, p, n in zip(token.to_pylist(), known.to_pylist(), pairs.to_pylist(), total.to_pylist()):
-            counts, both = ({r["w"]: r["n"] for r in side or []} for side in (k, p))
-            out.append(" ".join(best_split(t, counts, both, float(n))))
+        for t, rows, n in zip(token.to_pylist(), known.to_pylist(), total.to_pylist()):
+            found = {row["w"]: row["n"] for row in rows or []}
+            words = {w: k for w, k in found.items() if " " not in w}
+            pairs = {w: k for w, k in found.items() if " " in w}
+            out.append(" ".join(best_split(t, words, pairs, float(n or 1))))
         return pa.array(out, pa.string())
 
-    return split
+    return split.asNondeterministic()
+
 
+def _substrings(token: Column, longest: int) -> Column:
+    """Distinct substrings of up to ``longest`` characters.
+
+    Each start is looked up once and its substrings are cut from there, since finding a place in a string
+    takes as long as the place is far in.
+    """
 
-def _substrings(token: Column) -> Column:
-    """Distinct substrings of word length."""
-    per_start = F.transform(
-        F.sequence(F.lit(1), F.length(token)),
-        lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length(token) - i + 1)), lambda k: F.substr(token, i, k)
-        ),
-    )
-    return F.array_distinct(F.flatten(per_start))
+    def from_start(i: Column) -> Column:
+        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(token) - i + 1))
+        return let(F.substr(token, i, F.lit(longest)), lambda w: F.transform(sizes, lambda k: F.left(w, k)))
+
+    starts = F.sequence(F.lit(1), F.length(token))
+    return F.when(F.length(token) > 0, F.array_distinct(F.flatten(F.transform(starts, lambda i: from_start(i)))))
 
 
 def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """(token, words) for a frame of distinct ``token``; ``counts`` is (word, n), ``pairs`` is (pair, n)."""
-    total = counts.agg(F.sum("n")).scalar()
-    parts = tokens.select("token", F.explode(_substrings(F.col("token"))).alias("word"))
-    hits = parts.join(counts, "word")
-    known = hits.groupBy("token").agg(F.collect_list(F.struct(F.col("word").alias("w"), "n")).alias("known"))
-    joined = tokens.join(known, "token", "left")
-    if pairs is None:
-        both = F.lit(None).cast("array<struct<w:string,n:bigint>>")
-    else:
-        # A pair lies in the token as its two words run together, so it is found by that substring.
-        glued = pairs.withColumn("word", F.replace("pair", F.lit(" "), F.lit("")))
-        wide = tokens.select("token", F.explode(_wide_substrings(F.col("token"))).alias("word"))
-        met = wide.join(glued, "word").groupBy("token")
-        joined = joined.join(met.agg(F.collect_list(F.struct(F.col("pair").alias("w"), "n")).alias("met")), "token", "left")
-        both = F.col("met")
-    return joined.select("token", _splitter()(F.col("token"), F.col("known"), both, total).alias("words"))
-
-
-def _wide_substrings(token: Column) -> Column:
-    """Distinct substrings of two words' length."""
-    per_start = F.transform(
-        F.sequence(F.lit(1), F.length(token) - 1),
-        lambda i: F.transform(
-            F.sequence(F.lit(2), F.least(F.lit(2 * MAX_WORD), F.length(token) - i + 1)), lambda k: F.substr(token, i, k)
-        ),
-    )
-    return F.when(F.length(token) > 1, F.array_distinct(F.flatten(per_start)))
+    """(token, words) for a frame of distinct ``token``; ``counts`` is (word, n), ``pairs`` is (pair, n).
+
+    A pair lies in a token as its two words run together, so words and pairs are found by one join.
+    """
+    known, longest = counts.select(F.col("word").alias("part"), F.col("word").alias("w"), "n"), MAX_WORD
+    if pairs is not None:
+        glued = F.replace("pair", F.lit(" "), F.lit(""))
+        known, longest = known.unionByName(pairs.select(glued.alias("part"), F.col("pair").alias("w"), "n")), 2 * MAX_WORD
+    # A token may be long, so its substrings carry a digest of it; they are many, so tokens are spread first.
+    tokens = spread(tokens.select("token", F.unhex(F.md5("token")).alias("_id")))
+    parts = tokens.select("_id", F.explode(_substrings(F.col("token"), longest)).alias("part"))
+    # Size estimates do not see the explode, so the planner would take the substrings for the small side.
+    hits = parts.join(known.hint("shuffle_hash"), "part").groupBy("_id").agg(F.collect_list(F.struct("w", "n")).alias("known"))
+    joined = tokens.join(hits, "_id", "left").withColumn("total", counts.agg(F.sum("n")).scalar())
+    return spread(joined).select("token", _splitter()(F.col("token"), F.col("known"), F.col("total")).alias("words"))
 
 
 def segment_latin(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import base_name, decode_segment
-from ..functions.wav import HEADER_BYTES, pcm_header, pcm_info
+from ..functions.wav import HEADER_BYTES, let, pcm_header, pcm_info
 
 
 def segment_sources(segments: DataFrame, col: str = "audio_filepath") -> DataFrame:
@@ -25,17 +25,22 @@ def cut_segments(segments: DataFrame, recordings: DataFrame, col: str = "audio_f
     info = pcm_info(F.col("content"))
     tapes = recordings.select(base_name(F.col("path")).alias("source"), "content", info.alias("_info"))
     met = segment_sources(segments, col).join(tapes.filter("_info IS NOT NULL"), "source")
-    rate, align = F.col("_info.sample_rate"), F.col("_info.block_align")
+    return met.withColumn("_cut", let(F.col("_info"), _cut)).select(*segments.columns, "source", "_cut.data_bytes", "_cut.content")
+
+
+def _cut(info: Column) -> Column:
+    rate, align = info["sample_rate"], info["block_align"]
+    frames = (info["data_bytes"] / align).cast("int")
     first = F.round(F.col("seg_start") * rate).cast("int")
-    last = F.least(F.round(F.col("seg_end") * rate).cast("int"), (F.col("_info.data_bytes") / align).cast("int"))
-    n_bytes = F.greatest(last - first, F.lit(0)) * align
-    data = F.substring("content", F.lit(HEADER_BYTES) + first * align + 1, n_bytes)
-    return met.select(
-        *segments.columns,
-        F.col("source"),
-        n_bytes.alias("data_bytes"),
-        F.concat(pcm_header(n_bytes, rate, F.col("_info.channels"), F.col("_info.bits")), data).alias("content"),
-    )
+    span = F.struct(first.alias("first"), F.least(F.round(F.col("seg_end") * rate).cast("int"), frames).alias("last"))
+
+    def piece(s: Column) -> Column:
+        n_bytes = F.greatest(s["last"] - s["first"], F.lit(0)) * align
+        data = F.substring("content", F.lit(HEADER_BYTES) + s["first"] * align + 1, n_bytes)
+        header = let(n_bytes, lambda n: pcm_header(n, rate, info["channels"], info["bits"]))
+        return F.struct(n_bytes.alias("data_bytes"), F.concat(header, data).alias("content"))
+
+    return let(span, piece)
 
 
 def audit_format(df: DataFrame, rate: int = 16000, channels: int = 1, bits: int = 16) -> DataFrame:
