@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import has_extension, name_parts_ne, py_round, route_paths
 from ..functions.text import SPECIAL_CHARACTERS, char_class
 from ..operators import counting, dedupe, durations, existence, fallback, filters
-from ..plans import clean_manifest
+from ..plans import manifest_reason
 from . import views as v
 from .registry import check
 
@@ -20,6 +20,11 @@ def outcome(split, *cols):
     return both.select(*cols, F.col("reason").alias("outcome"))
 
 
+def judged(df, reason, *cols):
+    """The same in one pass, from the reason column itself."""
+    return df.select(*cols, F.coalesce(reason, F.lit("kept")).alias("outcome"))
+
+
 def band_sql(lo, hi, source="manifest", key="row_id", col="duration"):
     return f"SELECT {key}, CASE WHEN {col} > {hi} THEN 'long' WHEN {col} < {lo} THEN 'short' ELSE 'kept' END AS outcome FROM {source}"
 
@@ -53,7 +58,7 @@ SPECIAL = char_class(SPECIAL_CHARACTERS).replace("'", "''")
 
 @check("c3_special_characters", M + f"SELECT row_id, CASE WHEN regexp_matches(text, '{SPECIAL}') THEN 'special_character' ELSE 'kept' END AS outcome FROM manifest")
 def c3(spark, d):
-    return outcome(filters.drop_special_chars(v.manifest(spark, d)), "row_id")
+    return judged(v.manifest(spark, d), filters.special_reason(F.col("text")), "row_id")
 
 
 @check("c4_blank_text", M + "SELECT row_id, CASE WHEN length(replace(text, ' ', '')) < 40 THEN 'blank' ELSE 'kept' END AS outcome FROM manifest")
@@ -224,4 +229,4 @@ def f3(spark, d):
       WHEN regexp_matches(text, '{SPECIAL}') THEN 'special_character' WHEN length(replace(text, ' ', '')) < 1 THEN 'blank' ELSE 'kept' END AS outcome FROM manifest""",
 )
 def p1(spark, d):
-    return outcome(clean_manifest(v.manifest(spark, d), 1, 300), "row_id")
+    return judged(v.manifest(spark, d), manifest_reason(1, 300), "row_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import loan_tokens
 from ..operators import combine, loanwords, scoring
-from ..operators.alignment import align, confusions, word_distance
+from ..operators.alignment import align, confusions, spread, word_distance
 from ..operators.filters import below_rate
 from ..plans import checkpoint_report, sanity_check, score_checkpoints
 from . import views as v
@@ -62,7 +62,7 @@ def pairs(spark, d):
 
 
 def worded(spark, d, words):
-    return pairs(spark, d).select(
+    return spread(pairs(spark, d)).select(
         "checkpoint", "audio_filepath", words(F.col("ref")).alias("ref_words"), words(F.col("hyp")).alias("hyp_words")
     )
 
@@ -103,7 +103,7 @@ def t16(spark, d):
 
 @check("t15_word_distance", walk_sql(SCORING) + f"SELECT {ID}, cost::INTEGER AS distance FROM counts")
 def t15b(spark, d):
-    rows = worded(spark, d, scoring.scoring_words).repartition(8)
+    rows = worded(spark, d, scoring.scoring_words)
     return rows.select("checkpoint", "audio_filepath", word_distance(F.col("ref_words"), F.col("hyp_words")).alias("distance"))
 
 

@@ -7,11 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread_scan
 from ..functions.wav import pcm_bytes, pcm_header
 
 
+# Tables whose rows cost far more to work on than to move.
+TEXT_TABLES = {"documents", "conversations", "pages"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_scan(rows) if name in TEXT_TABLES else rows
 
 
 def scratch(spark: SparkSession) -> str:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,7 +30,17 @@ def char_class(chars: str) -> str:
 
 
 def has_any_char(c: Column, chars: str = SPECIAL_CHARACTERS) -> Column:
-    return c.rlike(char_class(chars))
+    """True if the text holds one of the characters.
+
+    Characters of the first 256 are one bitmap look-up per position; the others, tested one after another
+    by the regular expression, are only looked for in texts that leave that range.
+    """
+    near = "".join(ch for ch in chars if ord(ch) < 256)
+    far = "".join(ch for ch in chars if ord(ch) >= 256)
+    tests = [c.rlike(char_class(near))] if near else []
+    if far:
+        tests.append(c.rlike(r"[^\x00-\xff]") & c.rlike(char_class(far)))
+    return reduce(or_, tests)
 
 
 def strip_punct(c: Column, drop: str = SCORING_PUNCTUATION, folds: dict[str, str] | None = None) -> Column:
@@ -44,7 +55,8 @@ def cut_at(c: Column, mark: str = WIDE_BRACKET) -> Column:
 
 def space_scripts(c: Column) -> Column:
     """One blank wherever Han text touches Latin letters or digits."""
-    spaced = F.regexp_replace(c, r"(?<=\p{IsHan})(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])(?=\p{IsHan})", " ")
+    edges = F.regexp_replace(c, r"(?<=\p{IsHan})(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])(?=\p{IsHan})", " ")
+    spaced = F.when(c.rlike(r"\p{IsHan}"), edges).otherwise(c)
     return F.regexp_replace(spaced, "</?p>", "")
 
 
@@ -98,14 +110,17 @@ def normalize_basic(c: Column, full_nfkc: bool = False) -> Column:
     return F.regexp_replace(x, BLANK + "+", " ")
 
 
+# A token of mixed-script text: letters with the character after them, a character alone, or letters alone.
+_TOKEN = r"([a-z]*[^a-z\s\p{Z}\x1c-\x1f\x85\p{M}\p{S}\p{P}]|[a-z]+)"
+
+
 def tokenize_mixed(c: Column) -> Column:
     """Tokens of a mixed-script text: a Latin letter run with the character after it, else one character.
 
-    A run keeps the non-letter that follows, so ``ok吗`` is one token: space the scripts first.
+    A run keeps the non-letter that follows, so ``ok吗`` is one token: space the scripts first. Marks,
+    symbols and punctuation separate tokens as blanks do.
     """
-    x = F.regexp_replace(F.lower(fold_forms(F.lower(c))), MARKS, " ")
-    x = F.regexp_replace(x, r"([^a-z])", "$1 ")
-    return F.filter(F.split(x, BLANK + "+"), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(fold_forms(c)), F.lit(_TOKEN), F.lit(1))
 
 
 def loan_tokens(tokens: Column) -> Column:

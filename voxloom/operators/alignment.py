@@ -34,9 +34,9 @@ def _next_column(match: int, up: int, down: int, full: int) -> tuple[int, int, i
     results say where the cost equals that of the diagonal cell and where it exceeds the cell to the left.
     """
     level = (((match & up) + up) ^ up | match | down) & full
-    rise = down | full & ~(level | up)
+    rise = down | full ^ (level | up)
     shifted = (rise << 1 | 1) & full
-    return level, rise, (level & up) << 1 & full | full & ~(level | shifted), level & shifted
+    return level, rise, (level & up) << 1 & full | full ^ (level | shifted), level & shifted
 
 
 def _places(items: Sequence[str]) -> dict[str, int]:
@@ -55,13 +55,17 @@ def distance(ref: Sequence[str], hyp: Sequence[str]) -> int:
         return len(ref)
     cost, full, last = len(ref), (1 << len(ref)) - 1, 1 << len(ref) - 1
     where, up, down = _places(ref), full, 0
+    # The column step of above, written out here because this loop is the whole cost.
     for item in hyp:
-        level, rise, next_up, next_down = _next_column(where.get(item, 0), up, down, full)
-        if rise & last:
+        match = where.get(item, 0)
+        level = (((match & up) + up) ^ up | match | down) & full
+        rise, fall = down | full ^ (level | up), level & up
+        if rise >= last:
             cost += 1
-        elif level & up & last:
+        elif fall >= last:
             cost -= 1
-        up, down = next_up, next_down
+        rise = (rise << 1 | 1) & full
+        up, down = fall << 1 & full | full ^ (level | rise), level & rise
     return cost
 
 
@@ -176,8 +180,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def align(df: DataFrame, ref: str = "ref_words", hyp: str = "hyp_words") -> DataFrame:
-    """Add ``cor``, ``sub``, ``ins``, ``del`` and ``ref_len`` to each pair."""
-    counted = spread(df).withColumn("_counts", align_counts(F.col(ref), F.col(hyp)))
+    """Add ``cor``, ``sub``, ``ins``, ``del`` and ``ref_len`` to each pair of word arrays.
+
+    Spread the pairs before their texts are cut into words: raw text is the smaller thing to move.
+    """
+    counted = df.withColumn("_counts", align_counts(F.col(ref), F.col(hyp)))
     return counted.select(
         *df.columns, "_counts.cor", "_counts.sub", "_counts.ins", "_counts.del", F.size(ref).alias("ref_len")
     )
@@ -204,7 +211,7 @@ def cer(ref: Column, hyp: Column) -> Column:
 
 def confusions(df: DataFrame, k: int | None = None, ref: str = "ref_words", hyp: str = "hyp_words") -> DataFrame:
     """How often each (op, reference word, hypothesis word) occurs; the ``k`` most frequent if asked."""
-    ops = spread(df).select(align_ops(F.col(ref), F.col(hyp)).alias("ops"))
+    ops = df.select(align_ops(F.col(ref), F.col(hyp)).alias("ops"))
     ops = ops.select(F.explode("ops").alias("o")).select("o.op", "o.ref", "o.hyp")
     counted = ops.groupBy("op", "ref", "hyp").agg(F.count("*").alias("n"))
     return counted if k is None else counted.orderBy(F.desc("n"), "op", "ref", "hyp").limit(k)

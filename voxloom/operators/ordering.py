@@ -83,18 +83,25 @@ def first_n(df: DataFrame, order: str = "row_id", n: int = 20) -> DataFrame:
 
 
 def skew_join(
-    big: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 32, share: int = 1000
+    big: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    salts: int = 32,
+    share: int = 1000,
+    least: int = 100_000,
 ) -> DataFrame:
     """Join rows with a derived table of one row per key when a few keys may hold most rows.
 
     Adaptive execution splits skewed partitions only where both sides come straight from a shuffle; a table
     made by an aggregate does not. Keys holding more than 1/``share`` of all rows (so fewer than ``share``
-    keys, safe to broadcast) are spread over ``salts`` partitions and their lookup row is repeated.
+    keys, safe to broadcast) and more than ``least`` rows are spread over ``salts`` partitions, and their
+    lookup row is repeated.
     """
     keys = list(keys)
     counts = big.groupBy(*keys).agg(F.count("*").alias("_n"))
-    least = F.greatest(F.lit(100_000), counts.agg(F.sum("_n")).scalar() / share)
-    hot = F.broadcast(counts.filter(F.col("_n") > least).select(*keys, F.lit(True).alias("_hot")))
+    bar = F.greatest(F.lit(least), counts.agg(F.sum("_n")).scalar() / share)
+    hot = F.broadcast(counts.filter(F.col("_n") > bar).select(*keys, F.lit(True).alias("_hot")))
     spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = big.join(hot, keys, "left").withColumn("_salt", spread).drop("_hot")

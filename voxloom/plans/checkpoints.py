@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.paths import natural_key
+from ..operators.alignment import spread
 from ..operators.loanwords import loan_word_scores, loan_words
-from ..operators.scoring import best_checkpoint, macro_scores, pair, score_words, scoring_words
+from ..operators.scoring import macro_scores, pair, score_words, scoring_words
 
 
 def score_checkpoints(refs: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Counts and rates per (checkpoint, file). Both texts are cleaned before the join, the truth once."""
-    truth = refs.select("audio_filepath", "text", scoring_words(F.col("text")).alias("ref_words"))
-    said = predictions.select("checkpoint", "audio_filepath", scoring_words(F.col("hyp")).alias("hyp_words"))
-    return score_words(pair(truth.drop("text"), said))
+    """Counts and rates per (checkpoint, file).
+
+    Raw texts go through the join and are spread over all tasks; cleaning, cutting into words and aligning
+    then share one stage.
+    """
+    pairs = spread(pair(refs.select("audio_filepath", "text"), predictions.select("checkpoint", "audio_filepath", "hyp")))
+    worded = pairs.select(
+        "checkpoint",
+        "audio_filepath",
+        scoring_words(F.col("ref")).alias("ref_words"),
+        scoring_words(F.col("hyp")).alias("hyp_words"),
+    )
+    return score_words(worded).drop("ref_words", "hyp_words")
 
 
 def checkpoint_report(refs: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -23,10 +34,12 @@ def checkpoint_report(refs: DataFrame, predictions: DataFrame) -> DataFrame:
     said = loan_words(
         predictions.select("checkpoint", scoring_words(F.col("hyp")).alias("hyp_words")), "hyp_words", ["checkpoint"]
     )
-    table = macro.join(loan_word_scores(truth, said), "checkpoint", "left")
-    picks = best_checkpoint(macro)
-    return table.select(
+    # One row per checkpoint is left here, so ranking them in one task is nothing.
+    name = natural_key(F.col("checkpoint"))
+    by_cor, by_wer = Window.orderBy(F.desc("avg_cor"), name), Window.orderBy("avg_wer", name)
+    ranked = macro.select(
         "*",
-        (F.col("checkpoint") == picks.select("best_by_cor").scalar()).alias("is_best_cor"),
-        (F.col("checkpoint") == picks.select("best_by_wer").scalar()).alias("is_best_wer"),
+        (F.row_number().over(by_cor) == 1).alias("is_best_cor"),
+        (F.row_number().over(by_wer) == 1).alias("is_best_wer"),
     )
+    return ranked.join(loan_word_scores(truth, said), "checkpoint", "left")

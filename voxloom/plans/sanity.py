@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_basic, words
+from ..operators.alignment import spread
 from ..operators.filters import split_empty_refs
 from ..operators.scoring import score_words
 
@@ -23,7 +24,7 @@ def sanity_check(pairs: DataFrame, threshold: float = 0.5) -> Sanity:
 
     ``error`` is the unrounded word error rate and decides; references of one character or less are set apart.
     """
-    normal = pairs.select(
+    normal = spread(pairs).select(
         "audio_filepath",
         F.trim(normalize_basic(F.col("ref"))).alias("ref"),
         F.trim(normalize_basic(F.col("hyp"))).alias("hyp"),

@@ -36,3 +36,13 @@ def spread_width(df: DataFrame) -> int:
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that the scan cannot split, such as one file of one row group.
+
+    A scan with as many partitions as cores is left alone, so large inputs are never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = len(df.inputFiles())
+    return df if files >= cores or df.rdd.getNumPartitions() >= 4 * cores else df.repartition(cores)
