@@ -23,7 +23,7 @@ def test_bands(spark):
 
 def test_text_filters(spark):
     df = spark.createDataFrame([("a:b",), ("你好",), ("don't",), ("don’t",), ("x-y",), (None,), (" ",), ("[UNK] z",)], "text string")
-    assert rows(filters.drop_special_chars(df).kept) == [(" ",), ("don't",), ("x-y",), ("你好",)]
+    assert {r.text for r in filters.drop_special_chars(df).kept.collect()} == {" ", "don't", "x-y", "你好"}
     assert (None,) not in rows(filters.drop_blank(df).kept) and (" ",) not in rows(filters.drop_blank(df).kept)
     assert ("[UNK] z",) in rows(filters.drop_marker(df).rejects, "text")
     both = filters.drop_marker(df)
@@ -86,7 +86,7 @@ def keyword_loop(texts, words, cap):
                     out.append((at, word))
             if count == cap:
                 break
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 def test_keyword_selection(spark):
@@ -143,7 +143,7 @@ def test_language_fallback(spark):
 
 def test_dense_index_with_hot_group_and_wide_ids(spark):
     random.seed(8)
-    ids = random.sample(range(-(2**62), 2**62), 300) + list(range(700))
+    ids = [random.randrange(-(2**62), 2**62) for _ in range(300)] + list(range(700))
     data = [(i, "hot" if random.random() < 0.5 else f"g{i % 5}") for i in ids]
     df = spark.createDataFrame(data, "row_id bigint, g string").repartition(6)
     want = {i: n for n, i in enumerate(sorted(ids))}

@@ -79,6 +79,7 @@ def keyword_counts(
     """Matches per keyword up to the cap, keywords without any included, and whether they are too few."""
     hits = df.select(F.explode(keyword_hits(F.col(col), keywords)).alias("kw_ord"))
     found = hits.groupBy("kw_ord").agg(F.count("*").alias("n"))
-    listed = df.sparkSession.createDataFrame(list(enumerate(keywords)), "kw_ord int, keyword string")
+    names = F.array(*[F.lit(w) for w in keywords])
+    listed = df.sparkSession.range(1).select(F.posexplode(names).alias("kw_ord", "keyword"))
     n = F.least(F.coalesce("n", F.lit(0)), F.lit(cap))
     return listed.join(found, "kw_ord", "left").select("kw_ord", "keyword", n.alias("n"), (n < floor).alias("small"))

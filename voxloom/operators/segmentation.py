@@ -22,6 +22,9 @@ from .ordering import skew_join
 # Fixed value: no word is longer than this.
 MAX_WORD = 24
 
+# Rows of a vocabulary, each a word or pair of words and a count, that every task may hold.
+SMALL_VOCABULARY = 500_000
+
 
 def word_counts(df: DataFrame, col: str = "text") -> DataFrame:
     """Occurrences of each Latin word in well-spaced text."""
@@ -93,7 +96,7 @@ def _splitter():
     return split.asNondeterministic()
 
 
-def _substrings(token: Column, longest: int) -> Column:
+def _substrings(token: Column, longest: Column) -> Column:
     """Distinct substrings of up to ``longest`` characters.
 
     Each start is looked up once and its substrings are cut from there, since finding a place in a string
@@ -101,8 +104,8 @@ def _substrings(token: Column, longest: int) -> Column:
     """
 
     def from_start(i: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(token) - i + 1))
-        return let(F.substr(token, i, F.lit(longest)), lambda w: F.transform(sizes, lambda k: F.left(w, k)))
+        sizes = F.sequence(F.lit(1), F.least(longest, F.length(token) - i + 1))
+        return let(F.substr(token, i, longest), lambda w: F.transform(sizes, lambda k: F.left(w, k)))
 
     starts = F.sequence(F.lit(1), F.length(token))
     return F.when(F.length(token) > 0, F.array_distinct(F.flatten(F.transform(starts, lambda i: from_start(i)))))
@@ -113,15 +116,20 @@ def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None =
 
     A pair lies in a token as its two words run together, so words and pairs are found by one join.
     """
-    known, longest = counts.select(F.col("word").alias("part"), F.col("word").alias("w"), "n"), MAX_WORD
+    counts = counts.filter(F.length("word") <= MAX_WORD)
+    known = counts.select(F.col("word").alias("part"), F.col("word").alias("w"), "n")
     if pairs is not None:
-        glued = F.replace("pair", F.lit(" "), F.lit(""))
-        known, longest = known.unionByName(pairs.select(glued.alias("part"), F.col("pair").alias("w"), "n")), 2 * MAX_WORD
+        glued = pairs.select(F.replace("pair", F.lit(" "), F.lit("")).alias("part"), F.col("pair").alias("w"), "n")
+        known = known.unionByName(glued.filter(F.length("part") <= 2 * MAX_WORD))
+    longest = known.agg(F.coalesce(F.max(F.length("part")), F.lit(1))).scalar()
     # A token may be long, so its substrings carry a digest of it; they are many, so tokens are spread first.
-    tokens = spread(tokens.select("token", F.unhex(F.md5("token")).alias("_id")))
-    parts = tokens.select("_id", F.explode(_substrings(F.col("token"), longest)).alias("part"))
-    # Size estimates do not see the explode, so the planner would take the substrings for the small side.
-    hits = parts.join(known.hint("shuffle_hash"), "part").groupBy("_id").agg(F.collect_list(F.struct("w", "n")).alias("known"))
+    tokens = spread(tokens.select("token", F.unhex(F.md5("token")).alias("_id"), longest.alias("_longest")))
+    parts = tokens.select("_id", F.explode(_substrings(F.col("token"), F.col("_longest"))).alias("part"))
+    # Size estimates do not see the explode, so left alone the planner takes the substrings for the small
+    # side. A vocabulary that is counted small is broadcast; a larger one is hashed partition by partition.
+    small = known.limit(SMALL_VOCABULARY + 1).count() <= SMALL_VOCABULARY
+    known = F.broadcast(known) if small else known.hint("shuffle_hash")
+    hits = parts.join(known, "part").groupBy("_id").agg(F.collect_list(F.struct("w", "n")).alias("known"))
     joined = tokens.join(hits, "_id", "left").withColumn("total", counts.agg(F.sum("n")).scalar())
     return spread(joined).select("token", _splitter()(F.col("token"), F.col("known"), F.col("total")).alias("words"))
 
