@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A window partition of ``dense_index`` covers at most 2^16 consecutive ids, and a table of
-# partition sizes at most 2^20 entries per parent.
-_ROW_BITS = 16
-_LEVEL_BITS = 20
+# A window partition of ``dense_index`` covers at most 2^18 consecutive ids. Their sizes are summed in
+# windows of at most 2^23 small rows, a number met only when ids are spread over all 64 bits.
+_ROW_BITS = 18
+_LEVEL_BITS = 23
 
 
 def dense_index(

@@ -11,11 +11,10 @@ from functools import lru_cache
 from math import log10
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import space_scripts, words
-from ..functions.wav import let
 from .alignment import spread
 from .ordering import skew_join
 
@@ -46,38 +45,40 @@ def best_split(token: str, counts: dict[str, int], pairs: dict[str, int], total:
     """Most likely words of one token: known words by count, unknown ones ever less likely with length,
     a known pair by its count given the first word."""
 
-    def alone(word: str) -> float:
-        n = counts.get(word)
-        return n / total if n else 10.0 / (total * 10 ** len(word))
-
+    known = {word: log10(n / total) for word, n in counts.items()}
+    unknown = [1.0 - log10(total) - size for size in range(MAX_WORD + 1)]
     given: dict[str, dict[str, float]] = {}
     for pair, n in pairs.items():
         first, word = pair.split(" ")
-        if first in counts:
-            given.setdefault(word, {})[first] = log10(n / total / alone(first))
+        if first in known:
+            given.setdefault(word, {})[first] = log10(n / total) - known[first]
 
-    # best[end][length of last word] = (score, length of the word before); top is the best entry of a cell.
-    best: list[dict[int, tuple[float, int]]] = [{0: (0.0, 0)}]
+    # cells[end][size - 1] = (score of the best split whose last word has that size, size of the word before
+    # it); top is the best entry of a cell with its size.
+    cells: list[list[tuple[float, int]]] = [[]]
     top = [(0.0, 0)]
     for end in range(1, len(token) + 1):
-        cell = {}
+        cell = []
         for size in range(1, min(MAX_WORD, end) + 1):
             start = end - size
             word = token[start:end]
-            plain, after = log10(alone(word)), given.get(word)
-            if after is None:
-                cell[size] = (top[start][0] + plain, top[start][1])
+            score, before = top[start]
+            alone, after = known.get(word, unknown[size]), given.get(word)
+            if after is None or not start:
+                cell.append((score + alone, before))
             else:
-                cell[size] = max(
-                    (score + after.get(token[start - before : start], plain), before)
-                    for before, (score, _) in best[start].items()
+                cell.append(
+                    max(
+                        (so_far + after.get(token[start - k : start], alone), k)
+                        for k, (so_far, _) in enumerate(cells[start], 1)
+                    )
                 )
-        best.append(cell)
-        top.append(max((score, size) for size, (score, _) in cell.items()))
+        cells.append(cell)
+        top.append(max((score, size) for size, (score, _) in enumerate(cell, 1)))
     out, end, size = [], len(token), top[-1][1]
     while end:
         out.append(token[end - size : end])
-        end, size = end - size, best[end][size][1]
+        end, size = end - size, cells[end][size - 1][1]
     return out[::-1]
 
 
@@ -96,19 +97,16 @@ def _splitter():
     return split.asNondeterministic()
 
 
-def _substrings(token: Column, longest: Column) -> Column:
-    """Distinct substrings of up to ``longest`` characters.
+def _substrings(tokens: DataFrame) -> DataFrame:
+    """(_id, part) for every substring of up to ``_longest`` characters.
 
     Each start is looked up once and its substrings are cut from there, since finding a place in a string
     takes as long as the place is far in.
     """
-
-    def from_start(i: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(longest, F.length(token) - i + 1))
-        return let(F.substr(token, i, longest), lambda w: F.transform(sizes, lambda k: F.left(w, k)))
-
-    starts = F.sequence(F.lit(1), F.length(token))
-    return F.when(F.length(token) > 0, F.array_distinct(F.flatten(F.transform(starts, lambda i: from_start(i)))))
+    starts = tokens.select("*", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_at"))
+    cuts = starts.select("_id", F.substr("token", "_at", "_longest").alias("_from"))
+    sized = cuts.select("*", F.explode(F.sequence(F.lit(1), F.length("_from"))).alias("_size"))
+    return sized.select("_id", F.left("_from", "_size").alias("part"))
 
 
 def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
@@ -124,12 +122,12 @@ def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None =
     longest = known.agg(F.coalesce(F.max(F.length("part")), F.lit(1))).scalar()
     # A token may be long, so its substrings carry a digest of it; they are many, so tokens are spread first.
     tokens = spread(tokens.select("token", F.unhex(F.md5("token")).alias("_id"), longest.alias("_longest")))
-    parts = tokens.select("_id", F.explode(_substrings(F.col("token"), F.col("_longest"))).alias("part"))
+    parts = _substrings(tokens.filter("token <> ''"))
     # Size estimates do not see the explode, so left alone the planner takes the substrings for the small
     # side. A vocabulary that is counted small is broadcast; a larger one is hashed partition by partition.
     small = known.limit(SMALL_VOCABULARY + 1).count() <= SMALL_VOCABULARY
     known = F.broadcast(known) if small else known.hint("shuffle_hash")
-    hits = parts.join(known, "part").groupBy("_id").agg(F.collect_list(F.struct("w", "n")).alias("known"))
+    hits = parts.join(known, "part").groupBy("_id").agg(F.collect_set(F.struct("w", "n")).alias("known"))
     joined = tokens.join(hits, "_id", "left").withColumn("total", counts.agg(F.sum("n")).scalar())
     return spread(joined).select("token", _splitter()(F.col("token"), F.col("known"), F.col("total")).alias("words"))
 
