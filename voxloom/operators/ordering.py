@@ -55,6 +55,14 @@ def dense_index(
     )
 
 
+def salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` per row, the same again when a lost task is rerun.
+
+    The partition number keeps exact copies of one row, which hash alike, from all drawing the same salt.
+    """
+    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+
+
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, salts: int = 64
 ) -> DataFrame:
@@ -64,11 +72,10 @@ def top_per_group(
     ``k`` rows from each, so a first round shares it among ``salts`` tasks.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
     part = Window.partitionBy(*keys, "_salt").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
     return (
-        df.withColumn("_salt", salt)
+        df.withColumn("_salt", salt(df, salts))
         .withColumn("_rank", F.row_number().over(part))
         .filter(F.col("_rank") <= k)
         .withColumn("_rank", F.row_number().over(whole))
@@ -102,7 +109,7 @@ def skew_join(
     counts = big.groupBy(*keys).agg(F.count("*").alias("_n"))
     bar = F.greatest(F.lit(least), counts.agg(F.sum("_n")).scalar() / share)
     hot = F.broadcast(counts.filter(F.col("_n") > bar).select(*keys, F.lit(True).alias("_hot")))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(0)
+    spread = F.when(F.col("_hot"), salt(big, salts)).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = big.join(hot, keys, "left").withColumn("_salt", spread).drop("_hot")
     right = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
