@@ -9,6 +9,7 @@ from ..operators import combine, loanwords, scoring
 from ..operators.alignment import align, confusions, spread, word_distance
 from ..operators.filters import below_rate
 from ..plans import checkpoint_report, sanity_check, score_checkpoints
+from ..sources import write_score_report
 from . import views as v
 from .registry import check
 from .text_checks import clean_sql, normal_sql, spaced_sql, tokens_sql
@@ -159,6 +160,18 @@ def e12(spark, d):
     return scoring.best_checkpoint(scoring.macro_scores(score_checkpoints(v.refs(spark, d), v.predictions(spark, d))))
 
 
+@check(
+    "b2_score_report",
+    walk_sql(SCORING) + """SELECT checkpoint, audio_filepath || '  |  WER: ' || format('{:.2f}', format('{:.3f}', cost / n::DOUBLE)::DOUBLE * 100) || '  |  COR: ' || format('{:.2f}', cor / n::DOUBLE * 100)
+      || '  |  DEL: ' || format('{:.2f}', del / n::DOUBLE * 100) || '  |  SUB: ' || format('{:.2f}', sub / n::DOUBLE * 100) || '  |  INS: ' || format('{:.2f}', ins / n::DOUBLE * 100) AS line
+    FROM (SELECT *, """ + ID + """ FROM counts WHERE n > 0)""",
+)
+def b2(spark, d):
+    path = v.scratch(spark)
+    write_score_report(score_checkpoints(v.refs(spark, d), v.predictions(spark, d)).filter("reason IS NULL"), path)
+    return spark.read.schema("line string, checkpoint string").text(f"{path}/text").select("checkpoint", "line")
+
+
 LOAN = f"""g AS (SELECT word, count(*) AS g FROM (SELECT unnest({SCORING('text')}) AS word FROM refs) WHERE regexp_matches(word, '[a-z]') GROUP BY 1),
 p AS (SELECT checkpoint, word, count(*) AS p FROM (SELECT checkpoint, unnest({SCORING('hyp')}) AS word FROM predictions) WHERE regexp_matches(word, '[a-z]') GROUP BY 1, 2)"""
 LOAN_SCORES = """SELECT c.checkpoint, (SELECT coalesce(sum(p), 0) FROM p WHERE p.checkpoint = c.checkpoint AND word IN (SELECT word FROM g))::BIGINT AS tp,

@@ -22,10 +22,12 @@ from ..sources import (
     read_manifest,
     read_splits,
     sanity_manifest,
+    append_step_scores,
     urls_from_ids,
     write_manifest,
     write_shards,
     write_splits,
+    write_subtitles,
 )
 from ..operators.existence import manifest_from_tsv
 from . import views as v
@@ -218,6 +220,33 @@ def b1(spark, d):
     return read_manifest(spark, path).agg(F.count("*").alias("n_read")).select(F.lit(written).alias("n_written"), "n_read")
 
 
+@check(
+    "b3_subtitle_files",
+    v.with_views(v.SEGMENTS) + """SELECT 'vid' || conv_id AS video_id, count(*)::BIGINT AS n, round(sum(lo), 6) AS starts FROM segments GROUP BY 1""",
+)
+def b3(spark, d):
+    path = v.scratch(spark)
+    rows = v.segments(spark, d).select(
+        F.concat(F.lit("vid"), "conv_id").alias("video_id"), "text", F.col("lo").alias("start"), (F.col("hi") - F.col("lo")).alias("duration")
+    )
+    write_subtitles(rows, path)
+    back = spark.read.schema("text string, start double, duration double, video_id string").json(path)
+    return back.groupBy("video_id").agg(F.count("*").alias("n"), F.round(F.sum("start"), 6).alias("starts"))
+
+
+@check(
+    "b4_step_scores",
+    "SELECT step::INTEGER AS step, count(*)::BIGINT AS n FROM (SELECT 1 AS step FROM events WHERE event_type = 'click' UNION ALL SELECT 2 FROM events) GROUP BY 1",
+)
+def b4(spark, d):
+    """The second step is written twice; the second time replaces the first."""
+    path = v.scratch(spark)
+    events = v.table(spark, d, "events").select("event_id", "event_type", "value")
+    for step, rows in ((1, events.filter("event_type = 'click'")), (2, events.filter("event_type = 'view'")), (2, events)):
+        append_step_scores(rows, step, path)
+    return spark.read.parquet(path).groupBy("step").agg(F.count("*").alias("n"))
+
+
 @check(
     "b5_shards",
     v.with_views(v.MANIFEST)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.numbers import py_round
 from ..operators.filters import to_manifest
 from ..operators.sampling import shard
 
@@ -20,7 +21,7 @@ def write_manifest(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 
 def _percent(c: str):
-    return F.format_string("%.2f", F.col(c))
+    return F.format_string("%.2f", py_round(F.col(c), 2))
 
 
 def write_score_report(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
