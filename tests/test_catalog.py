@@ -31,6 +31,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
 def test_query_equals_sql(spark, con, name):
     got = entry.queries()[name](spark, FOLDER)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     want = con.execute(entry.oracle_sql()[name])
     names = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(names)

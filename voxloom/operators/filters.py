@@ -21,9 +21,12 @@ class Split(NamedTuple):
     rejects: DataFrame
 
 
-def split_by(df: DataFrame, reason: Column) -> Split:
+def split_by(df: DataFrame, reason: Column, keep: Column | None = None) -> Split:
+    """Kept rows have no reason. ``keep`` may state a condition every kept row meets in plain comparisons,
+    which, other than a reason, can be pushed into the scan."""
+    kept = df if keep is None else df.filter(keep)
     tagged = df.withColumn("reason", reason)
-    return Split(tagged.filter("reason IS NULL").drop("reason"), tagged.filter("reason IS NOT NULL"))
+    return Split(kept.filter(reason.isNull()), tagged.filter("reason IS NOT NULL"))
 
 
 def reason_if(condition: Column, reason: str) -> Column:
@@ -50,11 +53,16 @@ def band_reason(
     return reason if applies is None else F.when(applies, reason)
 
 
+def inside_band(c: Column, lo: float, hi: float, inclusive: bool = True) -> Column:
+    return (c >= lo) & (c <= hi) if inclusive else (c > lo) & (c < hi)
+
+
 def duration_band(
     df: DataFrame, col: str, lo: float, hi: float, inclusive: bool = True, split: str | None = None
 ) -> Split:
     applies = None if split is None else F.col("split") == split
-    return split_by(df, band_reason(F.col(col), lo, hi, inclusive, applies))
+    keep = inside_band(F.col(col), lo, hi, inclusive) if split is None else None
+    return split_by(df, band_reason(F.col(col), lo, hi, inclusive, applies), keep)
 
 
 def marker_reason(c: Column, marker: str = "[UNK]") -> Column:
@@ -85,12 +93,13 @@ def drop_blank(df: DataFrame, col: str = "text", min_len: int = 1, ignore_blanks
 
 def below_rate(df: DataFrame, metric: str, t: float = 0.5) -> Split:
     """Keep rows whose error rate is below ``t``; a missing rate is refused."""
-    return split_by(df, reason_if(~(F.col(metric) < t), "error_rate"))
+    return split_by(df, reason_if(~(F.col(metric) < t), "error_rate"), F.col(metric) < t)
 
 
 def below_length(df: DataFrame, col: str, n: int = 400, splits: Sequence[str] = ("train", "test")) -> Split:
     """Keep rows of ``splits`` whose length is below ``n``; other splits pass."""
-    return split_by(df, F.when(F.col("split").isin(*splits), reason_if(~(F.col(col) < n), "label_length")))
+    reason = F.when(F.col("split").isin(*splits), reason_if(~(F.col(col) < n), "label_length"))
+    return split_by(df, reason, (F.col(col) < n) | ~F.col("split").isin(*splits) | F.col("split").isNull())
 
 
 def split_empty_refs(df: DataFrame, col: str = "ref") -> Split:

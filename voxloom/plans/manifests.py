@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import has_extension
-from ..operators.filters import Split, band_reason, blank_reason, first_reason, marker_reason, reason_if, special_reason, split_by
+from ..operators.filters import Split, band_reason, blank_reason, first_reason, inside_band, marker_reason, reason_if, special_reason, split_by
 
 
 def manifest_reason(min_s: float = 1.0, max_s: float = 30.0) -> Column:
@@ -23,4 +23,4 @@ def manifest_reason(min_s: float = 1.0, max_s: float = 30.0) -> Column:
 
 def clean_manifest(manifest: DataFrame, min_s: float = 1.0, max_s: float = 30.0) -> Split:
     """Rows fit for training, and the others with their reason."""
-    return split_by(manifest, manifest_reason(min_s, max_s))
+    return split_by(manifest, manifest_reason(min_s, max_s), inside_band(F.col("duration"), min_s, max_s))
