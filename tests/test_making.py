@@ -39,7 +39,7 @@ def test_overtalk(spark):
     for r in plan:
         assert 0 <= r.overlap <= 1 and abs(r.second_start - (2.5 - r.overlap)) < 1e-9
         assert sorted(r.text.split()) == sorted(f"w{p[1:]}{k}" for p in (r.first_path, r.second_path) for k in range(3))
-    assert plan == combine.overtalk(df.repartition(5), seed=1).collect() or sorted(plan) == sorted(combine.overtalk(df.repartition(5), seed=1).collect())
+    assert sorted(plan) == sorted(combine.overtalk(df.repartition(5), seed=1).collect())
 
 
 def test_word_times(spark):
@@ -95,8 +95,7 @@ def test_segment_latin(spark):
     counts, pairs = segmentation.word_counts(corpus), segmentation.word_pair_counts(corpus)
     df = spark.createDataFrame([(1, "buyusd"), (2, "买buyUSD吧 1"), (3, "Buyusd"), (4, "买 吧"), (5, "買，")], "row_id long, text string")
     got = dict(rows(segmentation.segment_latin(df, counts, pairs), "row_id", "text"))
-    assert got == {1: " buy usd", 2: " 买 buy usd 吧 1" if False else got[2], 3: " Buyusd", 4: " 买吧", 5: " 買，"}
-    assert got[2].startswith(" 买 buy usd 吧")
+    assert got == {1: " buy usd", 2: " 买 buy usd 吧 1", 3: " Buyusd", 4: " 买吧", 5: " 買，"}
     assert rows(segmentation.segment_latin(df, counts), "text") == rows(segmentation.segment_latin(df, counts, pairs), "text")
 
 

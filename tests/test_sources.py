@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from voxloom import sources as src
-from voxloom.functions.wav import pcm_bytes, pcm_header, pcm_info
+from voxloom.functions.wav import pcm_bytes, pcm_header
 from voxloom.operators import segments
 from voxloom.operators.existence import manifest_from_tsv
 from voxloom.streaming import read_manifest_stream, start_manifest_filter

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import has_extension, name_parts_ne, py_round, route_paths
+from ..functions import has_extension, name_parts_ne, route_paths
 from ..functions.text import SPECIAL_CHARACTERS, char_class
 from ..operators import counting, dedupe, durations, existence, fallback, filters
 from ..plans import manifest_reason

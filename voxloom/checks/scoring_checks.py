@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import loan_tokens
 from ..operators import combine, loanwords, scoring
 from ..operators.alignment import align, confusions, spread, word_distance
 from ..operators.filters import below_rate

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import encode_segment
 from ..operators.counting import record_count
-from ..operators.filters import to_manifest
-from ..operators.sampling import RATIOS, split_sets
+from ..operators.existence import manifest_from_tsv
 from ..operators.segments import audit_format
 from ..sources import (
+    append_step_scores,
     clean_lines,
     list_files,
     manifest_from_csv,
     manifest_from_textgrid,
-    number_rows,
     parse_sanity_lines,
     parse_subtitles,
     preflight,
@@ -22,14 +20,12 @@ from ..sources import (
     read_manifest,
     read_splits,
     sanity_manifest,
-    append_step_scores,
     urls_from_ids,
     write_manifest,
     write_shards,
     write_splits,
     write_subtitles,
 )
-from ..operators.existence import manifest_from_tsv
 from . import views as v
 from .registry import check
 

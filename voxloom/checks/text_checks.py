@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import (
     base_name,
     bracket_id,
-    convert_text,
     cut_at,
     decode_segment,
     encode_segment,
-    is_script,
     loan_tokens,
     natural_key,
     normalize_basic,

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.script import Pairs, convert_text, is_script
+from ..functions.script import Pairs, convert_text, is_script, table_strings
 
 
 def convert_script(df: DataFrame, col: str, table: Pairs) -> DataFrame:
     """Simplified texts in traditional script, others unchanged; ``converted`` marks the former."""
     if isinstance(table, DataFrame):
-        from ..functions.script import table_strings
-
         table = list(zip(*table_strings(table)))
     text = F.col(col)
     hit = F.coalesce(is_script(text, table), F.lit(False))
