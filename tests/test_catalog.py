@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from voxloom.checks.catalog import ORACLES, QUERIES
 
 FOLDER = entry.SMOKE_DIR
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -24,16 +25,17 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    got = entry.queries()[name](spark, FOLDER)
+    got = QUERIES[name](spark, FOLDER)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    want = con.execute(entry.oracle_sql()[name])
+    want = con.execute(ORACLES[name])
     names = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(names)
     order = [names.index(c) for c in got.columns]
