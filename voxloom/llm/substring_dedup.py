@@ -181,7 +181,8 @@ def _own(packed: list | None) -> np.ndarray:
 
 def _hits(values: np.ndarray, row: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
     """Which (row, value) pairs are in the list of their row."""
-    wanted = np.concatenate([mix(x + np.uint64(k) * FACTORS[62]) for k, x in enumerate(lists)])
+    salt = np.arange(len(lists), dtype=np.uint64) * FACTORS[62]
+    wanted = np.concatenate([mix(x + s) for x, s in zip(lists, salt)])
     return np.isin(mix(values + row.astype(np.uint64) * FACTORS[62]), wanted)
 
 
@@ -298,5 +299,5 @@ def remove_repeats(
 
     first = _gather(own.select("doc", "text").mapInArrow(sample, _ROUTED), False)
     second = _gather(_per_document(own, first).select("doc", "text", "nodes").mapInArrow(windows, _ROUTED), True)
-    columns = [F.col("doc").cast(df.schema[c].dataType) if c == key else F.col(f"_k{i}") for i, c in enumerate(keep)]
+    columns = [(F.col("doc").cast(df.schema[c].dataType) if c == key else F.col(f"_k{i}")).alias(f"_k{i}") for i, c in enumerate(keep)]
     return _per_document(own, second).select("doc", "text", "nodes", *columns).mapInArrow(cut, schema)
