@@ -16,6 +16,7 @@ Texts cross the network once, partitioned by document; both later passes read th
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator, Sequence
 from hashlib import sha256
 
@@ -33,7 +34,7 @@ _FLUSH, _GROUP = 1_000_000, 32 << 20
 _SUFFIX = np.dtype([("h", "<u8"), ("c", "<u4"), ("d", "<i8")])
 #: In place of a document: at least two documents have this node.
 _MANY = np.iinfo(np.int64).min
-_ROUTED = "bucket int, doc long, data binary"
+_ROUTED = "bucket int, settled boolean, data binary"
 
 
 def _bits(df: DataFrame) -> int:
@@ -42,24 +43,56 @@ def _bits(df: DataFrame) -> int:
     return max(8, min(21, (size // (_GROUP // 8)).bit_length()))
 
 
+_HEAD = "<qBBQq"
+
+
+def _narrow(x: np.ndarray) -> tuple[int, bytes]:
+    """Unsigned numbers in as few bytes each as the largest needs."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    return width, np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _widen(raw: memoryview, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, n * width).reshape(n, width)
+    return out.view("<u8").ravel()
+
+
 def _pack(s: np.ndarray, checked: bool) -> bytes:
-    """Suffixes column by column; the first level has no checks."""
-    columns = ("h", "d", "c") if checked else ("h", "d")
-    return b"".join(np.ascontiguousarray(s[c]).tobytes() for c in columns)
+    """Suffixes in order of hash: steps between hashes, documents from the smallest on, and in the second level checks."""
+    real = s["d"] != _MANY
+    base = int(s["d"][real].min()) if real.any() else 0
+    place = np.where(real, (s["d"] - base).view(np.uint64) + np.uint64(1), np.uint64(0))
+    (w, steps), (v, places) = _narrow(np.diff(s["h"])), _narrow(place)
+    head = struct.pack(_HEAD, len(s), w, v, int(s["h"][0]), base)
+    return head + steps + places + (np.ascontiguousarray(s["c"]).tobytes() if checked else b"")
 
 
 def _unpack(parts: list[bytes], checked: bool) -> np.ndarray:
-    width = 20 if checked else 16
-    s = np.zeros(sum(map(len, parts)) // width, _SUFFIX)
-    at = 0
+    out = []
     for part in parts:
-        n = len(part) // width
-        s["h"][at : at + n] = np.frombuffer(part, "<u8", n)
-        s["d"][at : at + n] = np.frombuffer(part, "<i8", n, 8 * n)
+        n, w, v, first, base = struct.unpack_from(_HEAD, part)
+        raw = memoryview(part)[struct.calcsize(_HEAD) :]
+        s = np.zeros(n, _SUFFIX)
+        s["h"] = np.cumsum(np.concatenate([np.array([first], np.uint64), _widen(raw, n - 1, w)]), dtype=np.uint64)
+        place = _widen(raw[(n - 1) * w :], n, v)
+        s["d"] = np.where(place == 0, _MANY, (place - np.uint64(1)).view(np.int64) + base)
         if checked:
-            s["c"][at : at + n] = np.frombuffer(part, "<u4", n, 16 * n)
-        at += n
-    return s
+            s["c"] = np.frombuffer(raw[(n - 1) * w + n * v :], "<u4", n)
+        out.append(s)
+    return np.concatenate(out)
+
+
+def _settled(s: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Suffixes by group of documents: the group's number, and its documents and hashes one after the other."""
+    if len(s):
+        group = (mix(np.ascontiguousarray(s["d"]).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int32)
+        order = np.argsort(group, kind="stable")
+        s, group = s[order], group[order]
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        low, high = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(s)]])
+        d, h = np.ascontiguousarray(s["d"]), np.ascontiguousarray(s["h"])
+        yield group[low], [d[a:b].tobytes() + h[a:b].tobytes() for a, b in zip(low, high)]
 
 
 def _block_suffixes(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -91,7 +124,7 @@ def _route(rows: list[np.ndarray], bits: int, first_only: bool) -> Iterator[pa.R
     With ``first_only`` a node goes on with its smallest document, and the others are settled: theirs is a repeat.
     Otherwise a node of two documents goes on as such, and both are settled; a document alone goes on with its number.
     """
-    if not rows:
+    if not any(map(len, rows)):
         return
     s = np.concatenate(rows)
     s = s[np.lexsort((s["d"], s["c"], s["h"]))]
@@ -111,31 +144,22 @@ def _route(rows: list[np.ndarray], bits: int, first_only: bool) -> Iterator[pa.R
     bucket = (sent["h"] >> np.uint64(64 - bits)).astype(np.int32)
     cuts = np.flatnonzero(np.diff(bucket)) + 1
     low, high = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(sent)]])
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(bucket[low]),
-            pa.array([None] * len(low), pa.int64()),
-            pa.array([_pack(sent[a:b], first_only) for a, b in zip(low, high)], pa.binary()),
-        ],
-        ["bucket", "doc", "data"],
-    )
-    for docs, hashes in _by_document(settled):
-        spread = (mix(docs.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(docs), hashes], ["bucket", "doc", "data"])
+    packed = [_pack(sent[a:b], first_only) for a, b in zip(low, high)]
+    yield _routed(bucket[low], False, packed)
+    for group, packed in _settled(settled, bits):
+        yield _routed(group, True, packed)
 
 
-def _by_document(s: np.ndarray) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """(documents, their hashes packed)."""
-    if len(s):
-        s = s[np.argsort(s["d"], kind="stable")]
-        cuts = np.flatnonzero(np.diff(s["d"])) + 1
-        low, high = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(s)]])
-        h = np.ascontiguousarray(s["h"])
-        yield s["d"][low].copy(), pa.array([h[a:b].tobytes() for a, b in zip(low, high)], pa.binary())
+def _routed(bucket: np.ndarray, settled: bool, packed: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array(bucket), pa.array(np.full(len(bucket), settled)), pa.array(packed, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "settled", "data"])
 
 
-def _gather(routed: DataFrame, first_only: bool) -> DataFrame:
-    """(doc, list of packed hashes): the nodes of each document that another, or a smaller, document has too."""
+def _gather(routed: DataFrame, bits: int, first_only: bool) -> DataFrame:
+    """(doc, nodes): packed hashes of the nodes of each document that another, or a smaller, document has too.
+
+    What a group of prefixes finds goes on by groups of documents, so its rows do not multiply with the number of tasks.
+    """
 
     def resolve(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         s = _unpack(parts, first_only)
@@ -149,17 +173,16 @@ def _gather(routed: DataFrame, first_only: bool) -> DataFrame:
         else:
             most = s["d"][np.append(first[1:], len(s)) - 1][np.cumsum(head) - 1]
             found = s[(least < most) & (s["d"] != _MANY)]
-        for docs, hashes in _by_document(found):
-            yield pa.RecordBatch.from_arrays([pa.array(docs), hashes], ["doc", "data"])
+        for group, packed in _settled(found, bits):
+            yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(packed, pa.binary())], ["bucket", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, now = [], 0, None
         for batch in batches:
-            known = batch.column(1)
-            done = known.is_valid()
+            buckets, done = batch.column(0), batch.column(1)
             if done.true_count:
-                yield pa.RecordBatch.from_arrays([known.filter(done), batch.column(2).filter(done)], ["doc", "data"])
-            buckets = batch.column(0).to_numpy()
+                yield pa.RecordBatch.from_arrays([buckets.filter(done), batch.column(2).filter(done)], ["bucket", "data"])
+            buckets = buckets.to_numpy()
             for k in np.flatnonzero(~done.to_numpy(zero_copy_only=False)):
                 # Groups are resolved together until they fill the memory meant for one.
                 if buckets[k] != now and size >= _GROUP:
@@ -171,12 +194,34 @@ def _gather(routed: DataFrame, first_only: bool) -> DataFrame:
         if held:
             yield from resolve(held)
 
-    grouped = routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc long, data binary")
-    return grouped.groupBy("doc").agg(F.collect_list("data").alias("nodes"))
+    def regroup(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        d = np.concatenate([np.frombuffer(p, np.int64, len(p) // 16) for p in parts])
+        h = np.concatenate([np.frombuffer(p, np.uint64, len(p) // 16, len(p) // 2) for p in parts])
+        order = np.argsort(d, kind="stable")
+        d, h = d[order], h[order]
+        cuts = np.flatnonzero(np.diff(d)) + 1
+        low, high = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(d)]])
+        lists = [h[a:b].tobytes() for a, b in zip(low, high)]
+        yield pa.RecordBatch.from_arrays([pa.array(d[low]), pa.array(lists, pa.binary())], ["doc", "nodes"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != now and held:
+                    yield from regroup(held)
+                    held = []
+                now = bucket
+                held.append(data.as_py())
+        if held:
+            yield from regroup(held)
+
+    grouped = routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, data binary")
+    return grouped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "doc long, nodes binary")
 
 
-def _own(packed: list | None) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.uint64) if packed else np.zeros(0, np.uint64)
+def _own(packed: bytes | None) -> np.ndarray:
+    return np.frombuffer(packed or b"", np.uint64)
 
 
 def _hits(values: np.ndarray, row: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
@@ -297,7 +342,7 @@ def remove_repeats(
                 [*keep, *made],
             )
 
-    first = _gather(own.select("doc", "text").mapInArrow(sample, _ROUTED), False)
-    second = _gather(_per_document(own, first).select("doc", "text", "nodes").mapInArrow(windows, _ROUTED), True)
+    first = _gather(own.select("doc", "text").mapInArrow(sample, _ROUTED), bits, False)
+    second = _gather(_per_document(own, first).select("doc", "text", "nodes").mapInArrow(windows, _ROUTED), bits, True)
     columns = [(F.col("doc").cast(df.schema[c].dataType) if c == key else F.col(f"_k{i}")).alias(f"_k{i}") for i, c in enumerate(keep)]
     return _per_document(own, second).select("doc", "text", "nodes", *columns).mapInArrow(cut, schema)
