@@ -174,6 +174,30 @@ def splitting_tree(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
     return leaves.select("*", F.coalesce(F.sum("blocks").over(earlier), F.lit(0)).alias("before"))
 
 
+def _last_documents(placed: DataFrame, most: int, rounds: int = 4) -> DataFrame:
+    """(row, _more): documents that end each source near its target, at most one a round.
+
+    The first rounds take the largest document that still fits, the last the one whose size comes closest to what is
+    missing, if that brings the source nearer.
+    """
+    open_words = F.max("target") - F.sum(F.col("_copies") * F.col("size"))
+    missing = placed.groupBy("_source").agg(open_words.alias("_missing"))
+    could = placed.filter((F.col("_copies") < most) & (F.col("size") > 0)).select("_source", "row", "size", "_at", "_key")
+    chosen = None
+    for k in range(rounds):
+        off = F.abs(F.col("size") - F.col("_missing"))
+        near = F.col("size") <= F.col("_missing") if k < rounds - 1 else off < F.col("_missing")
+        best = F.min(F.struct(off.alias("off"), "_at", "_key", "row", "size")).alias("best")
+        picked = could.join(missing, "_source").filter(near).groupBy("_source", "_missing").agg(best)
+        picked = settle(picked.select("_source", F.col("best.row").alias("row"), (F.col("_missing") - F.col("best.size")).alias("_missing")))
+        missing = missing.join(picked.select("_source", F.col("_missing").alias("_now")), "_source", "left").select(
+            "_source", F.coalesce("_now", "_missing").alias("_missing")
+        )
+        could = could.join(picked.select("row"), "row", "left_anti")
+        chosen = picked if chosen is None else chosen.unionByName(picked)
+    return chosen.select("row", F.lit(1).alias("_more"))
+
+
 def mix(
     df: DataFrame,
     weights: Sequence[int] = (1, 2, 3),
@@ -189,8 +213,7 @@ def mix(
 
     Columns: ``key``, ``row`` (a number of the input row), ``size`` (words), ``source_size``, ``target``, ``copy``
     (0, 1, ... or null), ``block``, ``shard`` and ``order`` (rank it by this inside the shard). The first documents
-    of a stream are taken as far as they fit; one more, the one whose size comes closest to what is missing, ends
-    the source if that brings it nearer. Null texts have no words; null sources are a source of their own; equal
+    of a stream are taken as far as they fit; a few more, chosen by size, bring the source near its target. Null texts have no words; null sources are a source of their own; equal
     keys are separate rows; a null key draws its place from the text. An empty table gives an empty one.
     """
     spare = F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
@@ -224,13 +247,8 @@ def mix(
     copies = F.greatest(F.lit(0), F.least(F.lit(most), F.coalesce(fits, F.lit(0)))).cast("int")
     placed = settle(placed.select("_key", "row", "_source", "rank", "size", "source_size", "target", "_at", copies.alias("_copies")))
 
-    open_words = F.max("target") - F.sum(F.col("_copies") * F.col("size"))
-    missing = placed.groupBy("_source").agg(open_words.alias("_missing"))
-    off = F.abs(F.col("size") - F.col("_missing"))
-    could = placed.filter((F.col("_copies") < most) & (F.col("size") > 0)).join(missing, "_source")
-    best = F.min(F.struct(off.alias("off"), F.col("_at"), F.col("_key"), F.col("row"), F.col("_missing"))).alias("best")
-    extra = could.groupBy("_source").agg(best).filter("best.off < best._missing").select(F.col("best.row").alias("row"), F.lit(1).alias("_more"))
-    counted = placed.join(extra, "row", "left").withColumn("_copies", F.col("_copies") + F.coalesce("_more", F.lit(0)))
+    more = _last_documents(placed, most)
+    counted = placed.join(more, "row", "left").withColumn("_copies", F.col("_copies") + F.coalesce("_more", F.lit(0)))
 
     quota = F.greatest(F.ceil(F.col("target") / block_words), F.lit(1)).cast("bigint")
     streams = sources.select("_source", "rank", quota.alias("quota"))

@@ -193,12 +193,22 @@ p AS (SELECT doc_id, d.source, size, words, target, h,
   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 n AS (SELECT *, greatest(0, least(3, CASE WHEN words = 0 THEN 0 ELSE floor((target - pos - size) / words) + 1 END))::BIGINT AS copies FROM p),
-m AS (SELECT source, max(target) - sum(copies * size)::BIGINT AS missing FROM n GROUP BY source),
-b AS (SELECT n.source, min_by(doc_id, (abs(size - missing), pos, doc_id)) AS best, min(abs(size - missing)) AS off, max(missing) AS missing
-  FROM n JOIN m ON n.source IS NOT DISTINCT FROM m.source WHERE copies < 3 AND size > 0 GROUP BY n.source)
+m0 AS (SELECT source, max(target) - sum(copies * size)::BIGINT AS missing FROM n GROUP BY source),
+c0 AS (SELECT source, doc_id, size, pos FROM n WHERE copies < 3 AND size > 0),
+"""
+    + "".join(
+        f"""b{k} AS (SELECT c.source, min_by(c.doc_id, (abs(c.size - missing), pos, c.doc_id)) AS best,
+  max(missing) - min_by(c.size, (abs(c.size - missing), pos, c.doc_id)) AS nxt
+  FROM c{k} c JOIN m{k} m ON c.source IS NOT DISTINCT FROM m.source WHERE {test} GROUP BY c.source),
+m{k + 1} AS (SELECT m.source, coalesce(nxt, missing) AS missing FROM m{k} m LEFT JOIN b{k} b ON m.source IS NOT DISTINCT FROM b.source),
+c{k + 1} AS (SELECT * FROM c{k} WHERE doc_id NOT IN (SELECT best FROM b{k})),
+"""
+        for k, test in enumerate(["c.size <= missing"] * 3 + ["abs(c.size - missing) < missing"])
+    )
+    + """more AS (SELECT best FROM b0 UNION ALL SELECT best FROM b1 UNION ALL SELECT best FROM b2 UNION ALL SELECT best FROM b3)
 SELECT n.doc_id, n.size, n.words AS source_size, n.target,
-  (n.size * (n.copies + CASE WHEN b.off < b.missing THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM n LEFT JOIN b ON n.doc_id = b.best"""
+  (n.size * (n.copies + CASE WHEN n.doc_id IN (SELECT best FROM more) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM n"""
 )
 
 _FINGERPRINT_SQL = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
