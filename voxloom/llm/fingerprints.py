@@ -100,32 +100,33 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "lanes") -> DataFr
     return df.withColumn(out, lanes(F.col(text)))
 
 
-def _identity(key: str, text: str) -> list[Column]:
-    return [F.col(key).alias("_id"), F.xxhash64(whole_text(F.col(text))).alias("_x")]
+# Who a document is, in columns that are never null, so that joins and windows on them share one partitioning.
+_WHO = ["_none", "_id", "_x"]
+
+
+def _identity(df: DataFrame, key: str, text: str) -> list[Column]:
+    missing = F.lit(0).cast(df.schema[key].dataType)
+    return [F.col(key).isNull().alias("_none"), F.coalesce(F.col(key), missing).alias("_id"), F.xxhash64(whole_text(F.col(text))).alias("_x")]
 
 
 def ring(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_id, _x) of each document with (_before_id, _before_x) and half the length of the document before it.
+    """(_none, _id, _x) of each document with that and half the length of the document before it, as ``_before``.
 
     Documents stand in a ring by ascending key, null keys last; equal keys are ordered by a hash of the text, and
     rows equal in both are one document. Keys alone are sorted: rows are cut into ranges, each range is linked
     inside, and one row per range links the ranges.
     """
-    half = F.floor(F.length(whole_text(F.col(text))) / 2).cast("bigint").alias("_half")
-    order = [F.col("_id").asc_nulls_last(), F.col("_x").asc()]
-    known = df.select(*_identity(key, text), half).dropDuplicates(["_id", "_x"])
-    ranged = settle(known.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    inside = Window.partitionBy("_range").orderBy(*order)
-    me = F.struct("_id", "_x", "_half")
-    linked = ranged.select("*", F.lag(me).over(inside).alias("_before"), F.lead(F.lit(1)).over(inside).isNull().alias("_ends"))
+    half = F.floor(F.length(whole_text(F.col(text))) / 2).cast("int").alias("_half")
+    known = df.select(*_identity(df, key, text), half).dropDuplicates(_WHO)
+    ranged = settle(known.repartitionByRange(*_WHO).withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range").orderBy(*_WHO)
+    me = F.struct(*_WHO, "_half")
+    linked = ranged.select("*", F.lag(me).over(inside).alias("_near"), F.lead(F.lit(1)).over(inside).isNull().alias("_ends"))
     ends = linked.filter("_ends").select("_range", me.alias("_last"))
     around = Window.orderBy("_range")
     final = F.max_by("_last", "_range").over(Window.partitionBy())
     doors = ends.select("_range", F.coalesce(F.lag("_last").over(around), final).alias("_door"))
-    before = F.coalesce("_before", "_door")
-    return linked.join(doors, "_range").select(
-        "_id", "_x", before["_id"].alias("_before_id"), before["_x"].alias("_before_x"), before["_half"].alias("_before_half")
-    )
+    return linked.join(doors, "_range").select(*_WHO, F.coalesce("_near", "_door").alias("_before"))
 
 
 def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,20 +136,19 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
     network once, joined with their place in the ring; only the beginnings the neighbours need move again.
     Columns: ``key``, n_chars, edited, lanes, edited_lanes, near_edited, near_next.
     """
-    own = df.select(*_identity(key, text), whole_text(F.col(text)).alias("_text"))
-    links = ring(df, key, text).withColumnsRenamed({"_id": "_rid", "_x": "_rx"})
-    placed = own.join(links, own["_id"].eqNullSafe(F.col("_rid")) & (F.col("_x") == F.col("_rx")))
-    first = F.row_number().over(Window.partitionBy("_id", "_x").orderBy(F.lit(1)))
+    own = df.select(*_identity(df, key, text), whole_text(F.col(text)).alias("_text"))
+    placed = own.join(ring(df, key, text), _WHO)
+    # Of rows that are one document, one gives its beginning.
+    first = F.row_number().over(Window.partitionBy(*_WHO).orderBy(*_WHO))
     gives = placed.withColumn("_nth", first).filter("_nth = 1").select(
-        F.col("_before_id").alias("_gid"),
-        F.col("_before_x").alias("_gx"),
-        F.left("_text", F.col("_before_half").cast("int")).alias("_start"),
+        *[F.col(f"_before.{c}").alias(c) for c in _WHO],
+        F.left("_text", F.col("_before._half")).alias("_start"),
         lanes(F.col("_text")).alias("_next"),
     )
+    joined = placed.join(gives, _WHO)
     length = F.length("_text")
-    joined = placed.join(gives, placed["_id"].eqNullSafe(F.col("_gid")) & (placed["_x"] == F.col("_gx")))
     kept = F.left("_text", (length - F.floor(length / 2)).cast("int"))
-    texts = joined.select("_id", length.cast("bigint").alias("n_chars"), "_text", F.concat(kept, "_start").alias("edited"), "_next")
+    texts = joined.select(F.when(~F.col("_none"), F.col("_id")).alias("_id"), length.cast("bigint").alias("n_chars"), "_text", F.concat(kept, "_start").alias("edited"), "_next")
     both = texts.select("*", lanes(F.col("_text")).alias("lanes"), lanes(F.col("edited")).alias("edited_lanes"))
     return both.select(
         F.col("_id").alias(key),
