@@ -26,7 +26,9 @@ from .hashing import FACTORS, mix
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 # Labelled rows of each class that training reads at most; see ``training_sample``.
-MOST_PER_CLASS = 3_000
+MOST_PER_CLASS = 1_500
+# Neutral subwords that every text has besides its own, so that one odd word does not decide a text of few words.
+NEUTRAL = 100
 _BLOCK_CHARS = 1 << 20
 
 
@@ -106,39 +108,41 @@ def training_sample(
     return rows.join(F.broadcast(picked), "_key").select("_text", "_label"), counts
 
 
-def _bags(sample: DataFrame) -> list:
-    """(label, buckets, shares) of the sampled texts; the shares of a text add up to one."""
+def text_bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, shares) of each text; the shares and that of the neutral subwords add up to one."""
+    for low, high, chars, row in text_chars(texts):
+        parts = list(subwords(chars, row))
+        rows, buckets = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
+        pairs, counts = np.unique((rows - low) * BUCKETS + buckets, return_counts=True)
+        cuts = np.searchsorted(pairs, np.arange(high - low + 1) * BUCKETS)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield (pairs[a:b] % BUCKETS).astype(np.int32), (counts[a:b] / (counts[a:b].sum() + NEUTRAL)).astype(np.float32)
+
+
+def _bags(sample: DataFrame) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+    """Labels, buckets and shares of the sampled texts, no more than two numbers per bucket and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column(1)
-            for low, high, chars, row in text_chars(batch.column(0)):
-                parts = list(subwords(chars, row))
-                rows, buckets = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
-                pairs, counts = np.unique((rows - low) * BUCKETS + buckets, return_counts=True)
-                cuts = np.searchsorted(pairs, np.arange(high - low + 1) * BUCKETS)
-                for k in range(high - low):
-                    a, b = cuts[k], cuts[k + 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            labels.slice(low + k, 1).cast(pa.int32()),
-                            pa.array([(pairs[a:b] % BUCKETS).astype(np.int32).tobytes()], pa.binary()),
-                            pa.array([(counts[a:b] / max(1, counts[a:b].sum())).astype(np.float32).tobytes()], pa.binary()),
-                        ],
-                        ["label", "buckets", "shares"],
-                    )
-
+            bags = list(text_bags(batch.column(0)))
+            packed = [pa.array([x[k].tobytes() for x in bags], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), *packed], ["label", "buckets", "shares"])
+
+    found = sample.mapInArrow(run, "label int, buckets binary, shares binary").toArrow()
+    labels = found["label"].to_pylist()
+    buckets = [np.frombuffer(x.as_buffer(), np.int32) for x in found["buckets"]]
+    shares = [np.frombuffer(x.as_buffer(), np.float32) for x in found["shares"]]
     # The order of the rows must not depend on the order of tasks, since training visits them in turn.
-    rows = sample.mapInArrow(run, "label int, buckets binary, shares binary").collect()
-    return sorted(((r[0], bytes(r[1]), bytes(r[2])) for r in rows), key=lambda r: (r[1], r[0]))
+    order = sorted(range(len(labels)), key=lambda k: (buckets[k].tobytes(), shares[k].tobytes(), labels[k]))
+    return [labels[k] for k in order], [buckets[k] for k in order], [shares[k] for k in order]
 
 
 def train(
-    bags: Sequence[tuple[int, bytes, bytes]],
+    bags: tuple[list[int], list[np.ndarray], list[np.ndarray]],
     counts: dict[int, int],
-    width: int = 8,
-    passes: int = 25,
-    batch: int = 128,
+    width: int = 4,
+    passes: int = 15,
+    batch: int = 64,
     rate: float = 0.05,
     decay: float = 0.002,
     scale: float = 300.0,
@@ -149,30 +153,31 @@ def train(
     ``scale`` multiplies the averages, which are small where a few words of many decide. Buckets met in fewer than
     three texts get no embedding. If the classes were sampled unequally, the constant is set right at the end.
     """
-    taken = {y: sum(b[0] == y for b in bags) for y in (0, 1)}
+    label = np.array(bags[0], np.int64)
+    taken = [int((label == y).sum()) for y in (0, 1)]
     prior = np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))
     if not taken[0] or not taken[1]:
         return Model(np.zeros(BUCKETS, np.float32), float(prior))
-    seen = [np.frombuffer(b[1], np.int32) for b in bags]
-    share = [np.frombuffer(b[2], np.float32) for b in bags]
-    label = np.array([b[0] for b in bags])
-    texts_with = np.bincount(np.concatenate(seen), minlength=BUCKETS)
-    used = np.flatnonzero(texts_with >= min(3, len(bags)))
-    number = np.full(BUCKETS, -1, np.int64)
+    texts_with = np.zeros(BUCKETS, np.int64)
+    for x in bags[1]:
+        texts_with[x] += 1
+    used = np.flatnonzero(texts_with >= min(3, len(label)))
+    number = np.full(BUCKETS, -1, np.int32)
     number[used] = np.arange(len(used))
-    kept = [number[s] >= 0 for s in seen]
-    seen = [number[s][k] for s, k in zip(seen, kept)]
-    share = [x[k] * np.float32(scale) for x, k in zip(share, kept)]
+    kept = [number[x] >= 0 for x in bags[1]]
+    seen = [number[x][k] for x, k in zip(bags[1], kept)]
+    share = [x[k] * np.float32(scale) for x, k in zip(bags[2], kept)]
+    del bags
     draw = np.random.Generator(np.random.PCG64(seed))
     table = draw.normal(0, 0.01, (width, len(used))).astype(np.float32)
     layer = draw.normal(0, 0.5, (width, 2)).astype(np.float32)
     constant = np.zeros(2, np.float32)
     values = [table, layer, constant]
     first, second = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
-    step, steps = 0, passes * -(-len(bags) // batch)
+    step, steps = 0, passes * -(-len(label) // batch)
     for _ in range(passes):
-        order = draw.permutation(len(bags))
-        for low in range(0, len(bags), batch):
+        order = draw.permutation(len(label))
+        for low in range(0, len(label), batch):
             rows = order[low : low + batch]
             at = np.concatenate([seen[r] for r in rows])
             x = np.concatenate([share[r] for r in rows])
@@ -228,7 +233,7 @@ def score(df: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text:
                 for rows, buckets in subwords(chars, row):
                     total += np.bincount(rows - low, weights[buckets], high - low)
                     many += np.bincount(rows - low, minlength=high - low)
-                logit = np.clip(total / np.maximum(many, 1) + bias, -30, 30)
+                logit = np.clip(total / (many + NEUTRAL) + bias, -30, 30)
                 found[low:high] = 1 / (1 + np.exp(-logit))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found)], [*keep, out])
 
