@@ -19,7 +19,9 @@ def test_join_neighbours(spark):
         [("s", 1, "a", 10.0, "one"), ("s", 5, "b", 12.0, "two"), ("s", 9, "c", 20.0, "three"), ("t", 2, "d", 20.0, "x"), ("t", 3, "e", 11.0, "y")],
         "source string, row_id long, audio_filepath string, duration double, text string",
     )
-    assert rows(combine.join_neighbours(df)) == [("s", 0, "a", "b", 22.0, "one two")]
+    kept, rejects = combine.join_neighbours(df)
+    assert rows(kept) == [("s", 0, "a", "b", 22.0, "one two")]
+    assert rows(rejects, "first_path", "reason") == [("c", "no_partner"), ("d", "long")]
 
 
 def test_backchannels(spark):
@@ -33,13 +35,15 @@ def test_backchannels(spark):
 def test_overtalk(spark):
     data = [(f"f{n}", p, f"w{n}{p}", float(p), p + 0.5) for n in range(20) for p in range(3)]
     df = spark.createDataFrame(data, TIMED)
-    plan = combine.overtalk(df, seed=1).collect()
+    kept, alone = combine.overtalk(df, seed=1)
+    plan = kept.collect()
     used = [p for r in plan for p in (r.first_path, r.second_path)]
     assert plan and len(used) == len(set(used))
+    assert sorted(used + [r.audio_filepath for r in alone.collect()]) == sorted(f"f{n}" for n in range(20))
     for r in plan:
         assert 0 <= r.overlap <= 1 and abs(r.second_start - (2.5 - r.overlap)) < 1e-9
         assert sorted(r.text.split()) == sorted(f"w{p[1:]}{k}" for p in (r.first_path, r.second_path) for k in range(3))
-    assert sorted(plan) == sorted(combine.overtalk(df.repartition(5), seed=1).collect())
+    assert sorted(plan) == sorted(combine.overtalk(df.repartition(5), seed=1).kept.collect())
 
 
 def test_word_times(spark):

@@ -201,3 +201,44 @@ def test_counts_while_flowing(spark):
     seen_df.write.format("noop").mode("overwrite").save()
     assert seen.get["n"] == 6
     assert rows(counting.stage_counts(df, [("a", F.col("id") > 3), ("b", F.col("id") > 7)]), "position", "n") == [(0, 10), (1, 6), (2, 2)]
+
+
+def test_no_row_is_lost_to_nulls(spark):
+    df = spark.createDataFrame([(None, "g"), (5, None), (7, None), (1, "g"), (None, None)], "row_id bigint, g string")
+    got = rows(ordering.dense_index(df, group=["g"]), "g", "row_id", "idx")
+    assert sorted(got, key=repr) == sorted([("g", None, 0), ("g", 1, 1), (None, None, 0), (None, 5, 1), (None, 7, 2)], key=repr)
+    look = spark.createDataFrame([(None, "N"), ("g", "G")], "g string, v string")
+    assert ordering.skew_join(df, look, ["g"]).count() == 5
+    assert fallback.tracks_with_segments(df.withColumnRenamed("g", "id")).count() == 5
+
+
+def test_long_digit_runs(spark):
+    names = ["a" + "9" * 21 + d for d in "312"] + ["a" + "0" * 30 + "7", "a10"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    from voxloom.functions.paths import natural_key
+
+    assert [r.n for r in df.orderBy(natural_key(F.col("n"))).collect()] == [names[3], names[4], names[1], names[2], names[0]]
+
+
+def test_keyword_lists_of_any_length_agree(spark):
+    df = spark.createDataFrame([("abc",), ("",), (None,)], "text string")
+    words = ["", "b", "zz"]
+    short = [r[0] for r in df.select(keywords.keyword_hits(F.col("text"), words)).collect()]
+    long = [r[0] for r in df.select(keywords.keyword_hits(F.col("text"), words + ["#"] * 70)).collect()]
+    assert short == long == [[0, 1], [0], []]
+
+
+def test_noise_table_without_rows(spark):
+    from voxloom.operators.augment import assign_noise, augment
+
+    base = spark.createDataFrame([("a", [0.5, -0.5])], "key string, samples array<float>")
+    noise = spark.createDataFrame([], "noise_id bigint, noise_samples array<float>")
+    noisy = assign_noise(base, noise, "key")
+    assert rows(noisy, "key", "noise_id") == [("a", None)] and augment(noisy, "key").count() == 1
+
+
+def test_character_references(spark):
+    from voxloom.functions.text import strip_tags
+
+    df = spark.createDataFrame([("<p>it&#39;s caf&eacute;&nbsp;&amp; more</p>",), ("a &lt;b&gt; &amp;c",)], "html string")
+    assert [r[0] for r in df.select(strip_tags(F.col("html"))).collect()] == ["it's café & more", "a <b> &c"]

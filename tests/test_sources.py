@@ -131,8 +131,10 @@ def test_sanity_lines(spark):
 
 def test_subtitles(spark, tmp_path):
     df = spark.createDataFrame([("/s/v1.txt", "{'text': \"it's\", 'start': 0.5, 'duration': 1.2},"), ("/s/v1.txt", "x")], "path string, value string")
-    assert rows(src.parse_subtitles(df)) == [("v1", "it's", 0.5, 1.2)]
-    src.write_subtitles(src.parse_subtitles(df), str(tmp_path / "subs"))
+    kept, rejects = src.parse_subtitles(df)
+    assert rows(kept) == [("v1", "it's", 0.5, 1.2)]
+    assert rows(rejects) == [("v1", "x", "unparsed")]
+    src.write_subtitles(kept, str(tmp_path / "subs"))
     assert (tmp_path / "subs" / "video_id=v1").is_dir()
 
 
@@ -157,18 +159,25 @@ def test_wav(spark, tmp_path):
     with wave.open(str(tmp_path / "t.wav")) as w:
         assert (w.getframerate(), w.getnchannels(), w.getsampwidth(), w.getnframes()) == (16000, 1, 2, 32000)
     (tmp_path / "bad.wav").write_bytes(b"RIFFxxxxWAVE")
+    # Another chunk, of odd length and so with a byte of padding, stands before the samples.
+    (tmp_path / "list.wav").write_bytes(content[:36] + b"LIST" + (5).to_bytes(4, "little") + b"INFOx\0" + content[36:])
     known, unknown = src.probe_wav(src.read_wavs(spark, str(tmp_path)))
+    assert rows(known.drop("path")) == [rows(known.drop("path"))[0]] * 2
     r = known.first()
     assert (r.sample_rate, r.channels, r.bits, r.data_bytes, r.duration) == (16000, 1, 16, 64000, 2.0)
     assert rows(unknown, "reason") == [("no_pcm_header",)]
-    assert rows(segments.audit_format(known), "conforms") == [(True,)]
+    assert rows(segments.audit_format(known), "conforms") == [(True,), (True,)]
 
 
 def test_cut(spark):
     names = spark.createDataFrame([("rec_0000_0.5_0.75.wav",), ("rec_0000_1.9_9.0.wav",), ("other_0000_0.0_1.0.wav",)], "audio_filepath string")
     tape = tone(spark)
     whole = bytes(tape.first().content)[44:]
-    got = {r.audio_filepath: (r.data_bytes, bytes(r.content)) for r in segments.cut_segments(names, tape).collect()}
+    odd = spark.createDataFrame([("plain.wav",), ("bad_0000_0.0_1.0.wav",)], "audio_filepath string")
+    bad = spark.createDataFrame([("/w/bad.wav", bytearray(b"RIFFxxxxWAVE"))], "path string, content binary")
+    cut, lost = segments.cut_segments(names.unionByName(odd), tape.unionByName(bad))
+    assert rows(lost) == [("bad_0000_0.0_1.0.wav", "no_pcm_header"), ("other_0000_0.0_1.0.wav", "no_recording"), ("plain.wav", "bad_name")]
+    got = {r.audio_filepath: (r.data_bytes, bytes(r.content)) for r in cut.collect()}
     assert set(got) == {"rec_0000_0.5_0.75.wav", "rec_0000_1.9_9.0.wav"}
     size, content = got["rec_0000_0.5_0.75.wav"]
     assert size == 8000 and content[44:] == whole[16000:24000] and content[40:44] == (8000).to_bytes(4, "little")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import combine, loanwords, scoring
-from ..operators.alignment import align, confusions, spread, word_distance
+from ..operators.alignment import align, confusions, word_distance
 from ..operators.filters import below_rate
+from ..session import spread
 from ..plans import checkpoint_report, sanity_check, score_checkpoints
 from ..sources import write_score_report
 from . import views as v
@@ -206,10 +209,15 @@ def x8(spark, d):
 
 @check(
     "d5_loan_word_pairs",
-    RP.rstrip() + ",\n" + LOAN + """ SELECT word, coalesce(g, 0)::BIGINT AS in_truth, coalesce(p, 0)::BIGINT AS heard FROM g FULL JOIN (SELECT * FROM p WHERE checkpoint = 'checkpoint-30') q USING (word)""",
+    RP.rstrip() + ",\n" + LOAN + """ SELECT c.checkpoint, word, coalesce(g, 0)::BIGINT AS in_truth, coalesce(p, 0)::BIGINT AS heard
+    FROM (SELECT DISTINCT checkpoint FROM p) c, (SELECT word FROM g UNION SELECT word FROM p) w LEFT JOIN g USING (word)
+      LEFT JOIN p ON p.word = w.word AND p.checkpoint = c.checkpoint WHERE g IS NOT NULL OR p IS NOT NULL""",
 )
 def d5(spark, d):
-    return loanwords.loan_word_pairs(truth_words(spark, d), heard_words(spark, d).filter("checkpoint = 'checkpoint-30'"))
+    """Every checkpoint against the truth, one comparison each."""
+    truth, heard = truth_words(spark, d), heard_words(spark, d)
+    each = [loanwords.loan_word_pairs(truth, heard.filter(F.col("checkpoint") == c)).withColumn("checkpoint", F.lit(c)) for c in v.CHECKPOINTS]
+    return reduce(lambda a, b: a.unionByName(b), each)
 
 
 @check(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.wav import pcm_info
+from ..functions.paths import encode_segment
+from ..functions.wav import pcm_bytes, pcm_header, pcm_info
 from ..operators import augment, batching, combine, ordering, sampling, segments
+from ..operators.filters import reason_if, split_by
 from ..plans import prepare_training
 from . import views as v
 from .registry import check
@@ -70,9 +72,10 @@ def g3(spark, d):
     return ordering.first_n(v.manifest(spark, d).select("row_id", "audio_filepath"))
 
 
-@check("g4_head_preview")
+@check("g4_head_preview", M + "SELECT row_id, audio_filepath, duration, lang, source, md5(text) AS text_md5 FROM manifest ORDER BY row_id LIMIT 5")
 def g4(spark, d):
-    return v.manifest(spark, d).limit(5)
+    head = ordering.first_n(v.manifest(spark, d), n=5)
+    return head.select("row_id", "audio_filepath", "duration", "lang", "source", F.md5("text").alias("text_md5"))
 
 
 @check("g5_review_sample", f"SELECT lang, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {unit_sql('doc_id', '3')}, doc_id) <= 12")
@@ -80,9 +83,13 @@ def g5(spark, d):
     return sampling.review_sample(v.table(spark, d, "documents").select("lang", "doc_id"), ["lang"], 12, "doc_id", 3)
 
 
-@check("g6_epoch_shuffle")
+@check(
+    "g6_epoch_shuffle",
+    M + f"SELECT row_id, audio_filepath, row_number() OVER (ORDER BY {rank_sql('row_id', '2', "'epoch'")}, row_id) - 1 AS place FROM manifest",
+)
 def g6(spark, d):
-    return sampling.epoch_shuffle(v.manifest(spark, d).select("row_id", "audio_filepath"), "row_id", 2)
+    rows = v.manifest(spark, d).select("row_id", "audio_filepath")
+    return sampling.epoch_places(rows, "row_id", 2)
 
 
 @check(
@@ -127,7 +134,7 @@ def h4(spark, d):
     SELECT source, pair_no::BIGINT AS pair_no, first_path, second_path, round(duration, 6) AS duration, text_md5 FROM p WHERE second_path IS NOT NULL AND duration <= 300""",
 )
 def x4(spark, d):
-    joined = combine.join_neighbours(v.manifest(spark, d), max_s=300)
+    joined = combine.join_neighbours(v.manifest(spark, d), max_s=300).kept
     return joined.select("source", "pair_no", "first_path", "second_path", F.round("duration", 6).alias("duration"), F.md5("text").alias("text_md5"))
 
 
@@ -146,7 +153,7 @@ def x4(spark, d):
       md5((SELECT string_agg(word, ' ' ORDER BY s, e, pos, word) FROM w WHERE w.first_path = m.first_path)) AS text_md5 FROM m""",
 )
 def x5(spark, d):
-    plan = combine.overtalk(v.timed_words(spark, d), seed=5, max_overlap=1.5)
+    plan = combine.overtalk(v.timed_words(spark, d), seed=5, max_overlap=1.5).kept
     return plan.select(
         "first_path", "second_path", "overlap", F.round("second_start", 6).alias("second_start"), F.round("length", 6).alias("length"), F.md5("text").alias("text_md5")
     )
@@ -221,28 +228,75 @@ def t27(spark, d):
     return segments.work_plan(v.manifest(spark, d), "gsm", "/gsm/", suffix=".gsm").select("op", "source", "target")
 
 
+@check(
+    "t27_trim_plan",
+    v.with_views(v.SEGMENTS) + """SELECT 'trim' AS op, base || '.wav' AS source, '/out/' || base || '_0000_' || a || '_' || b || '.wav' AS target, a::DOUBLE AS seg_start, b::DOUBLE AS seg_end
+    FROM (SELECT base, regexp_replace(format('{:.2f}', lo), '(\\.[0-9])0$', '\\1') AS a, regexp_replace(format('{:.2f}', hi), '(\\.[0-9])0$', '\\1') AS b FROM segments)""",
+)
+def t27b(spark, d):
+    named = v.segments(spark, d).select(encode_segment(F.col("base"), F.col("lo"), F.col("hi")).alias("audio_filepath"))
+    return segments.work_plan(named, "trim", "/out/").select("op", "source", "target", "seg_start", "seg_end")
+
+
+@check(
+    "u1_user_rows",
+    M + "SELECT row_id, length(text)::BIGINT AS labels_length, round(duration * 2, 6) AS twice FROM manifest",
+)
+def u1(spark, d):
+    """A row function of the user, given whole Arrow batches."""
+
+    def prepare(batches):
+        for rows in batches:
+            yield rows.assign(labels_length=rows["text"].str.len(), twice=(rows["duration"] * 2).round(6))[["row_id", "labels_length", "twice"]]
+
+    return v.manifest(spark, d).select("row_id", "text", "duration").mapInPandas(prepare, "row_id bigint, labels_length bigint, twice double")
+
+
+@check("u2_user_predicate", M + "SELECT row_id FROM manifest WHERE duration > 20 AND length(text) % 2 = 0")
+def u2(spark, d):
+    """A predicate of the user as a filter of the library: refused rows carry its name."""
+    wanted = (F.col("duration") > 20) & (F.length("text") % 2 == 0)
+    return split_by(v.manifest(spark, d), reason_if(~wanted, "user")).kept.select("row_id")
+
+
 @check(
     "t23_cut_segments",
-    """SELECT vec_id, (2 * least(round(0.01::DOUBLE * CASE WHEN label = 0 THEN 16000 ELSE 8000 + label * 1000 END)::BIGINT, len(embedding)))::BIGINT AS data_bytes,
-      1::BIGINT AS n_segments FROM embeddings""",
+    """WITH c AS (SELECT vec_id, flatten(list_transform(range(8), lambda i: embedding)) AS x FROM embeddings),
+    w AS (SELECT vec_id, list_transform(x, lambda v: (round(greatest(least(v, 1.0), -1.0)::DOUBLE * 32767)::BIGINT % 65536 + 65536) % 65536) AS pcm FROM c),
+    s AS (SELECT vec_id, part, pcm[1 + lo:hi] AS cut FROM w, (VALUES (0, 160, 320), (1, 400, 512)) p(part, lo, hi))
+    SELECT vec_id, part::INTEGER AS part, (2 * len(cut))::BIGINT AS data_bytes,
+      md5(array_to_string(list_transform(cut, lambda v: printf('%02X%02X', v % 256, v // 256)), '')) AS bytes_md5 FROM s""",
 )
 def t23(spark, d):
-    clips = v.table(spark, d, "embeddings").select(F.concat(F.lit("vec"), "vec_id", F.lit("_0000_0.0_0.01.wav")).alias("audio_filepath"), "vec_id")
-    cut = segments.cut_segments(clips, v.wav_files(spark, d)).withColumn("i", pcm_info(F.col("content")))
-    return cut.filter("octet_length(content) = data_bytes + 44 AND i.data_bytes = data_bytes").groupBy("vec_id").agg(
-        F.sum("data_bytes").cast("bigint").alias("data_bytes"), F.count("*").alias("n_segments")
+    """Two pieces from inside clips of 0.032 seconds whose header has another chunk before the samples; the second piece ends with the clip."""
+    data = pcm_bytes(F.flatten(F.array_repeat("embedding", 8)))
+    plain = pcm_header(F.octet_length(data), F.lit(16000), F.lit(1), F.lit(16))
+    note = F.unhex(F.lit("4C495354" + "04000000" + "494E464F"))
+    tapes = v.table(spark, d, "embeddings").select(
+        F.concat(F.lit("/waves/vec"), "vec_id", F.lit(".wav")).alias("path"),
+        F.concat(F.substring(plain, 1, 36), note, F.substring(plain, 37, 8), data).alias("content"),
+    )
+    parts = F.array(*[F.struct(F.lit(n).alias("part"), F.lit(f"_0000_{a}_{b}.wav").alias("name")) for n, a, b in ((0, "0.01", "0.02"), (1, "0.025", "9.0"))])
+    clips = v.table(spark, d, "embeddings").select("vec_id", F.inline(parts)).select(
+        "vec_id", "part", F.concat(F.lit("vec"), "vec_id", "name").alias("audio_filepath")
     )
+    cut = segments.cut_segments(clips, tapes).kept.withColumn("i", pcm_info(F.col("content")))
+    samples = F.substring("content", 45, F.col("data_bytes").cast("int"))
+    return cut.filter("i.data_bytes = data_bytes").select("vec_id", "part", "data_bytes", F.md5(F.hex(samples)).alias("bytes_md5"))
 
 
 @check(
     "p3_prepare_training",
-    f"""WITH parts AS (SELECT vec_id, label, {SPLIT_SQL} AS split FROM (SELECT vec_id, label, {unit_sql("'vec_' || vec_id", '0')} AS u FROM embeddings)),
-    rows AS (SELECT vec_id, label, split, 'original' AS variant FROM parts UNION ALL SELECT vec_id, label, split, 'augmented' FROM parts WHERE split = 'train')
-    SELECT vec_id, split, variant, CASE WHEN split <> 'validation' AND label >= 3 THEN 'label_length' WHEN length(label::VARCHAR) < 2 AND label < 2 THEN 'blank' ELSE 'kept' END AS outcome FROM rows""",
+    f"""WITH parts AS (SELECT vec_id, label, len(embedding) / (1 + vec_id % 5 * 10)::DOUBLE AS seconds, {SPLIT_SQL} AS split FROM (SELECT vec_id, label, embedding, {unit_sql("'vec_' || vec_id", '0')} AS u FROM embeddings)),
+    rows AS (SELECT vec_id, label, seconds, split, 'original' AS variant FROM parts UNION ALL SELECT vec_id, label, seconds, split, 'augmented' FROM parts WHERE split = 'train')
+    SELECT vec_id, split, variant, CASE WHEN split = 'train' AND seconds >= 3 THEN 'long'
+      WHEN split <> 'validation' AND label >= 3 THEN 'label_length' WHEN length(label::VARCHAR) < 2 AND label < 2 THEN 'blank' ELSE 'kept' END AS outcome FROM rows""",
 )
 def p3(spark, d):
+    """Sampling rates are chosen so that clips last from 1.5 to 64 seconds, on both sides of the limit."""
     text = F.when(F.col("label") < 2, F.col("label").cast("string")).otherwise("two words")
-    clips = v.samples(spark, d).withColumns({"text": text, "labels_length": F.col("label")})
-    kept, rejects = prepare_training(clips, noise(spark, d), key="key", max_labels=3)
+    rate = (F.pmod("vec_id", F.lit(5)) * 10 + 1).cast("int")
+    clips = v.samples(spark, d).withColumns({"text": text, "labels_length": F.col("label"), "sampling_rate": rate})
+    kept, rejects = prepare_training(clips, noise(spark, d), key="key", max_labels=3, max_s=3.0)
     both = kept.withColumn("reason", F.lit("kept")).unionByName(rejects)
     return both.select("vec_id", "split", "variant", F.col("reason").alias("outcome"))

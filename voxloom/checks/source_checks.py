@@ -154,7 +154,7 @@ def a7(spark, d):
     escaped = F.replace(F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("\n"), F.lit("\\n"))
     line = F.format_string("{'text': '%s', 'start': %s, 'duration': %s},", escaped, F.col("lo").cast("string"), (F.col("hi") - F.col("lo")).cast("string"))
     lines = v.segments(spark, d).select(F.concat(F.lit("/subs/vid"), "conv_id", F.lit(".txt")).alias("path"), line.alias("value"))
-    return parse_subtitles(lines).select("video_id", "start", "duration", F.md5("text").alias("text_md5"))
+    return parse_subtitles(lines).kept.select("video_id", "start", "duration", F.md5("text").alias("text_md5"))
 
 
 @check(

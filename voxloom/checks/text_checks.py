@@ -173,12 +173,15 @@ def t22(spark, d):
 
 @check(
     "g1_natural_order",
-    r"""SELECT page_id, array_to_string(list_transform(regexp_extract_all(url, '[0-9]+|[^0-9]+'), lambda x:
-      CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(regexp_replace(x, '^0+', ''), 20, '0') ELSE x END), '~') AS sort_key FROM pages""",
+    r"""WITH k AS (SELECT page_id, list_transform(regexp_extract_all(url, '[0-9]+|[^0-9]+'), lambda x:
+      CASE WHEN regexp_matches(x, '^[0-9]') THEN {'t': '', 'n': length(regexp_replace(x, '^0+', '')), 'd': regexp_replace(x, '^0+', '')}
+      ELSE {'t': x, 'n': 0, 'd': ''} END) AS k FROM pages)
+    SELECT page_id, array_to_string(list_transform(k, lambda p: p.t || CASE WHEN p.t = '' THEN p.n || ':' || p.d ELSE '' END), '~') AS sort_key FROM k""",
 )
 def g1(spark, d):
-    key = natural_key(F.col("url"))
-    return v.table(spark, d, "pages").orderBy(key).select("page_id", F.array_join(key, "~").alias("sort_key"))
+    rows = v.table(spark, d, "pages").select("page_id", natural_key(F.col("url")).alias("k"))
+    shown = F.transform("k", lambda p: F.concat(p["text"], F.when(p["text"] == "", F.concat_ws(":", p["size"], p["digits"])).otherwise("")))
+    return rows.orderBy("k").select("page_id", F.array_join(shown, "~").alias("sort_key"))
 
 
 KEYWORDS = ["tion", "keit", "eaux", "zzzz", " the ", "ver"]

@@ -7,23 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread_scan
+from ..session import shared_folder, spread
 from ..functions.wav import pcm_bytes, pcm_header
 
 
-# Tables whose rows cost far more to work on than to move.
-TEXT_TABLES = {"documents", "conversations", "pages"}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread_scan(rows) if name in TEXT_TABLES else rows
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared one the session names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/voxloom-scratch"
-    return f"{base.rstrip('/')}/voxloom-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/voxloom-{uuid.uuid4().hex}"
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,7 +94,8 @@ def mixed(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("lang") == "de", F.translate(text, "st(,", "中文（，"))
         .otherwise(text)
     )
-    return table(spark, folder, "documents").select("doc_id", "lang", "source", han.alias("text"))
+    # What is done to these texts, letter by letter, costs far more than moving them.
+    return spread(table(spark, folder, "documents")).select("doc_id", "lang", "source", han.alias("text"))
 
 
 MIXED = """mixed AS (

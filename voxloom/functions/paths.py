@@ -71,11 +71,21 @@ def route_paths(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return c if routed is None else routed.otherwise(c)
 
 
-def natural_key(c: Column, width: int = 20) -> Column:
-    """Sort key that orders digit runs by value: text and number pieces in turn, text first."""
+def natural_key(c: Column) -> Column:
+    """Sort key that orders digit runs by value: text and number pieces in turn, text first.
+
+    A number is its digits without leading zeros, compared by their count before themselves, so runs of any
+    length keep their order.
+    """
     pieces = F.regexp_extract_all(c, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
-    padded = F.transform(
-        pieces,
-        lambda x: F.when(x.rlike("^[0-9]"), F.lpad(F.regexp_replace(x, "^0+", ""), width, "0")).otherwise(x),
-    )
-    return F.when(c.rlike("^[0-9]"), F.concat(F.array(F.lit("")), padded)).otherwise(padded)
+
+    def part(x: Column) -> Column:
+        digits = F.when(x.rlike("^[0-9]"), F.regexp_replace(x, "^0+", ""))
+        text = F.when(digits.isNull(), x).otherwise("")
+        return F.struct(
+            text.alias("text"), F.coalesce(F.length(digits), F.lit(0)).alias("size"), F.coalesce(digits, F.lit("")).alias("digits")
+        )
+
+    empty = F.array(F.struct(F.lit("").alias("text"), F.lit(0).alias("size"), F.lit("").alias("digits")))
+    parts = F.transform(pieces, part)
+    return F.when(c.rlike("^[0-9]"), F.concat(empty, parts)).otherwise(parts)

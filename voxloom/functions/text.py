@@ -138,10 +138,31 @@ def sentences(c: Column) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s.rlike(r"[^\s.!?。！？]"))
 
 
+@lru_cache(maxsize=1)
+def _entities_udf():
+    @F.arrow_udf("string")
+    def decode(texts: pa.Array) -> pa.Array:
+        from html import unescape
+
+        return pa.array([None if t is None else unescape(t) for t in texts.to_pylist()], pa.string())
+
+    return decode
+
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric character references as their characters; a hard blank becomes a plain one.
+
+    Texts without references that five built-in replacements do not know stay out of Python.
+    """
+    rare = c.rlike(r"&(?!(?:nbsp|lt|gt|quot|amp);)[#a-zA-Z]")
+    plain = c
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    return F.when(rare, F.translate(_entities_udf()(F.when(rare, c)), "\u00a0", " ")).otherwise(plain)
+
+
 def strip_tags(c: Column) -> Column:
-    """Text of a web page: scripts, styles, comments and tags out, five named entities decoded."""
+    """Text of a web page: scripts, styles, comments and tags out, character references decoded."""
     x = F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    x = F.regexp_replace(x, r"<[^>]*>", " ")
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        x = F.replace(x, F.lit(entity), F.lit(plain))
+    x = decode_entities(F.regexp_replace(x, r"<[^>]*>", " "))
     return F.trim(F.regexp_replace(x, r"[ \t\r\n]+", " "))

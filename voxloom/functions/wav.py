@@ -1,4 +1,4 @@
-"""Reading and writing canonical PCM WAV headers with binary column expressions."""
+"""Reading PCM WAV headers, and writing canonical ones, with binary column expressions."""
 
 from __future__ import annotations
 
@@ -21,36 +21,75 @@ def _uint(hexed: Column, at: int, size: int) -> Column:
     return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
 
 
-def _chunk(hexed: Column, at: int, name: str) -> Column:
-    return F.substring(hexed, 2 * at - 1, 8) == name.encode().hex().upper()
+# Chunks looked at before a file is refused; files of today have four or five.
+MOST_CHUNKS = 64
 
 
-def _fields(hexed: Column) -> Column:
-    plain = (
-        (F.length(hexed) == 2 * HEADER_BYTES)
-        & _chunk(hexed, 1, "RIFF")
-        & _chunk(hexed, 9, "WAVE")
-        & _chunk(hexed, 13, "fmt ")
-        & (_uint(hexed, 17, 4) == 16)
-        & (_uint(hexed, 21, 2) == 1)
-        & _chunk(hexed, 37, "data")
-    )
-    return F.when(
-        plain,
-        F.struct(
-            _uint(hexed, 23, 2).cast("int").alias("channels"),
-            _uint(hexed, 25, 4).cast("int").alias("sample_rate"),
-            _uint(hexed, 29, 4).alias("byte_rate"),
-            _uint(hexed, 33, 2).cast("int").alias("block_align"),
-            _uint(hexed, 35, 2).cast("int").alias("bits"),
-            _uint(hexed, 41, 4).alias("data_bytes"),
-        ),
+def _walk(content: Column) -> Column:
+    """Step from chunk to chunk: the format chunk as hex text, and where the samples begin and how many bytes they have."""
+    start = F.struct(
+        F.lit(13).cast("bigint").alias("at"), F.lit("").alias("fmt"), F.lit(0).cast("bigint").alias("data_at"), F.lit(0).cast("bigint").alias("data_bytes")
     )
 
+    def step(acc: Column, _: Column) -> Column:
+        head = F.hex(F.substring(content, acc["at"].cast("int"), F.lit(8)))
+        size = _uint(head, 5, 4)
+        name = F.substring(head, 1, 8)
+        body = acc["at"] + 8
+        following = (body + size + size % 2).alias("at")
+        found = F.struct(
+            following,
+            acc["fmt"].alias("fmt"),
+            body.alias("data_at"),
+            # A file that was cut off, or written without knowing its length, has what is there.
+            F.least(size, F.greatest(F.octet_length(content) - body + 1, F.lit(0).cast("bigint"))).alias("data_bytes"),
+        )
+        form = F.struct(
+            following,
+            F.hex(F.substring(content, body.cast("int"), F.lit(16))).alias("fmt"),
+            acc["data_at"].alias("data_at"),
+            acc["data_bytes"].alias("data_bytes"),
+        )
+        other = F.struct(following, acc["fmt"].alias("fmt"), acc["data_at"].alias("data_at"), acc["data_bytes"].alias("data_bytes"))
+        ended = (acc["data_at"] > 0) | (F.coalesce(F.length(head), F.lit(0)) < 16)
+        return (
+            F.when(ended, acc)
+            .when(name == b"data".hex().upper(), found)
+            .when(name == b"fmt ".hex().upper(), form)
+            .otherwise(other)
+        )
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(MOST_CHUNKS)), start, step)
+
 
 def pcm_info(content: Column) -> Column:
-    """Struct of format fields; null unless the file has the plain 44-byte PCM header."""
-    return let(F.hex(F.substring(content, 1, HEADER_BYTES)), _fields)
+    """Struct of format fields and of where the samples begin, from 1; null unless the file is PCM in a RIFF WAVE.
+
+    Other chunks may stand before or between the format and the samples.
+    """
+
+    def is_wave(c: Column) -> Column:
+        outer = F.hex(F.substring(c, 1, 12))
+        return (F.substring(outer, 1, 8) == b"RIFF".hex().upper()) & (F.substring(outer, 17, 8) == b"WAVE".hex().upper())
+
+    def fields(found: Column) -> Column:
+        form = found["fmt"]
+        good = (F.length(form) == 32) & (_uint(form, 1, 2) == 1) & (found["data_at"] > 0)
+        return F.when(
+            good,
+            F.struct(
+                _uint(form, 3, 2).cast("int").alias("channels"),
+                _uint(form, 5, 4).cast("int").alias("sample_rate"),
+                _uint(form, 9, 4).alias("byte_rate"),
+                _uint(form, 13, 2).cast("int").alias("block_align"),
+                _uint(form, 15, 2).cast("int").alias("bits"),
+                found["data_bytes"].alias("data_bytes"),
+                found["data_at"].alias("data_at"),
+            ),
+        )
+
+    # Named once, so that content which is itself an expression is not computed at every step.
+    return let(content, lambda c: F.when(is_wave(c), let(_walk(c), fields)))
 
 
 def little_endian(value: Column, size: int) -> Column:

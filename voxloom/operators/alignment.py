@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import COUNTS, OP
-from ..session import spread_width
 
 # Table columns kept at a time while walking back; shorter hypotheses are kept whole.
 _BLOCK = 256
@@ -173,12 +172,6 @@ def align_ops(ref: Column, hyp: Column) -> Column:
     return _udfs()[1](ref, hyp)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out rows before quadratic work: scan and join partitions are sized by bytes, and one hot key
-    may fill one of them, while the cost here goes with the product of both lengths."""
-    return df.repartition(spread_width(df))
-
-
 def align(df: DataFrame, ref: str = "ref_words", hyp: str = "hyp_words") -> DataFrame:
     """Add ``cor``, ``sub``, ``ins``, ``del`` and ``ref_len`` to each pair of word arrays.
 

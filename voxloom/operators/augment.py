@@ -26,12 +26,13 @@ def assign_noise(df: DataFrame, noise: DataFrame, key: str, seed: int = 0, noise
     """Give every row one noise clip, drawn by hash; ``noise`` has an integer id and ``noise_samples``.
 
     Clips are numbered and joined on the number. Every clip is drawn about equally often, and whether the
-    noise table is small enough to broadcast is left to its measured size.
+    noise table is small enough to broadcast is left to its measured size. Without any clip every row is kept
+    and has null noise, which ``augment`` leaves out.
     """
     numbered = dense_index(noise, noise_id, name="_pick")
     n = noise.agg(F.count("*")).scalar()
     pick = F.floor(unit_hash(F.col(key), seed, "clip") * n).cast("bigint")
-    return df.withColumn("_pick", pick).join(numbered, "_pick").drop("_pick")
+    return df.withColumn("_pick", pick).join(numbered, "_pick", "left").drop("_pick")
 
 
 def invert(samples: Column) -> Column:

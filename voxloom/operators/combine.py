@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import hash_rank, py_round, unit_hash
 from ..functions.text import words
-from .alignment import align_ops, spread
+from ..session import spread
+from .alignment import align_ops
+from .filters import Split, first_reason, reason_if, split_by
 from .ordering import dense_index
 
 
 def join_neighbours(
     df: DataFrame, group: str = "source", order: str = "row_id", path: str = "audio_filepath", max_s: float = 30.0
-) -> DataFrame:
-    """Rows 0+1, 2+3, … of each source as one longer row, where the sum of durations stays within ``max_s``."""
+) -> Split:
+    """Rows 0+1, 2+3, … of each source as one longer row, where the sum of durations stays within ``max_s``.
+
+    Pairs that are too long, or whose length is unknown, and the last row of an odd source are rejects.
+    """
     numbered = dense_index(df.select(group, order, path, "duration", "text"), order, [group])
     first, second = F.col("idx") % 2 == 0, F.col("idx") % 2 == 1
 
@@ -28,8 +33,13 @@ def join_neighbours(
         side(second, path).alias("second_path"),
         (side(first, "duration") + side(second, "duration")).alias("duration"),
         F.concat_ws(" ", side(first, "text"), side(second, "text")).alias("text"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    return joined.filter(F.col("second_path").isNotNull() & (F.col("duration") <= max_s))
+    reason = first_reason(
+        F.when(F.col("_rows") == 1, F.lit("no_partner")), reason_if(~(F.col("duration") <= max_s), "long")
+    )
+    tagged = split_by(joined, reason)
+    return Split(tagged.kept.drop("_rows"), tagged.rejects.drop("_rows"))
 
 
 def files_of_words(timed: DataFrame) -> DataFrame:
@@ -39,24 +49,31 @@ def files_of_words(timed: DataFrame) -> DataFrame:
     )
 
 
-def overtalk(timed: DataFrame, seed: int = 0, max_overlap: float = 1.0) -> DataFrame:
+def overtalk(timed: DataFrame, seed: int = 0, max_overlap: float = 1.0) -> Split:
     """Pairs of files where the second starts before the first ends.
 
     Files fall into two halves by hash and meet by rank; the overlap is drawn by hash. The result is a plan:
-    files, offset of the second, merged text in order of word starts, total length.
+    files, offset of the second, merged text in order of word starts, total length. Files of the larger half
+    that find no partner are rejects.
     """
-    files = files_of_words(timed).withColumn("_half", unit_hash(F.col("audio_filepath"), seed, "half") < 0.5)
-    ordered = files.withColumn("_order", hash_rank(F.col("audio_filepath"), seed, "order"))
+    # Names alone are numbered and paired; the words are joined to the pairs.
+    names = timed.groupBy("audio_filepath").agg(F.max("end").alias("length"))
+    halves = names.withColumn("_half", unit_hash(F.col("audio_filepath"), seed, "half") < 0.5)
+    ordered = halves.withColumn("_order", hash_rank(F.col("audio_filepath"), seed, "order"))
     # Hashes are spread over 60 bits, so 2^20 ranges of 40 bits share the files evenly.
     ranked = dense_index(ordered, "_order", ["_half"], "_rank", row_bits=40, ties=["audio_filepath"])
-    a = ranked.filter("_half").select(
-        "_rank", F.col("audio_filepath").alias("first_path"), F.col("length").alias("_la"), F.col("words").alias("_wa")
-    )
-    b = ranked.filter("NOT _half").select(
-        "_rank", F.col("audio_filepath").alias("second_path"), F.col("length").alias("_lb"), F.col("words").alias("_wb")
+    a = ranked.filter("_half").select("_rank", F.col("audio_filepath").alias("first_path"), F.col("length").alias("_la"))
+    b = ranked.filter("NOT _half").select("_rank", F.col("audio_filepath").alias("second_path"), F.col("length").alias("_lb"))
+    met = a.join(b, "_rank", "full")
+    alone = met.filter("first_path IS NULL OR second_path IS NULL").select(
+        F.coalesce("first_path", "second_path").alias("audio_filepath"), F.coalesce("_la", "_lb").alias("length"), F.lit("no_partner").alias("reason")
     )
+    words_of = files_of_words(timed)
+    met = met.filter("first_path IS NOT NULL AND second_path IS NOT NULL")
+    met = met.join(words_of.select(F.col("audio_filepath").alias("first_path"), F.col("words").alias("_wa")), "first_path")
+    met = met.join(words_of.select(F.col("audio_filepath").alias("second_path"), F.col("words").alias("_wb")), "second_path")
     overlap = unit_hash(F.col("first_path"), F.col("second_path"), seed) * F.least(F.lit(max_overlap), "_la", "_lb")
-    met = a.join(b, "_rank").withColumn("overlap", py_round(overlap, 3))
+    met = met.withColumn("overlap", py_round(overlap, 3))
     offset = F.col("_la") - F.col("overlap")
     moved = F.transform(
         "_wb",
@@ -65,7 +82,7 @@ def overtalk(timed: DataFrame, seed: int = 0, max_overlap: float = 1.0) -> DataF
         ),
     )
     merged = F.array_sort(F.concat("_wa", moved))
-    return met.select(
+    pairs = met.select(
         "first_path",
         "second_path",
         "overlap",
@@ -73,6 +90,7 @@ def overtalk(timed: DataFrame, seed: int = 0, max_overlap: float = 1.0) -> DataF
         F.greatest(F.col("_la"), offset + F.col("_lb")).alias("length"),
         F.array_join(F.transform(merged, lambda w: w["word"]), " ").alias("text"),
     )
+    return Split(pairs, alone)
 
 
 def insert_backchannels(

@@ -52,4 +52,5 @@ def rename_plan(df: DataFrame, col: str = "path") -> DataFrame:
     folder = F.regexp_replace("source", "[^/]*$", "")
     plan = named.select("source", F.concat(folder, "id", F.lit(".wav")).alias("target"))
     claims = plan.groupBy("target").agg(F.count("*").alias("claims"))
-    return skew_join(plan, claims, ["target"]).select("source", "target", (F.col("claims") > 1).alias("collision"))
+    counts = claims.withColumnRenamed("claims", "_n")
+    return skew_join(plan, claims, ["target"], counts=counts).select("source", "target", (F.col("claims") > 1).alias("collision"))

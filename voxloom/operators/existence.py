@@ -43,6 +43,6 @@ def keep_listed(df: DataFrame, listing: DataFrame, key: str, path: str = "path")
 def manifest_from_tsv(df: DataFrame, listing: DataFrame, order: str = "row_id") -> DataFrame:
     """Listed clips of a path/sentence table, first row per clip, text cut at the full-width bracket."""
     named = df.withColumn("audio_filepath", swap_ext(F.col("path"), ".mp3", ".wav"))
-    first = first_by(named.drop("path"), "audio_filepath", order)
-    kept = keep_listed(first, listing, "audio_filepath")
+    listed = keep_listed(named.drop("path"), listing, "audio_filepath")
+    kept = first_by(listed, "audio_filepath", order)
     return kept.select("audio_filepath", cut_at(F.col("sentence")).alias("text"))

@@ -22,6 +22,6 @@ def first_language(tracks: DataFrame, priority: Sequence[str] = LANGUAGES, key:
 
 
 def tracks_with_segments(segments: DataFrame, key: str = "id", n: int = 2) -> DataFrame:
-    """Segment rows of the tracks that have at least ``n`` of them."""
-    enough = segments.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= n).drop("_n")
-    return skew_join(segments, enough, [key])
+    """Segment rows of the tracks that have at least ``n`` of them; rows without a track id count as one track."""
+    counts = segments.groupBy(key).agg(F.count("*").alias("_n"))
+    return skew_join(segments, counts.filter(F.col("_n") >= n).select(key), [key], counts=counts)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .dedupe import first_by
 from .ordering import top_per_group
 
-# Longest list tested with one expression per keyword; a code-size limit, not a limit on keywords.
+# Longest list tested with one expression per keyword; longer ones give the same rows by an automaton.
 _INLINE = 64
 
 
@@ -26,29 +26,33 @@ def _automaton_hits(keywords: Sequence[str]):
 
     def finder():
         if not built:
-            try:
-                import ahocorasick
+            import ahocorasick
 
-                machine = ahocorasick.Automaton()
-                for at, word in enumerate(words):
+            machine = ahocorasick.Automaton()
+            for at, word in enumerate(words):
+                if word:
                     machine.add_word(word, (*machine.get(word, ()), at))
-                machine.make_automaton()
-                built.append(lambda text: sorted({at for _, hits in machine.iter(text) for at in hits}))
-            except ImportError:
-                built.append(lambda text: [at for at, word in enumerate(words) if word in text])
+            machine.make_automaton()
+            # The automaton cannot look for the empty keyword, which every text contains.
+            always = {at for at, word in enumerate(words) if not word}
+            some = len(always) < len(words)
+            built.append(lambda text: sorted(always.union(at for _, hits in (machine.iter(text) if some else ()) for at in hits)))
         return built[0]
 
     @F.arrow_udf("array<int>")
     def hits(texts: pa.Array) -> pa.Array:
         find = finder()
-        found = [None if t is None else find(t) for t in texts.to_numpy(zero_copy_only=False)]
+        found = [[] if t is None else find(t) for t in texts.to_numpy(zero_copy_only=False)]
         return pa.array(found, pa.list_(pa.int32()))
 
     return hits
 
 
 def keyword_hits(c: Column, keywords: Sequence[str]) -> Column:
-    """Positions in the list of the keywords a text contains, case-sensitive."""
+    """Positions in the list of the keywords a text contains, case-sensitive.
+
+    Every text contains the empty keyword; a null text contains none.
+    """
     if len(keywords) <= _INLINE:
         tests = [F.when(F.contains(c, F.lit(word)), F.lit(at)) for at, word in enumerate(keywords)]
         return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<int>")

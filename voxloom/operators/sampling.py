@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import unit_hash
+from ..functions.numbers import hash_rank, unit_hash
 from .ordering import dense_index, top_per_group
 
 RATIOS = (("train", 0.8), ("test", 0.1), ("validation", 0.1))
@@ -20,7 +20,13 @@ def review_sample(df: DataFrame, strata: Sequence[str], n: int, key: str, seed:
 
 def epoch_shuffle(df: DataFrame, key: str, epoch: int) -> DataFrame:
     """A new order for each epoch, by a distributed sort."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(epoch)), key)
+    return df.orderBy(hash_rank(F.col(key), epoch, "epoch"), key)
+
+
+def epoch_places(df: DataFrame, key: str, epoch: int) -> DataFrame:
+    """Add ``place``, the number of each row in the order of an epoch, without sorting all rows in one task."""
+    ranked = df.withColumn("_order", hash_rank(F.col(key), epoch, "epoch"))
+    return dense_index(ranked, "_order", name="place", row_bits=40, ties=[key]).drop("_order")
 
 
 def split_column(key: Column, ratios: Sequence[tuple[str, float]] = RATIOS, seed: int = 0) -> Column:

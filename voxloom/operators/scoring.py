@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.numbers import py_round
 from ..functions.paths import natural_key
 from ..functions.text import normalize_basic, space_scripts, strip_punct, tokenize_mixed, words
-from .alignment import align, cer, char_distance, spread
+from ..session import spread
+from .alignment import align, cer, char_distance
 from .filters import reason_if
 
 

@@ -15,15 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import space_scripts, words
-from .alignment import spread
+from ..session import spread
 from .ordering import skew_join
 
-# Fixed value: no word is longer than this.
+# Fixed value: the longest word a token is split into; longer vocabulary words are not used, nor counted in totals.
 MAX_WORD = 24
 
-# Rows of a vocabulary, each a word or pair of words and a count, that every task may hold.
-SMALL_VOCABULARY = 500_000
-
 
 def word_counts(df: DataFrame, col: str = "text") -> DataFrame:
     """Occurrences of each Latin word in well-spaced text."""
@@ -124,9 +121,9 @@ def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None =
     tokens = spread(tokens.select("token", F.unhex(F.md5("token")).alias("_id"), longest.alias("_longest")))
     parts = _substrings(tokens.filter("token <> ''"))
     # Size estimates do not see the explode, so left alone the planner takes the substrings for the small
-    # side. A vocabulary that is counted small is broadcast; a larger one is hashed partition by partition.
-    small = known.limit(SMALL_VOCABULARY + 1).count() <= SMALL_VOCABULARY
-    known = F.broadcast(known) if small else known.hint("shuffle_hash")
+    # side. The vocabulary is hashed partition by partition instead; where its measured size allows,
+    # adaptive execution sends it to all tasks.
+    known = known.hint("shuffle_hash")
     hits = parts.join(known, "part").groupBy("_id").agg(F.collect_set(F.struct("w", "n")).alias("known"))
     joined = tokens.join(hits, "_id", "left").withColumn("total", counts.agg(F.sum("n")).scalar())
     return spread(joined).select("token", _splitter()(F.col("token"), F.col("known"), F.col("total")).alias("words"))
@@ -138,7 +135,7 @@ def segment_latin(
     """Respace transcripts: blanks out, scripts spaced, Latin runs split into lower-case words.
 
     The result starts with a blank. A text that is one run is only split when it begins with a lower-case
-    letter; runs without a letter pass through.
+    letter; runs without a letter pass through. A null text stays null.
     """
     spaced = space_scripts(F.replace(F.col(col), F.lit(" "), F.lit("")))
     runs = df.select(key, F.split(spaced, " ").alias("runs"), spaced.rlike("^[a-z]").alias("_low"))
@@ -151,4 +148,4 @@ def segment_latin(
     other = pieces.filter("token IS NULL").select(key, "pos", F.col("run").alias("words"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "words"))), lambda p: p["words"]), " ")
     rebuilt = done.unionByName(other).groupBy(key).agg(F.concat(F.lit(" "), text).alias(col))
-    return df.drop(col).join(rebuilt, key)
+    return df.drop(col).join(rebuilt, key, "left")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import base_name, decode_segment
-from ..functions.wav import HEADER_BYTES, let, pcm_header, pcm_info
+from ..functions.wav import let, pcm_header, pcm_info
+from .filters import Split
 
 
 def segment_sources(segments: DataFrame, col: str = "audio_filepath") -> DataFrame:
@@ -16,16 +17,29 @@ def segment_sources(segments: DataFrame, col: str = "audio_filepath") -> DataFra
     )
 
 
-def cut_segments(segments: DataFrame, recordings: DataFrame, col: str = "audio_filepath") -> DataFrame:
-    """PCM bytes of each segment with a header of its own.
+def cut_segments(segments: DataFrame, recordings: DataFrame, col: str = "audio_filepath") -> Split:
+    """PCM bytes of each segment with a header of its own. Segments whose name tells no place, whose recording is
+    missing or is no PCM file are rejects.
 
     Recordings are (path, content) as ``binaryFile`` reads them. Bytes are cut in the row where segment and
     recording meet, so whole recordings do not travel any further.
     """
     info = pcm_info(F.col("content"))
-    tapes = recordings.select(base_name(F.col("path")).alias("source"), "content", info.alias("_info"))
-    met = segment_sources(segments, col).join(tapes.filter("_info IS NOT NULL"), "source")
-    return met.withColumn("_cut", let(F.col("_info"), _cut)).select(*segments.columns, "source", "_cut.data_bytes", "_cut.content")
+    tapes = recordings.select(base_name(F.col("path")).alias("source"), "content", info.alias("_info"), F.lit(True).alias("_there"))
+    named = segment_sources(segments, col)
+    placed = named.filter("source IS NOT NULL AND seg_start IS NOT NULL AND seg_end IS NOT NULL")
+    met = placed.join(tapes.filter("_info IS NOT NULL"), "source")
+    cut = met.withColumn("_cut", let(F.col("_info"), _cut)).select(*segments.columns, "source", "_cut.data_bytes", "_cut.content")
+    # For the rejects only names and headers are read, no samples travel.
+    known = tapes.select("source", "_there", F.col("_info").isNotNull().alias("_pcm"))
+    lost = named.join(known, "source", "left").select(
+        *segments.columns,
+        F.when(F.col("source").isNull() | F.col("seg_start").isNull() | F.col("seg_end").isNull(), "bad_name")
+        .when(F.col("_there").isNull(), "no_recording")
+        .when(~F.col("_pcm"), "no_pcm_header")
+        .alias("reason"),
+    )
+    return Split(cut, lost.filter("reason IS NOT NULL"))
 
 
 def _cut(info: Column) -> Column:
@@ -36,7 +50,7 @@ def _cut(info: Column) -> Column:
 
     def piece(s: Column) -> Column:
         n_bytes = F.greatest(s["last"] - s["first"], F.lit(0)) * align
-        data = F.substring("content", F.lit(HEADER_BYTES) + s["first"] * align + 1, n_bytes)
+        data = F.substring("content", (info["data_at"] + s["first"] * align).cast("int"), n_bytes.cast("int"))
         header = let(n_bytes, lambda n: pcm_header(n, rate, info["channels"], info["bits"]))
         return F.struct(n_bytes.alias("data_bytes"), F.concat(header, data).alias("content"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import natural_key
-from ..operators.alignment import spread
+from ..session import spread
 from ..operators.loanwords import loan_word_scores, loan_words
 from ..operators.scoring import macro_scores, pair, score_words, scoring_words
 

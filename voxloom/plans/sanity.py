@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_basic, words
-from ..operators.alignment import spread
+from ..session import spread
 from ..operators.filters import split_empty_refs
 from ..operators.scoring import score_words
 

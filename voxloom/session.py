@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -29,20 +31,25 @@ def local_session(app: str = "voxloom", cores: int | str = "*", memory: str = "8
     return spark
 
 
-def spread_width(df: DataFrame) -> int:
-    """Number of partitions for work whose cost is CPU, not bytes."""
-    spark = df.sparkSession
-    return max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
-    )
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
+
+    Where none is set, a local session gets a temporary one; on a cluster that is an error, since a folder of
+    one machine would lose rows.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="voxloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that the scan cannot split, such as one file of one row group.
+def spread(df: DataFrame) -> DataFrame:
+    """Even out rows before work whose cost goes far beyond their bytes.
 
-    A scan with as many partitions as cores is left alone, so large inputs are never moved.
+    Scan and join partitions are sized by bytes, and one file or one hot key may fill one of them. Adaptive
+    execution cuts the moved rows into parts of the advisory size, as many as the data ask for.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df if files >= cores or df.rdd.getNumPartitions() >= 4 * cores else df.repartition(cores)
+    return df.hint("rebalance")

@@ -13,6 +13,7 @@ from ..schemas import SUBTITLE
 
 # Lines of a text file that hold one of these are mail headers.
 HEADER_MARKS = ("Subject:", "From:", "Date:", "To:")
+# Address of a video page, and the layouts of both report lines.
 WATCH_URL = "https://www.youtube.com/watch?v="
 
 
@@ -73,14 +74,19 @@ def sanity_manifest(parsed: DataFrame, clean: bool = False) -> DataFrame:
     return parsed.select("audio_filepath", text.alias("text"))
 
 
-def parse_subtitles(lines: DataFrame, col: str = "value", path: str = "path") -> DataFrame:
-    """Subtitle files, one dictionary per line with a comma after it; the video id is the file's stem."""
+def parse_subtitles(lines: DataFrame, col: str = "value", path: str = "path") -> Split:
+    """Subtitle files, one dictionary per line with a comma after it; the video id is the file's stem.
+
+    Lines that are no such dictionary are rejects.
+    """
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
     record = F.from_json(F.regexp_replace(F.col(col), r",\s*$", ""), SUBTITLE, options)
     rest = [c for c in lines.columns if c not in (col, path)]
-    return lines.select(
-        *rest, F.regexp_replace(base_name(F.col(path)), r"\.[^.]*$", "").alias("video_id"), record.alias("_r")
-    ).select(*rest, "video_id", "_r.text", "_r.start", "_r.duration").filter("start IS NOT NULL")
+    parsed = lines.select(
+        *rest, F.regexp_replace(base_name(F.col(path)), r"\.[^.]*$", "").alias("video_id"), record.alias("_r"), F.col(col).alias("line")
+    )
+    kept = parsed.filter("_r.start IS NOT NULL").select(*rest, "video_id", "_r.text", "_r.start", "_r.duration")
+    return Split(kept, parsed.filter("_r.start IS NULL").select(*rest, "video_id", "line", F.lit("unparsed").alias("reason")))
 
 
 def clean_lines(lines: DataFrame, col: str = "value") -> DataFrame:
