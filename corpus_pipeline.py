@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm import bpe, mixing, near_dedup, queries, secret_scan, toxicity
-from voxloom.llm.common import shared_folder
+from voxloom.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -44,10 +44,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document taken, and whether decoding them gives the text back."""
     ranks, pattern = queries.rank_file()
-    ids = bpe.encode(docs, ranks, pattern, ["doc_id", "lang", "source", "text"])
-    keep = ["doc_id", "lang", "source", "text", "ids"]
-    exact = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return bpe.decode(ids, ranks, keep).select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"), exact.alias("exact"))
+    keep = ["doc_id", "lang", "source", "_sha"]
+    # A digest goes along instead of the text, to compare what decoding gives.
+    marked = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    ids = bpe.encode(marked, ranks, pattern, keep)
+    exact = F.sha2("decoded", 256) == F.col("_sha")
+    return bpe.decode(ids, ranks, [*keep, "ids"]).select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"), exact.alias("exact"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import worker_memo
+from .common import carry, worker_memo
 
 # Distinct pieces a task remembers; beyond that it starts anew, which costs time only.
 REMEMBERED = 500_000
@@ -112,6 +112,7 @@ def encode(
     with open(rank_file, "rb") as file:
         ranks_sent = df.sparkSession.sparkContext.broadcast(file.read())
     schema = T.StructType([*df.select(*keep).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    texts, at = carry(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -120,15 +121,15 @@ def encode(
         cut = regex.compile(pattern).findall
         ids_of = pieces.__getitem__
         for batch in batches:
-            texts = pc.fill_null(batch.column(len(keep)), "")
-            packed = [b"".join(map(ids_of, cut(t.as_py()))) for t in texts]
+            whole = pc.fill_null(batch.column(at), "")
+            packed = [b"".join(map(ids_of, cut(t.as_py()))) for t in whole]
             sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(packed), np.int32))
             ids = pa.ListArray.from_arrays(pa.array(offsets), values)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], [*keep, out])
 
-    return df.select(*keep, df[text].cast("string").alias("_cut")).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def decode(

@@ -3,35 +3,21 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 T = TypeVar("T")
 
 # A word: a run of anything but the six ASCII blanks. The same pattern in Java, Python and SQL.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
-
-    Where none is set, a local session gets a temporary one; on a cluster that is an error, since a folder of
-    one machine would lose rows.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="voxloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def settle(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder and read back: lineage is cut and a lost executor loses nothing."""
     path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
@@ -52,5 +38,12 @@ def hash60(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")
 
 
+def carry(df: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, int]:
+    """The columns ``keep`` and the text, and the place of the text among them; it is sent to Python only once."""
+    if text in keep and df.schema[text].dataType.simpleString() == "string":
+        return df.select(*keep), list(keep).index(text)
+    return df.select(*keep, df[text].cast("string").alias("_carried_text")), len(keep)
+
+
 def whole_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import carry
 from .hashing import hash_pieces, lower_ascii, sequences, text_blocks, window_minimum
 
 GRAM, WINDOW = 3, 3
@@ -196,12 +197,13 @@ def find_licenses(
     keep = [c for c in keep if c != out]
     templates = dict(templates)
     schema = T.StructType([*df.select(*keep).schema.fields, T.StructField(out, MATCHES)])
+    texts, column = carry(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = _Library(templates)
         for batch in batches:
             rows: list[list[dict]] = []
-            for low, high, data, offsets in text_blocks(batch.column(len(keep))):
+            for low, high, data, offsets in text_blocks(batch.column(column)):
                 own: list[list[dict]] = [[] for _ in range(high - low)]
                 starts, ends, row, words = _words(data, offsets)
                 marks, at = winnow(words, row)
@@ -220,4 +222,4 @@ def find_licenses(
                 rows += own
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(rows, _ARROW)], [*keep, out])
 
-    return df.select(*keep, df[text].cast("string").alias("_scanned")).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import carry
 from .hashing import lower_ascii, text_blocks
 
 
@@ -230,17 +231,17 @@ def find_secrets(
     rules = tuple(rules)
     keep = [c for c in keep if c != out]
     schema = T.StructType([*df.select(*keep).schema.fields, T.StructField(out, SECRETS)])
+    texts, at = carry(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = _scanner(rules)
         for batch in batches:
             rows = [
                 [{"kind": rules[k].kind, "start": a, "end": b, "secret": s} for a, k, b, s in spans]
-                for _, spans in scan(batch.column(len(keep)))
+                for _, spans in scan(batch.column(at))
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(rows, _ARROW)], [*keep, out])
 
-    texts = df.select(*keep, df[text].cast("string").alias("_scanned"))
     return texts.mapInArrow(run, schema)
 
 

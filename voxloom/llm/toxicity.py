@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import carry, hash60
 from .hashing import FACTORS, mix
 
 BUCKETS = 1 << 18
@@ -29,7 +30,7 @@ GRAMS = (3, 4, 5)
 MOST_PER_CLASS = 1_500
 # Neutral subwords that every text has besides its own, so that one odd word does not decide a text of few words.
 NEUTRAL = 100
-_BLOCK_CHARS = 1 << 20
+_BLOCK_CHARS = 1 << 18
 
 
 class Model(NamedTuple):
@@ -40,7 +41,7 @@ class Model(NamedTuple):
 
 
 def text_chars(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, code points, row of each) for blocks of about a million characters.
+    """(first row, last row + 1, code points, row of each) for blocks of a bounded number of characters.
 
     Letters are lower-case and runs of ASCII blanks one blank; every row begins and ends with a blank.
     """
@@ -95,8 +96,6 @@ def training_sample(
     This bounds what training reads, not what is scored. Rows with a null label, or whose text is missing, are
     not used. ``usable`` is a condition on the labelled key.
     """
-    from .common import hash60
-
     known = labels.filter(usable & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
     counts = {int(r[0]): int(r[1]) for r in known.groupBy("_label").count().collect()}
     draw = hash60(F.col("_key").cast("string"))
@@ -221,6 +220,7 @@ def score(df: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text:
     """
     keep = [c for c in keep if c != out]
     sent = df.sparkSession.sparkContext.broadcast(model)
+    texts, at = carry(df, keep, text)
     schema = T.StructType([*df.select(*keep).schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +228,7 @@ def score(df: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text:
         weights = weights.astype(np.float64)
         for batch in batches:
             found = np.zeros(batch.num_rows)
-            for low, high, chars, row in text_chars(batch.column(len(keep))):
+            for low, high, chars, row in text_chars(batch.column(at)):
                 total, many = np.zeros(high - low), np.zeros(high - low)
                 for rows, buckets in subwords(chars, row):
                     total += np.bincount(rows - low, weights[buckets], high - low)
@@ -237,4 +237,4 @@ def score(df: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text:
                 found[low:high] = 1 / (1 + np.exp(-logit))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found)], [*keep, out])
 
-    return df.select(*keep, df[text].cast("string").alias("_scored")).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
