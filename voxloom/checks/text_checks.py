@@ -250,7 +250,7 @@ def x1(spark, d):
 @check(
     "x2_page_sentences",
     rf"""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g') AS x FROM pages),
-    p AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g')) AS text FROM t),
+    p AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g')) AS text FROM t),
     s AS (SELECT page_id, {SENTENCES_SQL.format(c='text')} AS sentence FROM p), {KEYWORDS_SQL}
     SELECT page_id, keyword, sentence FROM s, kw WHERE contains(sentence, keyword)""",
 )
