@@ -476,3 +476,11 @@ def test_pipeline_against_its_stages(spark):
     final = {r.doc_id: r for r in corpus_pipeline.tokenize(spark, mixed, FOLDER).collect()}
     assert all(final[r.doc_id].ids == library.encode_ordinary(r.text) and final[r.doc_id].exact for r in mixed.collect())
     assert corpus_pipeline.run(spark, FOLDER).count() == sum(plan.values())
+
+
+def test_folded_merges_agree(spark):
+    words = ["hello", " worlds", "é漢字", "", "a" * 9, None, "qzxv", "Licensed"]
+    path = queries.rank_file()[0]
+    ranks = bpe.read_ranks(open(path, "rb").read())
+    got = {r.word: r.ids for r in bpe.merge_words(spark.createDataFrame([(w,) for w in words], "word string"), path).collect()}
+    assert got == {w: None if w is None else bpe.merge_piece(w.encode(), ranks) for w in words}

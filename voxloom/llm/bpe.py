@@ -7,13 +7,16 @@ depends on the piece alone, so a task merges each distinct piece once and looks
 from __future__ import annotations
 
 import base64
+import json
+import zlib
 from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import carry, worker_memo
@@ -158,3 +161,50 @@ def _lists(column: pa.Array) -> Iterator[list[int] | None]:
     offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
     for known, low, high in zip(column.is_valid().to_pylist(), offsets[:-1], offsets[1:]):
         yield values[low:high].tolist() if known else None
+
+
+def _rank_tables(ranks: dict[bytes, int]) -> tuple[Column, int]:
+    """The ranks as one literal: small maps from a piece, in hexadecimal, to its rank, found by a checksum of the piece.
+
+    A map literal is searched entry by entry, so one map of all pieces would make every look-up as long as the vocabulary.
+    """
+    many = 1 << max(1, (len(ranks) - 1).bit_length())
+    tables: list[dict[str, int]] = [{} for _ in range(many)]
+    for piece, rank in ranks.items():
+        key = piece.hex().upper()
+        tables[zlib.crc32(key.encode()) % many][key] = rank
+    return F.from_json(F.lit(json.dumps(tables)), "array<map<string,int>>"), many
+
+
+def merge_words(words: DataFrame, rank_file: str, word: str = "word", out: str = "ids") -> DataFrame:
+    """``words``, one piece a row, with the ids of each: the ranked merges folded by higher-order functions.
+
+    The built-in form of ``merge_piece``. Bytes are pairs of hexadecimal digits; one step of the fold merges the leftmost
+    neighbours of lowest rank, until no neighbours have one. Null gives null, the empty piece no ids. It
+    is right but slow; see the README for how slow.
+    """
+    with open(rank_file, "rb") as file:
+        tables, many = _rank_tables(read_ranks(file.read()))
+
+    def rank(piece: Column) -> Column:
+        return F.element_at(F.get(tables, F.pmod(F.crc32(piece), F.lit(many)).cast("int")), piece)
+
+    def step(parts: Column, _: Column) -> Column:
+        pairs = F.zip_with(
+            F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 2, F.size(parts)), lambda a, b: F.concat(a, b)
+        )
+        costs = F.transform(pairs, lambda p, k: F.struct(rank(p).alias("rank"), k.alias("k"), p.alias("p")))
+        best = F.array_min(F.filter(costs, lambda c: c["rank"].isNotNull()))
+
+        def merged(low: Column) -> Column:
+            joined = F.concat(F.slice(parts, 1, low["k"]), F.array(low["p"]), F.slice(parts, low["k"] + 3, F.size(parts)))
+            return F.when(low.isNull(), parts).otherwise(joined)
+
+        return F.get(F.transform(F.array(best), merged), F.lit(0))
+
+    hexed = F.hex(F.encode(F.col(word), "UTF-8"))
+    parts = F.regexp_extract_all(hexed, F.lit("(..)"), F.lit(1))
+    steps = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
+    folded = F.aggregate(steps, parts, step)
+    whole = rank(hexed)
+    return words.withColumn(out, F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank)))
