@@ -11,7 +11,7 @@ from ..operators.alignment import align, confusions, word_distance
 from ..operators.filters import below_rate
 from ..session import spread
 from ..plans import checkpoint_report, sanity_check, score_checkpoints
-from ..sources import write_score_report
+from ..sources import parse_sanity_lines, write_averages, write_sanity_report, write_score_report
 from . import views as v
 from .registry import check
 from .text_checks import clean_sql, normal_sql, spaced_sql, tokens_sql
@@ -174,6 +174,47 @@ def b2(spark, d):
     return spark.read.schema("line string, checkpoint string").text(f"{path}/text").select("checkpoint", "line")
 
 
+@check(
+    "b2_sanity_report",
+    walk_sql(PLAIN) + f"""SELECT split_part(id, '|', 1) AS checkpoint, split_part(id, '|', 2) AS audio_filepath, round(cost / n::DOUBLE, 9) AS rate,
+      md5(trim({normal_sql('refs.text')})) AS ref_md5, md5(trim({normal_sql('predictions.hyp')})) AS hyp_md5
+    FROM counts JOIN refs ON refs.audio_filepath = split_part(id, '|', 2)
+      JOIN predictions ON predictions.audio_filepath = refs.audio_filepath AND predictions.checkpoint = split_part(id, '|', 1)
+    WHERE cost / n::DOUBLE < 0.15 AND length(trim({normal_sql('refs.text')})) > 1""",
+)
+def b2b(spark, d):
+    """The report of accepted rows, read back by the parser of such reports."""
+    path = v.scratch(spark)
+    named = pairs(spark, d).withColumn("audio_filepath", F.concat_ws("|", "checkpoint", "audio_filepath"))
+    write_sanity_report(sanity_check(named, 0.15).scored, path, 0.15)
+    parsed = parse_sanity_lines(spark.read.text(f"{path}/accepted")).kept
+    place = F.split("audio_filepath", r"\|")
+    return parsed.select(
+        place[0].alias("checkpoint"), place[1].alias("audio_filepath"), F.round("rate", 9).alias("rate"), F.md5("ref").alias("ref_md5"), F.md5("hyp").alias("hyp_md5")
+    )
+
+
+@check(
+    "b2_averages",
+    walk_sql(SCORING).rstrip() + ",\n" + MACRO_SQL + """ SELECT checkpoint, checkpoint || '  |  AVERAGE COR: ' || format('{:.2f}', avg_cor) || '  |  AVERAGE WER: ' || format('{:.2f}', avg_wer)
+      || '  |  AVERAGE INS: ' || format('{:.2f}', avg_ins) || '  |  AVERAGE SUB: ' || format('{:.2f}', avg_sub) || '  |  AVERAGE DEL: ' || format('{:.2f}', avg_del) AS line FROM macro""",
+)
+def b2c(spark, d):
+    path = v.scratch(spark)
+    write_averages(scoring.macro_scores(score_checkpoints(v.refs(spark, d), v.predictions(spark, d))), path)
+    return spark.read.schema("line string, checkpoint string").text(path).select("checkpoint", "line")
+
+
+@check(
+    "e12_best_by_cer",
+    RP + f"""SELECT arg_min(checkpoint, cer) AS best_by_cer FROM (SELECT checkpoint, sum(levenshtein({NARROW.format(c='text')}, {NARROW.format(c='hyp')})) / sum(length(text))::DOUBLE AS cer
+    FROM predictions JOIN refs USING (audio_filepath) GROUP BY 1)""",
+)
+def e12b(spark, d):
+    cer = scoring.micro_cer(pairs(spark, d))
+    return scoring.best_checkpoint(cer, cor=None, wer=None, cer="cer")
+
+
 LOAN = f"""g AS (SELECT word, count(*) AS g FROM (SELECT unnest({SCORING('text')}) AS word FROM refs) WHERE regexp_matches(word, '[a-z]') GROUP BY 1),
 p AS (SELECT checkpoint, word, count(*) AS p FROM (SELECT checkpoint, unnest({SCORING('hyp')}) AS word FROM predictions) WHERE regexp_matches(word, '[a-z]') GROUP BY 1, 2)"""
 LOAN_SCORES = """SELECT c.checkpoint, (SELECT coalesce(sum(p), 0) FROM p WHERE p.checkpoint = c.checkpoint AND word IN (SELECT word FROM g))::BIGINT AS tp,

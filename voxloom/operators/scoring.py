@@ -101,7 +101,9 @@ def micro_cer(pairs: DataFrame, by: str | Sequence[str] = "checkpoint", ref: str
     return counted.groupBy(*by).agg(F.try_divide(F.sum("_errors"), F.sum("_chars")).alias("cer"))
 
 
-def best_checkpoint(macro: DataFrame, cor: str = "avg_cor", wer: str = "avg_wer", cer: str | None = None) -> DataFrame:
+def best_checkpoint(
+    macro: DataFrame, cor: str | None = "avg_cor", wer: str | None = "avg_wer", cer: str | None = None
+) -> DataFrame:
     """Checkpoints with the highest share of correct words and the lowest error rates.
 
     Equal scores go to the checkpoint that comes first in natural order.
@@ -111,7 +113,11 @@ def best_checkpoint(macro: DataFrame, cor: str = "avg_cor", wer: str = "avg_wer"
     def first(score: Column, alias: str) -> Column:
         return F.min_by("checkpoint", F.struct(score, name)).alias(alias)
 
-    picks = [first(-F.col(cor), "best_by_cor"), first(F.col(wer), "best_by_wer")]
+    picks = []
+    if cor is not None:
+        picks.append(first(-F.col(cor), "best_by_cor"))
+    if wer is not None:
+        picks.append(first(F.col(wer), "best_by_wer"))
     if cer is not None:
         picks.append(first(F.col(cer), "best_by_cer"))
     return macro.agg(*picks)

@@ -26,7 +26,7 @@ def _percent(c: str):
 
 def write_score_report(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Scores as Parquet under ``table`` and as readable lines under ``text``, one folder per checkpoint."""
-    scores.write.mode(mode).partitionBy("checkpoint").parquet(f"{path}/table")
+    scores.hint("rebalance", F.col("checkpoint")).write.mode(mode).partitionBy("checkpoint").parquet(f"{path}/table")
     line = F.concat_ws(
         "  |  ",
         F.col("audio_filepath"),
@@ -40,6 +40,36 @@ def write_score_report(scores: DataFrame, path: str, mode: str = "overwrite") ->
     table.select("checkpoint", line.alias("value")).write.mode(mode).partitionBy("checkpoint").text(f"{path}/text")
 
 
+def _one_line(c: str):
+    return F.regexp_replace(F.col(c), r"[\r\n]+", " ")
+
+
+def write_sanity_report(scored: DataFrame, path: str, threshold: float = 0.5, mode: str = "overwrite") -> None:
+    """Lines with file, rate, reference and prediction: all under ``all``, those below the threshold under ``accepted``.
+
+    ``scored`` holds audio_filepath, ref, hyp and error; ``parse_sanity_lines`` reads the lines back. Rows without a
+    rate are left out.
+    """
+    rated = scored.filter("error IS NOT NULL").select("audio_filepath", "ref", "hyp", "error")
+    rated.write.mode(mode).parquet(f"{path}/table")
+    # Read back what was just written: the lines then cost no second comparison.
+    table = scored.sparkSession.read.parquet(f"{path}/table")
+    line = F.concat(
+        F.lit("AUDIO FILENAME: "), "audio_filepath", F.lit(" |  WER RATE: "), F.col("error").cast("string"),
+        F.lit(" |  gt text: "), _one_line("ref"), F.lit(" |  pred text: "), _one_line("hyp"),
+    )
+    table.select(line.alias("value")).write.mode(mode).text(f"{path}/all")
+    table.filter(F.col("error") < threshold).select(line.alias("value")).write.mode(mode).text(f"{path}/accepted")
+
+
+def write_averages(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The averages and, where given, the loan-word counts of each checkpoint as readable lines."""
+    averages = [("COR", "avg_cor"), ("WER", "avg_wer"), ("INS", "avg_ins"), ("SUB", "avg_sub"), ("DEL", "avg_del")]
+    parts = [F.concat(F.lit(f"AVERAGE {name}: "), _percent(c)) for name, c in averages]
+    parts += [F.concat(F.lit(f"LOAN WORDS {c.upper()}: "), F.col(c).cast("string")) for c in ("tp", "fp", "fn") if c in report.columns]
+    report.select("checkpoint", F.concat_ws("  |  ", "checkpoint", *parts).alias("value")).write.mode(mode).partitionBy("checkpoint").text(path)
+
+
 def write_subtitles(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per video; the rebalance hint gathers a video's rows and still splits an outsized one."""
     df.hint("rebalance", F.col("video_id")).write.mode(mode).partitionBy("video_id").json(path)
