@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 _RUN = 4096
 
 

@@ -5,7 +5,7 @@ must contain the trigrams the query asks for. Texts are indexed block by block;
 queried trigrams are intersected and united as the query says, and only the texts left are searched with the
 expression. A rule without mandatory trigrams searches every text.
 
-Index blocks hold a few megabytes of text and never leave their task, so nothing is shuffled and no list of
+Index blocks hold about a megabyte of text and never leave their task, so nothing is shuffled and no list of
 postings grows with the corpus.
 """
 
