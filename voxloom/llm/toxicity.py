@@ -12,6 +12,7 @@ computed for whole Arrow batches at a time.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import md5
 from typing import NamedTuple
 
 import numpy as np
@@ -132,7 +133,7 @@ def _bags(sample: DataFrame) -> tuple[list[int], list[np.ndarray], list[np.ndarr
     buckets = [np.frombuffer(x.as_buffer(), np.int32) for x in found["buckets"]]
     shares = [np.frombuffer(x.as_buffer(), np.float32) for x in found["shares"]]
     # The order of the rows must not depend on the order of tasks, since training visits them in turn.
-    order = sorted(range(len(labels)), key=lambda k: (buckets[k].tobytes(), shares[k].tobytes(), labels[k]))
+    order = sorted(range(len(labels)), key=lambda k: (md5(buckets[k]).digest(), md5(shares[k]).digest(), labels[k]))
     return [labels[k] for k in order], [buckets[k] for k in order], [shares[k] for k in order]
 
 
