@@ -242,3 +242,11 @@ def test_character_references(spark):
 
     df = spark.createDataFrame([("<p>it&#39;s caf&eacute;&nbsp;&amp; more</p>",), ("a &lt;b&gt; &amp;c",)], "html string")
     assert [r[0] for r in df.select(strip_tags(F.col("html"))).collect()] == ["it's café & more", "a <b> &c"]
+
+
+def test_keyword_tables_of_several_parts(spark):
+    df = spark.createDataFrame([(1, "abcd"), (2, "bc x"), (3, None)], "row_id int, text string")
+    table = spark.createDataFrame([(w,) for w in ["bc", "d", "x", "q", "bc", None, ""]], "keyword string")
+    want = [(1, ""), (1, "bc"), (1, "d"), (2, ""), (2, "bc"), (2, "x")]
+    for per in (1, 100):
+        assert rows(keywords.keyword_table_matches(df, table, per=per), "row_id", "keyword") == want

@@ -20,7 +20,11 @@ from .ordering import top_per_group
 _INLINE = 64
 
 
-def _automaton_hits(keywords: Sequence[str]):
+# Distinct keywords of a table that one pass over the texts looks for; a bound on what a task holds, not on the table.
+_PER_PASS = 50_000
+
+
+def _automaton_hits(keywords: Sequence[str], as_words: bool = False):
     words = list(keywords)
     built: list = []
 
@@ -39,10 +43,12 @@ def _automaton_hits(keywords: Sequence[str]):
             built.append(lambda text: sorted(always.union(at for _, hits in (machine.iter(text) if some else ()) for at in hits)))
         return built[0]
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<string>" if as_words else "array<int>")
     def hits(texts: pa.Array) -> pa.Array:
         find = finder()
         found = [[] if t is None else find(t) for t in texts.to_numpy(zero_copy_only=False)]
+        if as_words:
+            return pa.array([[words[at] for at in row] for row in found], pa.list_(pa.string()))
         return pa.array(found, pa.list_(pa.int32()))
 
     return hits
@@ -66,6 +72,23 @@ def keyword_matches(df: DataFrame, keywords: Sequence[str], col: str = "text") -
     return matched.withColumn("keyword", F.element_at(names, F.col("kw_ord") + 1))
 
 
+def keyword_table_matches(df: DataFrame, keywords: DataFrame, word: str = "keyword", col: str = "text", per: int = _PER_PASS) -> DataFrame:
+    """One row per text and contained keyword of a table of any size; null keywords are left out, repeated ones count once.
+
+    The table is dealt by hash into parts of about ``per`` keywords, and each part is one pass over the texts, which are
+    not moved. So no task, and no message of the driver, holds more than a part.
+    """
+    listed = keywords.select(F.col(word).cast("string").alias("keyword")).filter("keyword IS NOT NULL").distinct()
+    parts = max(1, -(-listed.count() // per))
+    found = None
+    for part in range(parts):
+        own = listed.filter(F.pmod(F.xxhash64("keyword"), F.lit(parts)) == part)
+        words = sorted(row[0] for row in own.collect())
+        hits = df.withColumn("keyword", F.explode(_automaton_hits(words, as_words=True)(F.col(col))))
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
 def select_by_keywords(
     df: DataFrame, keywords: Sequence[str], cap: int = 1000, col: str = "text", order: str = "row_id"
 ) -> DataFrame:
