@@ -119,8 +119,23 @@ def text_bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield (pairs[a:b] % BUCKETS).astype(np.int32), (counts[a:b] / (counts[a:b].sum() + NEUTRAL)).astype(np.float32)
 
 
-def _bags(sample: DataFrame) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-    """Labels, buckets and shares of the sampled texts, no more than two numbers per bucket and text."""
+class Bags(NamedTuple):
+    """Texts as bags, one after the other in flat arrays: text k has places ``cuts[k]`` to ``cuts[k + 1]``."""
+
+    labels: np.ndarray
+    cuts: np.ndarray
+    buckets: np.ndarray
+    shares: np.ndarray
+
+
+def flat_bags(labels: Sequence[int], bags: Sequence[tuple[np.ndarray, np.ndarray]]) -> Bags:
+    cuts = np.concatenate([[0], np.cumsum([len(b) for b, _ in bags], dtype=np.int64)])
+    none = (np.zeros(0, np.int32), np.zeros(0, np.float32))
+    return Bags(np.array(labels, np.int64), cuts, *(np.concatenate(x) for x in zip(none, *bags)))
+
+
+def _bags(sample: DataFrame) -> Bags:
+    """The sampled texts, no more than two numbers per bucket and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,16 +144,20 @@ def _bags(sample: DataFrame) -> tuple[list[int], list[np.ndarray], list[np.ndarr
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), *packed], ["label", "buckets", "shares"])
 
     found = sample.mapInArrow(run, "label int, buckets binary, shares binary").toArrow()
+    views = [
+        [np.frombuffer(x.as_buffer(), kind) for x in found[name]] for name, kind in (("buckets", np.int32), ("shares", np.float32))
+    ]
     labels = found["label"].to_pylist()
-    buckets = [np.frombuffer(x.as_buffer(), np.int32) for x in found["buckets"]]
-    shares = [np.frombuffer(x.as_buffer(), np.float32) for x in found["shares"]]
     # The order of the rows must not depend on the order of tasks, since training visits them in turn.
-    order = sorted(range(len(labels)), key=lambda k: (md5(buckets[k]).digest(), md5(shares[k]).digest(), labels[k]))
-    return [labels[k] for k in order], [buckets[k] for k in order], [shares[k] for k in order]
+    order = sorted(range(len(labels)), key=lambda k: (md5(views[0][k]).digest(), md5(views[1][k]).digest(), labels[k]))
+    flat = flat_bags([labels[k] for k in order], [(views[0][k], views[1][k]) for k in order])
+    del found, views
+    pa.default_memory_pool().release_unused()
+    return flat
 
 
 def train(
-    bags: tuple[list[int], list[np.ndarray], list[np.ndarray]],
+    bags: Bags,
     counts: dict[int, int],
     width: int = 4,
     passes: int = 15,
@@ -153,21 +172,20 @@ def train(
     ``scale`` multiplies the averages, which are small where a few words of many decide. Buckets met in fewer than
     three texts get no embedding. If the classes were sampled unequally, the constant is set right at the end.
     """
-    label = np.array(bags[0], np.int64)
+    label = bags.labels
     taken = [int((label == y).sum()) for y in (0, 1)]
     prior = np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))
     if not taken[0] or not taken[1]:
         return Model(np.zeros(BUCKETS, np.float32), float(prior))
-    texts_with = np.zeros(BUCKETS, np.int64)
-    for x in bags[1]:
-        texts_with[x] += 1
-    used = np.flatnonzero(texts_with >= min(3, len(label)))
+    # A bucket occurs once in a bag, so its count is the number of its texts.
+    used = np.flatnonzero(np.bincount(bags.buckets, minlength=BUCKETS) >= min(3, len(label)))
     number = np.full(BUCKETS, -1, np.int32)
-    number[used] = np.arange(len(used))
-    kept = [number[x] >= 0 for x in bags[1]]
-    seen = [number[x][k] for x, k in zip(bags[1], kept)]
-    share = [x[k] * np.float32(scale) for x, k in zip(bags[2], kept)]
-    del bags
+    number[used] = np.arange(len(used), dtype=np.int32)
+    kept = number[bags.buckets] >= 0
+    cuts = np.concatenate([[0], np.cumsum(kept)])[bags.cuts]
+    seen = number[bags.buckets[kept]]
+    share = bags.shares[kept] * np.float32(scale)
+    del bags, kept
     draw = np.random.Generator(np.random.PCG64(seed))
     table = draw.normal(0, 0.01, (width, len(used))).astype(np.float32)
     layer = draw.normal(0, 0.5, (width, 2)).astype(np.float32)
@@ -179,9 +197,9 @@ def train(
         order = draw.permutation(len(label))
         for low in range(0, len(label), batch):
             rows = order[low : low + batch]
-            at = np.concatenate([seen[r] for r in rows])
-            x = np.concatenate([share[r] for r in rows])
-            row = np.repeat(np.arange(len(rows)), [len(seen[r]) for r in rows])
+            at = np.concatenate([seen[cuts[r] : cuts[r + 1]] for r in rows])
+            x = np.concatenate([share[cuts[r] : cuts[r + 1]] for r in rows])
+            row = np.repeat(np.arange(len(rows)), cuts[rows + 1] - cuts[rows])
             mean = np.stack([np.bincount(row, x * table[d, at], len(rows)) for d in range(width)], 1)
             score = mean @ layer + constant
             p = np.exp(score - score.max(1, keepdims=True))
