@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
@@ -38,8 +38,21 @@ def hash60(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")
 
 
+# Rows of an Arrow batch at most. Texts are long, and batches are held whole on both sides of the way to Python.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``BATCH_ROWS`` if they are more; results do not depend on it."""
+    now = int(spark.conf.get(_BATCH_SETTING))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def carry(df: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, int]:
     """The columns ``keep`` and the text, and the place of the text among them; it is sent to Python only once."""
+    bound_batches(df.sparkSession)
     if text in keep and df.schema[text].dataType.simpleString() == "string":
         return df.select(*keep), list(keep).index(text)
     return df.select(*keep, df[text].cast("string").alias("_carried_text")), len(keep)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import bound_batches, settle
 from .components import connected_components
 from .hashing import FACTORS, find_words, hash_pieces, lower_ascii, mix, sequences, text_blocks
 
@@ -248,6 +248,7 @@ def near_duplicates(
     ``component_id`` is the smallest key that links lead to, itself included; ``kept`` marks it. Rows that repeat a key
     count as one document with several texts. A row with a null key links to nothing: its component is null, and it is kept.
     """
+    bound_batches(df.sparkSession)
     texts = df.select(F.col(key).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
     marks = settle(_signatures(texts, width, halves, rows, seed))
     usable = marks.filter("doc IS NOT NULL AND n > 0")

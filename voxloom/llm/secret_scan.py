@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import carry
+from .common import bound_batches, carry
 from .hashing import lower_ascii, text_blocks
 
 
@@ -250,6 +250,7 @@ def redact(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, mar
 
     A null text stays null. Text outside secrets is untouched.
     """
+    bound_batches(df.sparkSession)
     rules = tuple(rules)
     at = df.columns.index(text)
     names = df.columns

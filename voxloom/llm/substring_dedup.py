@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import bound_batches
 from .hashing import FACTORS, find_words, hash_pieces, mix, sequences, text_blocks, window_minimum
 
 DEPTH = 5
@@ -248,6 +249,7 @@ def remove_repeats(
     """
     made = ("n_words", "n_removed", "kept_text", "kept_sha256", "repeats")
     keep = [c for c in (keep or [key]) if c not in made]
+    bound_batches(df.sparkSession)
     bits = _bits(df)
     # The key itself is not carried twice, so that both passes can read one shuffle.
     carried = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep) if c != key]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carry, hash60
+from .common import bound_batches, carry, hash60
 from .hashing import FACTORS, mix
 
 BUCKETS = 1 << 18
@@ -227,6 +227,7 @@ def train(
 
 def fit(df: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", label: str = "toxic", **options) -> Model:
     """A model from the labelled rows of ``df`` whose key is ``usable``. Without rows of both classes it is constant."""
+    bound_batches(df.sparkSession)
     sample, counts = training_sample(df, labels, usable, key, text, label)
     return train(_bags(sample), counts, **options)
 
