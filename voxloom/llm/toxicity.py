@@ -11,6 +11,7 @@ computed for whole Arrow batches at a time.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from hashlib import md5
 from typing import NamedTuple
@@ -28,7 +29,7 @@ from .hashing import FACTORS, mix
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 # Labelled rows of each class that training reads at most; see ``training_sample``.
-MOST_PER_CLASS = 1_500
+MOST_PER_CLASS = 1_200
 # Neutral subwords that every text has besides its own, so that one odd word does not decide a text of few words.
 NEUTRAL = 100
 _BLOCK_CHARS = 1 << 18
@@ -139,21 +140,24 @@ def _bags(sample: DataFrame) -> Bags:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = list(text_bags(batch.column(0)))
-            packed = [pa.array([x[k].tobytes() for x in bags], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), *packed], ["label", "buckets", "shares"])
-
-    found = sample.mapInArrow(run, "label int, buckets binary, shares binary").toArrow()
-    views = [
-        [np.frombuffer(x.as_buffer(), kind) for x in found[name]] for name, kind in (("buckets", np.int32), ("shares", np.float32))
-    ]
-    labels = found["label"].to_pylist()
+            # Steps between ascending buckets and shares of half precision pack to a few bytes a place.
+            bags = [
+                zlib.compress(np.diff(b, prepend=np.int32(0)).astype(np.int32).tobytes() + (x * 1024).astype(np.float16).tobytes(), 6)
+                for b, x in text_bags(batch.column(0))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(bags, pa.binary())], ["label", "bag"])
+
+    found = [(r[0], bytes(r[1])) for r in sample.mapInArrow(run, "label int, bag binary").collect()]
     # The order of the rows must not depend on the order of tasks, since training visits them in turn.
-    order = sorted(range(len(labels)), key=lambda k: (md5(views[0][k]).digest(), md5(views[1][k]).digest(), labels[k]))
-    flat = flat_bags([labels[k] for k in order], [(views[0][k], views[1][k]) for k in order])
-    del found, views
-    pa.default_memory_pool().release_unused()
-    return flat
+    found.sort(key=lambda r: (md5(r[1]).digest(), r[0]))
+
+    def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+        raw = zlib.decompress(packed)
+        n = len(raw) // 6
+        steps, shares = np.frombuffer(raw, np.int32, n), np.frombuffer(raw, np.float16, n, 4 * n)
+        return np.cumsum(steps, dtype=np.int32), shares.astype(np.float32) / 1024
+
+    return flat_bags([y for y, _ in found], [unpack(packed) for _, packed in found])
 
 
 def train(
