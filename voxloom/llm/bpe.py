@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from .common import carry, worker_memo
 
 # Distinct pieces a task remembers; beyond that it starts anew, which costs time only.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _LONG_PIECE = 96
 
 
