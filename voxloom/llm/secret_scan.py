@@ -28,12 +28,16 @@ from .hashing import lower_ascii, text_blocks
 
 
 class Rule(NamedTuple):
-    """A match counts if its ``group`` has ``least`` characters or more."""
+    """A match counts if its ``group`` has ``least`` characters or more.
+
+    ``tail``, an expression that may match nothing, is what belongs to the secret behind the match.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    tail: str = ""
 
 
 # The three rules every scan has. The length of a run of one class is part of the expression for
@@ -44,9 +48,20 @@ BASE_RULES = (
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
 
+# The rest of a PEM key: all up to its END line, or, if another key or the text ends before that, up to the last line
+# of base64. A line break may be written as an escape, lines may be indented or quoted, and fields may stand first.
+_BREAK, _LEAD, _TRAIL = r"""(?:\r?\n|\r|(?:\\r)?\\n)""", r"""[\x20\t>|#*"']*+""", r"""[\x20\t"',;]*+"""
+_ENDS = rf"{_TRAIL}(?={_BREAK}|\Z)"
+_KEY_BODY = (
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    r"|(?:[\x20\t]*[A-Za-z0-9+/=]{16,})*+"
+    rf"(?:{_TRAIL}{_BREAK}{_LEAD}(?:Proc-Type|DEK-Info|Comment|X-[A-Za-z-]+):[^\r\n]*)*+"
+    rf"(?:{_TRAIL}(?:{_BREAK}{_LEAD})++[A-Za-z0-9+/=]++{_ENDS})*+)"
+)
+
 # Published layouts of well-known credentials.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", tail=_KEY_BODY),
     Rule("code_host", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed_claims", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
@@ -182,6 +197,7 @@ def _candidates(query, postings: dict[int, np.ndarray], numbers: dict[bytes, int
 def _scanner(rules: Sequence[Rule]):
     """A function from an array of texts to the list of (start, rule number, end, secret) of each."""
     expressions = [re.compile(r.pattern, re.ASCII) for r in rules]
+    tails = [re.compile(r.tail, re.ASCII) if r.tail else None for r in rules]
     queries = [trigram_query(r.pattern) for r in rules]
     numbers = {g: k for k, g in enumerate(sorted(set().union(*map(query_trigrams, queries))), 1)}
     number = np.zeros(1 << 24, np.uint16)
@@ -198,7 +214,9 @@ def _scanner(rules: Sequence[Rule]):
                 for row in _candidates(queries[k], postings, numbers, high - low):
                     for m in expression.finditer(whole[row]):
                         if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                            found[row].append((m.start(), k, m.end(), m.group(rule.group)))
+                            more = tails[k] and tails[k].match(whole[row], m.end())
+                            rest = more.group() if more else ""
+                            found[row].append((m.start(), k, m.end() + len(rest), m.group(rule.group) + rest))
             for text, spans in zip(whole, found):
                 spans.sort()
                 yield text, spans
