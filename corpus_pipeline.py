@@ -24,10 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies by shingles of five words."""
-    found = near_dedup.near_duplicates(docs)
-    gone = found.filter("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row, the one with the smallest id, of each group of near copies by shingles of five words."""
+    return near_dedup.one_of_each(docs)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

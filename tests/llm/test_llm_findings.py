@@ -33,3 +33,26 @@ def test_no_line_of_a_key_survives(spark):
     for r in secret_scan.find_secrets(df, keep=("doc_id", "text")).collect():
         key = [s for s in r.secrets if s.kind == "private_key"]
         assert key and all(s.secret == r.text[s.start : s.end] for s in key)
+
+
+# --- near copies
+
+
+def test_one_row_of_each_group(spark):
+    one, two, three = (" ".join(f"{x}{k}" for k in range(60)) for x in "pqr")
+    rows = [(1, one, "a"), (2, one + " more", "b"), (2, two, "c"), (3, three, "d"), (3, three, "e"), (None, three, "f"), (None, two + " x", "g"), (None, None, "h"), (None, one[::-1], "i"), (None, one[::-1], "j")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(3)
+    got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.one_of_each(spark, df, "").collect())
+    assert got == sorted([(1, one), (2, two), (3, three), (0, ""), (0, one[::-1])])
+    marked = {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(df).filter("doc_id = 2").collect()}
+    assert marked == {(2, 1), (2, 2)}
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    seen = []
+    compare = near_dedup._compare
+    monkeypatch.setattr(near_dedup, "_compare", lambda placed, sets, percent: seen.append((placed.join(sets, "doc").count(), sets.count())) or compare(placed, sets, percent))
+    text = " ".join(f"s{k}" for k in range(60))
+    df = spark.createDataFrame([(1, text)] * 30 + [(2, text + " more")] * 30, "doc_id long, text string")
+    got = near_dedup.near_duplicates(df).collect()
+    assert seen == [(2, 2)] and len(got) == 60 and {r.component_id for r in got} == {1}

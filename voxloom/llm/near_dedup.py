@@ -55,14 +55,14 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, list[n
 
 
 def _signatures(df: DataFrame, width: int, halves: int, rows: int, seed: int) -> DataFrame:
-    """(doc, n, s1, s2, a, b) per row: set size, two sums that tell sets apart, and both collections of half-keys."""
+    """(doc, key, n, s1, s2, a, b) per row of (doc, key, text): set size, two sums that tell sets apart, and both collections of half-keys."""
     draw = np.random.Generator(np.random.PCG64(seed))
     factor = draw.integers(1, 2**62, 2 * halves * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shift = draw.integers(0, 2**63, 2 * halves * rows, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, sets in shingle_sets(batch.column(1), width):
+            for low, high, sets in shingle_sets(batch.column(2), width):
                 size = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(size)
                 sums = np.zeros((2, high - low), np.uint64)
@@ -83,11 +83,11 @@ def _signatures(df: DataFrame, width: int, halves: int, rows: int, seed: int) ->
                     for part in (flat[:, :halves], flat[:, halves:])
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(size), *map(pa.array, sums.view(np.int64)), *lists],
-                    ["doc", "n", "s1", "s2", "a", "b"],
+                    [*[batch.column(k).slice(low, high - low) for k in range(2)], pa.array(size), *map(pa.array, sums.view(np.int64)), *lists],
+                    ["doc", "key", "n", "s1", "s2", "a", "b"],
                 )
 
-    return df.mapInArrow(run, "doc long, n long, s1 long, s2 long, a array<long>, b array<long>")
+    return df.mapInArrow(run, "doc long, key long, n long, s1 long, s2 long, a array<long>, b array<long>")
 
 
 def _meetings(reps: DataFrame) -> DataFrame:
@@ -230,6 +230,35 @@ def _links(texts: DataFrame, families: DataFrame, width: int, percent: int) -> D
     return first.unionByName(_compare(one.unionByName(two), sets, percent))
 
 
+def _number(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written with a number of each row, and the name of that column, which ``df`` does not have."""
+    name = "_row"
+    while name in map(str.lower, df.columns):
+        name += "_"
+    return settle(df.withColumn(name, F.monotonically_increasing_id())), name
+
+
+_SAME = ["n", "s1", "s2"]
+
+
+def _classes(texts: DataFrame, usable: str, width: int, percent: int, halves: int, rows: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, key, n, s1, s2) of each row, and (n, s1, s2, best, label) of each set that ``usable`` rows have.
+
+    ``texts`` has (doc, key, text), ``doc`` being the written number of a row. ``best`` is the (_none, key, doc) that
+    comes first among the rows of a set, null keys last, and stands for it: a set is compared once, however many rows
+    have it. Sets of one component share a ``label``.
+    """
+    marks = settle(_signatures(texts, width, halves, rows, seed))
+    first = F.min(F.struct(F.col("key").isNull().alias("_none"), "key", "doc")).alias("best")
+    classes = settle(marks.filter(usable).groupBy(*_SAME).agg(first).withColumn("node", F.col("best.doc")))
+    reps = marks.join(classes.select(F.col("node").alias("doc")), "doc", "left_semi").select("doc", "a", "b")
+    meetings = settle(_meetings(reps))
+    families = settle(connected_components(meetings))
+    labels = settle(connected_components(_links(texts.select("doc", "text"), families, width, percent)))
+    found = classes.join(labels, "node", "left").select(*_SAME, "best", F.coalesce("label", "node").alias("label"))
+    return marks.select("doc", "key", *_SAME), settle(found)
+
+
 def near_duplicates(
     df: DataFrame,
     key: str = "doc_id",
@@ -245,26 +274,45 @@ def near_duplicates(
     Words are runs of anything but ASCII blanks, A to Z lower-cased. The set of a text are its distinct shingles of
     ``width`` words; a shorter text has its whole word sequence as the only one, and a text without words, or null, an empty set,
     which links to nothing. Documents are linked if intersection over union is ``percent`` per cent or more.
-    ``component_id`` is the smallest key that links lead to, itself included; ``kept`` marks it. Rows that repeat a key
-    count as one document with several texts. A row with a null key links to nothing: its component is null, and it is kept.
+    ``component_id`` is the smallest key that links lead to, itself included; ``kept`` marks it, in every row that has it. Rows
+    that repeat a key are placed each by its own text; see ``one_of_each`` for one row of each component. A row with a
+    null key links to nothing: its component is null, and it is kept.
     """
     bound_batches(df.sparkSession)
-    texts = df.select(F.col(key).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
-    marks = settle(_signatures(texts, width, halves, rows, seed))
-    usable = marks.filter("doc IS NOT NULL AND n > 0")
-    same = ["n", "s1", "s2"]
-    classes = settle(usable.groupBy(*same).agg(F.min("doc").alias("rep")))
-    reps = usable.join(classes, [usable[c] == classes[c] for c in same] + [usable["doc"] == classes["rep"]], "left_semi").select("doc", "a", "b")
-    meetings = settle(_meetings(reps))
-    families = settle(connected_components(meetings))
-    labels = settle(connected_components(_links(texts.filter("doc IS NOT NULL"), families, width, percent)))
-    # The smallest key of a component is the smallest of its classes' smallest keys.
-    roots = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("label", "rep").alias("component_id"))
-    filled = F.when(F.col("doc").isNotNull() & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("doc"))
-    joined = marks.select("doc", *same).join(roots, same, "left").select("doc", "n", filled.alias("component_id"))
+    numbered, row = _number(df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")))
+    texts = numbered.select(F.col(row).alias("doc"), "key", "text")
+    marks, found = _classes(texts, "key IS NOT NULL AND n > 0", width, percent, halves, rows, seed)
+    smallest = found.groupBy("label").agg(F.min("best.key").alias("component_id"))
+    roots = found.join(smallest, "label").select(*_SAME, "component_id")
+    filled = F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("key"))
+    joined = marks.join(roots, _SAME, "left").select("key", "n", filled.alias("component_id"))
     return joined.select(
-        F.col("doc").alias(key),
+        F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
         "component_id",
-        F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    percent: int = 80,
+    halves: int = 16,
+    rows: int = 3,
+    seed: int = 7,
+) -> DataFrame:
+    """The rows and columns of ``df``, of each component of near copies exactly one row: that of the smallest key.
+
+    Components are those of ``near_duplicates``, but rows alone count: a key may be on rows of several components, and
+    rows with a null key link like others and come last. Texts without words link to nothing and stay.
+    """
+    bound_batches(df.sparkSession)
+    numbered, row = _number(df)
+    texts = numbered.select(F.col(row).alias("doc"), F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    marks, found = _classes(texts, "n > 0", width, percent, halves, rows, seed)
+    stay = found.groupBy("label").agg(F.min("best").alias("best")).select(F.col("best.doc").alias(row))
+    stay = stay.unionByName(marks.filter("n = 0").select(F.col("doc").alias(row)))
+    return numbered.join(stay, row, "left_semi").select(*df.columns)
