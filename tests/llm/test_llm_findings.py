@@ -1,11 +1,5 @@
 """Small cases of what a review found missing."""
 
-import random
-import re
-
-import pytest
-from pyspark.sql import functions as F
-
 import corpus_pipeline
 from voxloom.llm import mixing, near_dedup, secret_scan
 
@@ -56,3 +50,19 @@ def test_repeated_rows_are_compared_once(spark, monkeypatch):
     df = spark.createDataFrame([(1, text)] * 30 + [(2, text + " more")] * 30, "doc_id long, text string")
     got = near_dedup.near_duplicates(df).collect()
     assert seen == [(2, 2)] and len(got) == 60 and {r.component_id for r in got} == {1}
+
+
+# --- mixing
+
+
+def test_copies_go_to_the_row_that_was_taken(spark):
+    rows = [(None, f"{s} w{k} x y", s) for s, n in (("a", 4), ("b", 40), ("c", 400)) for k in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    want = {}
+    for r in mixing.mix(df, block_words=50, depth=1).filter("copy IS NOT NULL").collect():
+        want[r.source_size] = want.get(r.source_size, 0) + 1
+    out = mixing.mixed_rows(df, block_words=50, depth=1)
+    got = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
+    assert got == {s: want[4 * n] for s, n in (("a", 4), ("b", 40), ("c", 400)) if 4 * n in want}
+    each = [r["count"] for r in out.groupBy("text").count().collect()]
+    assert max(each) <= 3

@@ -208,10 +208,11 @@ def mix(
     key: str = "doc_id",
     source: str = "source",
     text: str = "text",
+    row: str | None = None,
 ) -> DataFrame:
     """A row per document and copy the mix takes; a document that is not taken has one row without a copy.
 
-    Columns: ``key``, ``row`` (a number of the input row), ``size`` (words), ``source_size``, ``target``, ``copy``
+    Columns: ``key``, ``row`` (a number of the input row, or its column of that name), ``size`` (words), ``source_size``, ``target``, ``copy``
     (0, 1, ... or null), ``block``, ``shard`` and ``order`` (rank it by this inside the shard). The first documents
     of a stream are taken as far as they fit; a few more, chosen by size, bring the source near its target. Null texts have no words; null sources are a source of their own; equal
     keys are separate rows; a null key draws its place from the text. An empty table gives an empty one.
@@ -224,7 +225,7 @@ def mix(
             _key(source).alias("_source"),
             word_count(F.col(text).cast("string")).alias("size"),
             draw.alias("_h"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         )
     ).withColumns({"_b1": F.shiftright("_h", 52), "_b2": F.shiftright("_h", 44)})
     sources = source_targets(sized, weights, most)
@@ -278,22 +279,17 @@ def mix(
 def mixed_rows(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mixed table itself: every column of ``df``, a row per copy taken, with ``shard`` and ``order`` added.
 
-    Write it with a folder per shard, rows in their order; see ``write_mixed``. Rows that agree in key and text
-    count as one document: each comes as often as all of them are taken together, shared out evenly. Columns of ``df`` named
+    Write it with a folder per shard, rows in their order; see ``write_mixed``. Rows are written with a number of their
+    own, and each comes as often as ``mix`` takes that row, whatever others agree with it. Columns of ``df`` named
     ``shard`` or ``order`` are replaced.
     """
-    taken = mix(df, key=key, text=text, **options).filter("copy IS NOT NULL")
-    many = taken.groupBy(F.col(key).alias("_k"), F.col("size").alias("_size")).agg(
-        F.array_sort(F.collect_list(F.struct("order", "shard"))).alias("_taken")
-    )
     columns = [c for c in df.columns if c not in ("shard", "order")]
-    own = df.select(*columns, word_count(F.col(text).cast("string")).alias("_size"))
-    # Rows of one key and size are numbered, and each takes every n-th of their copies.
-    same = Window.partitionBy(key, "_size")
-    own = own.withColumns({"_n": F.count(F.lit(1)).over(same), "_i": F.row_number().over(same.orderBy(F.lit(1)))})
-    joined = own.join(many, own[key].eqNullSafe(F.col("_k")) & (own["_size"] == many["_size"]))
-    mine = F.filter("_taken", lambda x, i: F.pmod(i, F.col("_n")) == F.col("_i") - 1)
-    return joined.select(*columns, F.explode(mine).alias("_t")).select(*columns, "_t.shard", "_t.order")
+    name = "_row"
+    while name in map(str.lower, df.columns):
+        name += "_"
+    numbered = settle(df.withColumn(name, F.monotonically_increasing_id()))
+    taken = mix(numbered, key=key, text=text, row=name, **options).filter("copy IS NOT NULL")
+    return numbered.select(name, *columns).join(taken.select(F.col("row").alias(name), "shard", "order"), name).select(*columns, "shard", "order")
 
 
 def write_mixed(mixed: DataFrame, path: str, mode: str = "overwrite") -> None:
