@@ -66,3 +66,14 @@ def test_copies_go_to_the_row_that_was_taken(spark):
     assert got == {s: want[4 * n] for s, n in (("a", 4), ("b", 40), ("c", 400)) if 4 * n in want}
     each = [r["count"] for r in out.groupBy("text").count().collect()]
     assert max(each) <= 3
+
+
+def test_many_small_documents_fill_a_long_ones_place(spark):
+    rows = [(k, "w " * 10, "a") for k in range(200)] + [(1000, "w " * 857, "a")] + [(2000 + k, "v " * 10, "b") for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for seed in (0, 1, 2):
+        taken, target = {}, {}
+        for r in mixing.mix(df, weights=(1, 2), block_words=500, depth=1, seed=seed).collect():
+            target[r.source_size] = r.target
+            taken[r.source_size] = taken.get(r.source_size, 0) + (r["size"] if r.copy is not None else 0)
+        assert all(abs(taken[k] - target[k]) <= 5 for k in target)

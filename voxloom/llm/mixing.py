@@ -174,28 +174,78 @@ def splitting_tree(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
     return leaves.select("*", F.coalesce(F.sum("blocks").over(earlier), F.lit(0)).alias("before"))
 
 
+def _fill(could: DataFrame, missing: DataFrame, most: int) -> DataFrame:
+    """(row, _source, size): further copies of documents, fewest copies and largest first, as long as any fits.
+
+    Documents of one size and level of copies are a class. A fold over the classes of a source says how many each
+    gives; after it none is left that fits. Of a class that gives a part, rows are picked by counts in two levels.
+    """
+    spare = could.join(missing, "_source").filter("size <= _missing")
+    each = spare.withColumn("_level", F.explode(F.sequence(F.col("_have") + 1, F.lit(most))))
+    same = ["_source", "_level", "size"]
+    classes = each.groupBy(*same, "_missing").agg(F.count(F.lit(1)).alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct("_level", (-F.col("size")).alias("_minus"), "n")))
+    kind = "array<struct<_level:int,size:bigint,n:bigint,k:bigint>>"
+
+    def step(acc: Column, c: Column) -> Column:
+        size = -c["_minus"]
+        k = F.least(c["n"], F.floor(acc["gap"] / size)).cast("bigint")
+        given = F.array(F.struct(c["_level"].alias("_level"), size.alias("size"), c["n"].alias("n"), k.alias("k"))).cast(kind)
+        more = F.struct((acc["gap"] - k * size).alias("gap"), F.concat(acc["given"], given).alias("given"))
+        return F.when(k > 0, more).otherwise(acc)
+
+    start = F.struct(F.max("_missing").alias("gap"), F.array().cast(kind).alias("given"))
+    folded = classes.groupBy("_source").agg(listed.alias("_list"), start.alias("_start"))
+    given = folded.select("_source", F.inline(F.aggregate("_list", F.col("_start"), step, lambda acc: acc["given"])))
+    chosen = settle(each.join(given, same).withColumn("_part", F.pmod(F.xxhash64("row"), F.lit(4096))).select("row", *same, "n", "k", "_part"))
+    part = chosen.filter("k < n")
+    counts = part.groupBy(*same, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy(*same).orderBy("_part")) - F.col("_c")
+    nth = F.row_number().over(Window.partitionBy(*same, "_part").orderBy("row"))
+    some = part.withColumn("_nth", nth).join(counts.withColumn("_before", before), [*same, "_part"]).filter("_before + _nth <= k")
+    return chosen.filter("k = n").select("row", "_source", "size").unionByName(some.select("row", "_source", "size"))
+
+
 def _last_documents(placed: DataFrame, most: int, rounds: int = 4) -> DataFrame:
-    """(row, _more): documents that end each source near its target, at most one a round.
+    """(row, _more): copies that end each source near its target.
 
-    The first rounds take the largest document that still fits, the last the one whose size comes closest to what is
-    missing, if that brings the source nearer.
+    The first rounds take the largest document that still fits, the next the one whose size comes closest to what is
+    missing, more than that only if it ends within a word or nothing fits. Then all that fit are taken, and last
+    again the closest one, if that brings the source nearer. So no untaken document is left that would; those of the
+    first rounds give no further copy.
     """
     open_words = F.max("target") - F.sum(F.col("_copies") * F.col("size"))
-    missing = placed.groupBy("_source").agg(open_words.alias("_missing"))
-    could = placed.filter((F.col("_copies") < most) & (F.col("size") > 0)).select("_source", "row", "size", "_at", "_key")
+    missing = settle(placed.groupBy("_source").agg(open_words.alias("_missing")))
+    could = placed.filter((F.col("_copies") < most) & (F.col("size") > 0)).select("_source", "row", "size", "_at", "_key", F.col("_copies").alias("_have"))
+
+    def one(could: DataFrame, missing: DataFrame, over: bool) -> DataFrame:
+        off = F.abs(F.col("size") - F.col("_missing"))
+        near = (F.col("size") <= F.col("_missing")) | (F.lit(over) & (off < F.col("_missing")))
+        order = [off.alias("off"), F.col("_at"), F.col("_key"), F.col("row"), F.col("size")]
+        best = F.min(F.struct(*order)).alias("best")
+        fits = F.min(F.when(F.col("size") <= F.col("_missing"), F.struct(*order))).alias("fits")
+        picked = could.join(missing, "_source").filter(near).groupBy("_source").agg(best, fits)
+        use = F.when((F.col("best.off") < 1) | F.col("fits").isNull(), F.col("best")).otherwise(F.col("fits"))
+        return settle(picked.select("_source", use.alias("_use")).select("_source", "_use.row", "_use.size"))
+
+    def after(missing: DataFrame, picked: DataFrame) -> DataFrame:
+        got = picked.groupBy("_source").agg(F.sum("size").alias("_got"))
+        return missing.join(got, "_source", "left").select("_source", (F.col("_missing") - F.coalesce("_got", F.lit(0))).alias("_missing"))
+
+    def less(could: DataFrame, picked: DataFrame) -> DataFrame:
+        now = picked.groupBy("row").agg(F.count(F.lit(1)).cast("int").alias("_now"))
+        left = could.join(now, "row", "left").withColumn("_have", F.col("_have") + F.coalesce("_now", F.lit(0))).drop("_now")
+        return left.filter(F.col("_have") < most)
+
     chosen = None
     for k in range(rounds):
-        off = F.abs(F.col("size") - F.col("_missing"))
-        near = F.col("size") <= F.col("_missing") if k < rounds - 1 else off < F.col("_missing")
-        best = F.min(F.struct(off.alias("off"), "_at", "_key", "row", "size")).alias("best")
-        picked = could.join(missing, "_source").filter(near).groupBy("_source", "_missing").agg(best)
-        picked = settle(picked.select("_source", F.col("best.row").alias("row"), (F.col("_missing") - F.col("best.size")).alias("_missing")))
-        missing = missing.join(picked.select("_source", F.col("_missing").alias("_now")), "_source", "left").select(
-            "_source", F.coalesce("_now", "_missing").alias("_missing")
-        )
-        could = could.join(picked.select("row"), "row", "left_anti")
+        picked = one(could, missing, k == rounds - 1)
+        missing, could = after(missing, picked), could.join(picked.select("row"), "row", "left_anti")
         chosen = picked if chosen is None else chosen.unionByName(picked)
-    return chosen.select("row", F.lit(1).alias("_more"))
+    filled = settle(_fill(could, missing, most))
+    last = one(less(could, filled), after(missing, filled), True)
+    chosen = chosen.unionByName(filled.select(*chosen.columns)).unionByName(last)
+    return chosen.groupBy("row").agg(F.count(F.lit(1)).cast("int").alias("_more"))
 
 
 def mix(
