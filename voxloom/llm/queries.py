@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import vector_queries
 from .bpe import decode, encode
 from .fingerprints import edited_fingerprints, to_text
 from .licenses import find_licenses
@@ -137,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_vector_topk": vector_search,
     "op9_license_scan": license_scan,
     "op10_substring_dedup": substring_dedup,
+    **vector_queries.QUERIES,
 }
 
 
@@ -269,4 +271,5 @@ ORACLES: dict[str, str] = {
     "op6_fingerprints": _FINGERPRINT_SQL,
     "op8_vector_topk": _TOPK_SQL,
     "op10_substring_dedup": _REPEATS_SQL,
+    **vector_queries.ORACLES,
 }
