@@ -21,8 +21,8 @@ def _uint(hexed: Column, at: int, size: int) -> Column:
     return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
 
 
-# Chunks looked at before a file is refused; files of today have four or five.
-MOST_CHUNKS = 64
+# Chunks that one fold looks at; files of today have four or five. Where that is not enough, a longer fold goes to the end.
+FEW_CHUNKS = 16
 
 
 def _walk(content: Column) -> Column:
@@ -59,7 +59,13 @@ def _walk(content: Column) -> Column:
             .otherwise(other)
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(MOST_CHUNKS)), start, step)
+    def further(few: Column) -> Column:
+        # A chunk has eight bytes at least, so that many steps reach the end of any file.
+        most = F.greatest(F.ceil(F.octet_length(content) / 8), F.lit(1)).cast("int")
+        open_end = (few["data_at"] == 0) & (few["at"] + 7 <= F.octet_length(content))
+        return F.when(open_end, F.aggregate(F.sequence(F.lit(1), most), few, step)).otherwise(few)
+
+    return let(F.aggregate(F.sequence(F.lit(1), F.lit(FEW_CHUNKS)), start, step), further)
 
 
 def pcm_info(content: Column) -> Column:

@@ -1,3 +1,4 @@
+from .keyed_files import write_keyed, write_subtitle_files
 from .lines import (
     clean_lines,
     manifest_from_csv,
@@ -19,3 +20,4 @@ from .sinks import (
 )
 from .textgrid import manifest_from_textgrid, read_textgrids
 from .wav import probe_wav, read_wavs
+from .wav_ranges import cut_ranges, probe_ranges, wav_listing
