@@ -137,6 +137,25 @@ def t12(spark, d):
     return rows.select("doc_id", "converted", F.md5("text").alias("text_md5"))
 
 
+# Phrases over the characters of ``mixed`` texts; some overlap, some begin others.
+PHRASES = [("汉", "漢"), ("语", "語"), ("汉语", "漢語文"), ("语汉", "言"), ("汉 ", "漢_"), ("汉 的语", "三"), ("e汉", "E漢"), ("汉e", "佚e"), ("汉语e", "長的詞")]
+_LONGEST = "|".join(w for w, _ in sorted(PHRASES, key=lambda p: -len(p[0])))
+
+
+@check(
+    "t12_phrases",
+    v.with_views(v.MIXED)
+    + rf"""SELECT doc_id, converted, md5(CASE WHEN converted THEN array_to_string(list_transform(regexp_extract_all(text, '(?s){_LONGEST}|.'),
+        lambda t: CASE t {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in PHRASES)} ELSE t END), '') ELSE text END) AS text_md5
+    FROM (SELECT doc_id, text, regexp_matches(text, '\p{{Han}}') AND NOT regexp_matches(text, '[漢語文言三佚長詞E_]') AS converted FROM mixed)""",
+)
+def t12b(spark, d):
+    from ..operators.script_rows import convert_phrases
+
+    rows = convert_phrases(v.mixed(spark, d), "text", spark.createDataFrame(PHRASES, "simplified string, traditional string"), per=4)
+    return rows.select("doc_id", "converted", F.md5("text").alias("text_md5"))
+
+
 @check("t13_py_round", "SELECT l_orderkey, l_linenumber, format('{:.2f}', l_extendedprice * (1 - l_discount))::DOUBLE AS net2, format('{:.3f}', l_quantity / 16)::DOUBLE AS sixteenth3 FROM lineitem")
 def t13(spark, d):
     return v.table(spark, d, "lineitem").select(
@@ -224,6 +243,37 @@ def f2(spark, d):
     return keywords.select_by_keywords(docs, KEYWORDS, cap=100, order="doc_id").select("doc_id", "keyword")
 
 
+TABLE_SQL = """kw AS (SELECT keyword, min(kw_ord) AS kw_ord FROM (SELECT unnest(w) AS keyword, item_id * 1000 + unnest(range(len(w))) AS kw_ord
+      FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark)) WHERE keyword <> '' GROUP BY keyword)"""
+
+
+def keyword_table(spark, d):
+    """The words of ``benchmark``, in order of their first place."""
+    words = v.table(spark, d, "benchmark").select("item_id", F.posexplode(F.split("text", " ", -1)).alias("pos", "keyword")).filter("keyword <> ''")
+    return words.select("keyword", (F.col("item_id") * 1000 + F.col("pos")).alias("kw_ord"))
+
+
+@check(
+    "f2_keyword_table",
+    f"""WITH {TABLE_SQL},
+    hit AS (SELECT doc_id, text, kw_ord, keyword FROM documents, kw WHERE contains(text, keyword)
+      QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY doc_id) <= 7)
+    SELECT doc_id, keyword, kw_ord FROM hit QUALIFY row_number() OVER (PARTITION BY text ORDER BY kw_ord, doc_id) = 1""",
+)
+def f2b(spark, d):
+    docs = spread(v.table(spark, d, "documents").select("doc_id", "text"))
+    return keywords.select_by_keyword_table(docs, keyword_table(spark, d), cap=7, order="doc_id", per=1000).select("doc_id", "keyword", "kw_ord")
+
+
+@check(
+    "e6_keyword_table",
+    f"""WITH {TABLE_SQL} SELECT keyword, least(count(doc_id), 500)::BIGINT AS n, least(count(doc_id), 500) < 300 AS small
+      FROM kw LEFT JOIN documents ON contains(text, keyword) GROUP BY keyword""",
+)
+def e6b(spark, d):
+    return keywords.keyword_table_counts(spread(v.table(spark, d, "documents")), keyword_table(spark, d), cap=500)
+
+
 @check(
     "e6_keyword_counts",
     f"""WITH {KEYWORDS_SQL} SELECT kw_ord, keyword, least(count(doc_id), 500)::BIGINT AS n, least(count(doc_id), 500) < 300 AS small

@@ -29,8 +29,12 @@ def table_strings(table: Pairs) -> tuple[str, str]:
 def is_script(c: Column, table: Pairs) -> Column:
     """True for Han text with no character used only in the traditional script."""
     simplified, traditional = table_strings(table)
-    only_traditional = "".join(dict.fromkeys(ch for ch in traditional if ch not in set(simplified)))
-    untouched = F.length(F.translate(c, only_traditional, "")) == F.length(c)
+    return is_han_without(c, "".join(dict.fromkeys(ch for ch in traditional if ch not in set(simplified))))
+
+
+def is_han_without(c: Column, others: str) -> Column:
+    """True for Han text that has none of the characters ``others``."""
+    untouched = F.length(F.translate(c, others, "")) == F.length(c)
     return c.rlike(r"\p{IsHan}") & untouched
 
 

@@ -1,8 +1,8 @@
 """Keyword search in transcripts.
 
-A keyword list is written down by a person and passed as a Python list. Each text is matched where it
-stands, so no join with the list is needed: short lists become built-in ``contains`` tests, long ones an
-Aho-Corasick automaton inside an Arrow UDF.
+A list that a person has written down is passed as a Python list, and a list that is data as a table of any size. Each
+text is matched where it stands, so no join with the list is needed: short lists become built-in ``contains`` tests,
+others trees of their bytes inside an Arrow function.
 """
 
 from __future__ import annotations
@@ -13,43 +13,36 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedupe import first_by
+from ..functions import trie
+from .dedupe import first_by, row_digest
 from .ordering import top_per_group
+from .word_parts import PART_WORDS, found_words, write_parts
 
-# Longest list tested with one expression per keyword; longer ones give the same rows by an automaton.
+# Longest list tested with one expression per keyword; longer ones give the same rows by a tree.
 _INLINE = 64
 
 
-# Distinct keywords of a table that one pass over the texts looks for; a bound on what a task holds, not on the table.
-_PER_PASS = 50_000
-
-
-def _automaton_hits(keywords: Sequence[str], as_words: bool = False):
+def _tree_hits(keywords: Sequence[str]):
     words = list(keywords)
     built: list = []
 
-    def finder():
+    @F.arrow_udf("array<int>")
+    def hits(texts: pa.Array) -> pa.Array:
         if not built:
-            import ahocorasick
-
-            machine = ahocorasick.Automaton()
+            listed = sorted({w for w in words if w})
+            place = {w: k for k, w in enumerate(listed)}
+            of: list[list[int]] = [[] for _ in listed]
             for at, word in enumerate(words):
                 if word:
-                    machine.add_word(word, (*machine.get(word, ()), at))
-            machine.make_automaton()
-            # The automaton cannot look for the empty keyword, which every text contains.
-            always = {at for at, word in enumerate(words) if not word}
-            some = len(always) < len(words)
-            built.append(lambda text: sorted(always.union(at for _, hits in (machine.iter(text) if some else ()) for at in hits)))
-        return built[0]
-
-    @F.arrow_udf("array<string>" if as_words else "array<int>")
-    def hits(texts: pa.Array) -> pa.Array:
-        find = finder()
-        found = [[] if t is None else find(t) for t in texts.to_numpy(zero_copy_only=False)]
-        if as_words:
-            return pa.array([[words[at] for at in row] for row in found], pa.list_(pa.string()))
-        return pa.array(found, pa.list_(pa.int32()))
+                    of[place[word]].append(at)
+            built.extend([trie.build([w.encode() for w in listed]), of, [at for at, w in enumerate(words) if not w]])
+        tree, of, always = built
+        found: list[list[int]] = [list(always) for _ in range(len(texts))]
+        for low, _, data, offsets in trie.blocks(texts):
+            for row, word in zip(*(x.tolist() for x in trie.contained(tree, data, offsets))):
+                found[low + row] += of[word]
+        missing = texts.is_null().to_pylist()
+        return pa.array([[] if gone else sorted(row) for row, gone in zip(found, missing)], pa.list_(pa.int32()))
 
     return hits
 
@@ -62,7 +55,7 @@ def keyword_hits(c: Column, keywords: Sequence[str]) -> Column:
     if len(keywords) <= _INLINE:
         tests = [F.when(F.contains(c, F.lit(word)), F.lit(at)) for at, word in enumerate(keywords)]
         return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<int>")
-    return _automaton_hits(keywords)(c)
+    return _tree_hits(keywords)(c)
 
 
 def keyword_matches(df: DataFrame, keywords: Sequence[str], col: str = "text") -> DataFrame:
@@ -72,21 +65,50 @@ def keyword_matches(df: DataFrame, keywords: Sequence[str], col: str = "text") -
     return matched.withColumn("keyword", F.element_at(names, F.col("kw_ord") + 1))
 
 
-def keyword_table_matches(df: DataFrame, keywords: DataFrame, word: str = "keyword", col: str = "text", per: int = _PER_PASS) -> DataFrame:
+def _listed(keywords: DataFrame, word: str, order: str | None) -> DataFrame:
+    """keyword and place, one row of each keyword: its least place, 0 without an ``order``; nulls are left out."""
+    place = F.lit(0) if order is None else F.col(order)
+    named = keywords.select(F.col(word).cast("string").alias("keyword"), place.cast("bigint").alias("place")).filter("keyword IS NOT NULL")
+    return named.groupBy("keyword").agg(F.min("place").alias("place"))
+
+
+def keyword_table_matches(df: DataFrame, keywords: DataFrame, word: str = "keyword", col: str = "text", order: str | None = None, per: int = PART_WORDS) -> DataFrame:
     """One row per text and contained keyword of a table of any size; null keywords are left out, repeated ones count once.
 
-    The table is dealt by hash into parts of about ``per`` keywords, and each part is one pass over the texts, which are
-    not moved. So no task, and no message of the driver, holds more than a part.
+    With ``order``, a column of whole numbers, matches have the least one of their keyword as ``kw_ord``. The table is written in
+    parts of about ``per`` keywords by tasks; one scan of the texts, which are not moved, loads the parts in turn.
     """
-    listed = keywords.select(F.col(word).cast("string").alias("keyword")).filter("keyword IS NOT NULL").distinct()
-    parts = max(1, -(-listed.count() // per))
-    found = None
-    for part in range(parts):
-        own = listed.filter(F.pmod(F.xxhash64("keyword"), F.lit(parts)) == part)
-        words = sorted(row[0] for row in own.collect())
-        hits = df.withColumn("keyword", F.explode(_automaton_hits(words, as_words=True)(F.col(col))))
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    listed = _listed(keywords, word, order).select(F.col("keyword").alias("word"), F.lit(None).cast("string").alias("note"), "place")
+    hits = df.withColumn("_hit", F.explode(found_words(write_parts(listed, per))(F.col(col).cast("string"))))
+    found = hits.withColumn("keyword", F.col("_hit.keyword"))
+    return (found if order is None else found.withColumn("kw_ord", F.col("_hit.place"))).drop("_hit")
+
+
+def select_by_keyword_table(
+    df: DataFrame, keywords: DataFrame, cap: int = 1000, word: str = "keyword", kw_order: str = "kw_ord", col: str = "text", order: str = "row_id", per: int = PART_WORDS
+) -> DataFrame:
+    """``select_by_keywords`` for a table of any size, whose order of keywords is the column ``kw_order``; ties go by keyword.
+
+    Matches carry a digest of their text and the row's ``order``, not the row, and meet by them; rows are joined to what is picked.
+    """
+    narrow = df.select(F.col(order).alias("_order"), row_digest(col).alias("_text"), F.col(col).alias("_col"))
+    matches = keyword_table_matches(narrow, keywords, word, "_col", kw_order, per).drop("_col")
+    capped = top_per_group(matches, ["keyword"], ["_order"], cap)
+    picked = first_by(capped, "_text", ["kw_ord", "keyword", "_order"])
+    own = [c for c in df.columns if c not in ("keyword", "kw_ord")]
+    marked = df.select(*own, row_digest(col).alias("_text"), F.col(order).alias("_order"))
+    found = marked.join(picked, ["_text", "_order"]).select(*own, "keyword", "kw_ord", "_text")
+    # Rows that repeat text and order: one of them.
+    return first_by(found, "_text", order).drop("_text")
+
+
+def keyword_table_counts(
+    df: DataFrame, keywords: DataFrame, cap: int = 1000, floor: int = 300, word: str = "keyword", col: str = "text", per: int = PART_WORDS
+) -> DataFrame:
+    """``keyword_counts`` for a table of any size: keyword, matches up to the cap, and whether they are too few."""
+    hits = keyword_table_matches(df.select(col), keywords, word, col, None, per).groupBy("keyword").agg(F.count("*").alias("n"))
+    n = F.least(F.coalesce("n", F.lit(0)), F.lit(cap))
+    return _listed(keywords, word, None).join(hits, "keyword", "left").select("keyword", n.alias("n"), (n < floor).alias("small"))
 
 
 def select_by_keywords(
