@@ -7,6 +7,7 @@ depends on the piece alone, so a task merges each distinct piece once and looks
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import zlib
 from collections.abc import Iterator, Sequence
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carry, worker_memo
+from .common import carry, give_back, worker_memo
 
 # Distinct pieces a task remembers; beyond that it starts anew, which costs time only.
 REMEMBERED = 150_000
@@ -157,6 +158,61 @@ def decode(
     return df.select(*keep, df[ids].alias("_ids")).mapInArrow(run, schema)
 
 
+class _Spelling:
+    """The bytes of every id in one array, to spell many ids at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        parts = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            parts[rank] = piece
+        self.size = np.array([len(p) for p in parts], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.pool = np.frombuffer(b"".join(parts), np.uint8)
+
+    def spell(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        before = np.cumsum(size) - size
+        return self.pool[np.repeat(self.start[ids] - before, size) + np.arange(int(size.sum()))].tobytes()
+
+
+def encode_and_check(
+    df: DataFrame, rank_file: str, pattern: str, keep: Sequence[str] = ("doc_id",), text: str = "text", out: str = "ids", digest: str = "decoded_sha256"
+) -> DataFrame:
+    """``encode``, and in the same pass over the texts the SHA-256, in lowercase hexadecimal, of the bytes that the ids decode to.
+
+    The digest is made from the ids alone, as ``decode`` spells them. Columns of ``keep`` named like results are replaced.
+    """
+    keep = [c for c in keep if c not in (out, digest)]
+    with open(rank_file, "rb") as file:
+        ranks_sent = df.sparkSession.sparkContext.broadcast(file.read())
+    added = [T.StructField(out, T.ArrayType(T.IntegerType())), T.StructField(digest, T.StringType())]
+    schema = T.StructType([*df.select(*keep).schema.fields, *added])
+    texts, at = carry(df, keep, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        def tables() -> tuple[_Pieces, _Spelling]:
+            ranks = read_ranks(ranks_sent.value)
+            return _Pieces(ranks), _Spelling(ranks)
+
+        pieces, spelling = worker_memo(f"bpe-check:{rank_file}", tables)
+        cut, ids_of = regex.compile(pattern).findall, pieces.__getitem__
+        for batch in batches:
+            packed, digests = [], []
+            for t in pc.fill_null(batch.column(at), ""):
+                ids = b"".join(map(ids_of, cut(t.as_py())))
+                packed.append(ids)
+                digests.append(hashlib.sha256(spelling.spell(np.frombuffer(ids, np.int32))).hexdigest())
+            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids, pa.array(digests, pa.string())], [*keep, out, digest])
+        give_back()
+
+    return texts.mapInArrow(run, schema)
+
+
 def _lists(column: pa.Array) -> Iterator[list[int] | None]:
     offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
     for known, low, high in zip(column.is_valid().to_pylist(), offsets[:-1], offsets[1:]):

@@ -33,6 +33,20 @@ def worker_memo(name: str, make: Callable[[], T]) -> T:
     return memo[name]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system. Workers are used again by later stages, and would keep what a task once took."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        # Not this C library; what pyarrow has released is all then.
+        pass
+
+
 def hash60(c: Column) -> Column:
     """The first 60 bits of the MD5 of a string, as a number that SQL engines agree on."""
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")
@@ -40,14 +54,17 @@ def hash60(c: Column) -> Column:
 
 # Rows of an Arrow batch at most. Texts are long, and batches are held whole on both sides of the way to Python.
 BATCH_ROWS = 1_000
-_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = 16 << 20
+_BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's rows per Arrow batch to ``BATCH_ROWS`` if they are more; results do not depend on it."""
-    now = int(spark.conf.get(_BATCH_SETTING))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    """Lower the session's rows and bytes per Arrow batch to these limits if they are more; results do not depend on it."""
+    for name, limit in _BATCH_LIMITS.items():
+        # A size with a unit, or none at all, is taken for too much.
+        now = spark.conf.get(name).lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= limit:
+            spark.conf.set(name, str(limit))
 
 
 def carry(df: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, int]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vector_queries
-from .bpe import decode, encode
+from .bpe import encode_and_check
 from .fingerprints import edited_fingerprints, to_text
 from .licenses import find_licenses
 from .mixing import mix
@@ -98,10 +98,8 @@ def rank_file() -> tuple[str, str]:
 
 def bpe_digests(documents: DataFrame) -> DataFrame:
     ranks, pattern = rank_file()
-    ids = encode(documents, ranks, pattern)
-    sized = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "ids")
-    keep = ["doc_id", "n_tokens", "ids_sha256"]
-    return decode(sized, ranks, keep).select(*keep, F.sha2("decoded", 256).alias("decoded_sha256"))
+    ids = encode_and_check(documents, ranks, pattern)
+    return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "decoded_sha256")
 
 
 def bpe(spark: SparkSession, folder: str) -> DataFrame:
