@@ -95,7 +95,7 @@ def training_sample(
 ) -> tuple[DataFrame, dict[int, int]]:
     """Up to ``most`` labelled rows of either class, in an order drawn by hash, and how many rows each class has.
 
-    This bounds what training reads, not what is scored. Rows with a null label, or whose text is missing, are
+    A key on several rows counts once. This bounds what training reads, not what is scored. Rows with a null label, or whose text is missing, are
     not used. ``usable`` is a condition on the labelled key.
     """
     known = labels.filter(usable & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
@@ -106,7 +106,10 @@ def training_sample(
         part = known.filter(F.col("_label") == value).orderBy(draw, "_key").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     rows = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    return rows.join(F.broadcast(picked), "_key").select("_text", "_label"), counts
+    met = rows.filter("_text IS NOT NULL").join(F.broadcast(picked), "_key")
+    # One text of each key, that of the least digest, so that a key on many rows is no larger than others.
+    one = met.groupBy("_key", "_label").agg(F.min(F.struct(F.sha2("_text", 256).alias("_digest"), "_text")).alias("_one"))
+    return one.select("_one._text", "_label"), counts
 
 
 def text_bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
