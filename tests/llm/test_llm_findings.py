@@ -45,13 +45,23 @@ def test_one_row_of_each_group(spark):
 def test_repeated_rows_are_compared_once(spark, monkeypatch):
     seen = []
     compare = near_dedup._compare
-    monkeypatch.setattr(near_dedup, "_compare", lambda placed, sets, percent: seen.append((placed.join(sets, "doc").count(), sets.count())) or compare(placed, sets, percent))
+    monkeypatch.setattr(near_dedup, "_compare", lambda placed, texts, *rest: seen.append((texts.join(placed, "doc").count(), placed.count())) or compare(placed, texts, *rest))
     text = " ".join(f"s{k}" for k in range(60))
     df = spark.createDataFrame([(1, text)] * 30 + [(2, text + " more")] * 30, "doc_id long, text string")
     got = near_dedup.near_duplicates(df).collect()
     assert seen == [(2, 2)] and len(got) == 60 and {r.component_id for r in got} == {1}
 
 
+def test_pairs_at_the_threshold_meet(spark):
+    """400 pairs of similarity 0.8 exactly, which share nothing with others."""
+    rows = []
+    for k in range(400):
+        words = [f"p{k}w{n}" for n in range(100)]
+        rows += [(2 * k, " ".join(words[:90])), (2 * k + 1, " ".join(words[10:]))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=1)
+    assert got.filter("component_id <> doc_id AND component_id = doc_id - 1").count() >= 396
+
+
 # --- mixing
 
 

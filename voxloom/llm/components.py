@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import settle
@@ -17,19 +17,22 @@ def _mark(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node with an edge to another: the smallest node it can reach.
 
-    Every round is written to the shared folder, and only its count and checksum come to the driver. Stars are
-    counted by minima, which combine before the shuffle; no list of neighbours is built.
+    Every round is written to the shared folder, and only its count and checksum come to the driver. A star finds its
+    smallest node in a window, which spills where a star is large; no list of neighbours is built, and a round
+    shuffles three times.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct()
-    e = settle(e)
-    seen = _mark(e)
+    e, seen = settle(e), None
+    least = F.min("v").over(Window.partitionBy("u"))
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        # Every larger neighbour goes to the smallest node around; repeated edges are dropped together with others below.
+        large = both.withColumn("m", F.least("u", least)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # Every neighbour, all smaller now, and the node itself go to the smallest of them.
+        small = large.withColumn("m", least)
+        ends = F.array(F.when(F.col("v") > F.col("m"), F.col("v")), F.col("u"))
+        small = small.select(F.explode(ends).alias("u"), F.col("m").alias("v")).filter("u IS NOT NULL")
+        e = settle(small.distinct())
         now = _mark(e)
         if now == seen:
             break

@@ -3,7 +3,8 @@
 A document is a set of word shingles. Documents of equal sets are one class from the start. Two collections of
 ``halves`` half-keys are made, each of ``rows`` MinHash values, and the key of table (i, j) joins half-key i of the
 first collection with half-key j of the second. So halves^2 tables of 2 * rows values cost 2 * halves * rows MinHash
-values. Two sets of similarity s meet in some table with probability (1 - (1 - s^rows)^halves)^2, 0.99998 at 0.8.
+values. Two sets of similarity s meet in some table with probability (1 - (1 - s^rows)^halves)^2, 0.9985 at 0.8 and
+0.99998 at 0.9.
 
 A half-key that one class alone has cannot meet anything, so only shared half-keys are paired, which few are.
 
@@ -19,15 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, settle
+from .common import bound_batches, give_back, settle
 from .components import connected_components
 from .hashing import FACTORS, find_words, hash_pieces, lower_ascii, mix, sequences, text_blocks
 
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 250_000
+BROADCAST_TASKS = 1_000_000
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -86,17 +88,20 @@ def _signatures(df: DataFrame, width: int, halves: int, rows: int, seed: int) ->
                     [*[batch.column(k).slice(low, high - low) for k in range(2)], pa.array(size), *map(pa.array, sums.view(np.int64)), *lists],
                     ["doc", "key", "n", "s1", "s2", "a", "b"],
                 )
+        give_back()
 
     return df.mapInArrow(run, "doc long, key long, n long, s1 long, s2 long, a array<long>, b array<long>")
 
 
 def _meetings(reps: DataFrame) -> DataFrame:
     """(a, b): each class with the smallest class of every table bucket it shares."""
+    # A class has a key once, so keys that are counted twice are shared; counts are all that is sent for it.
     each = reps.select("doc", F.explode(F.concat("a", "b")).alias("key"))
-    shared = settle(each.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).filter("x < y").select("key"))
+    shared = settle(each.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"))
     left = reps.select("doc", F.explode("a").alias("key")).join(shared, "key").groupBy("doc").agg(F.collect_list("key").alias("a"))
     right = reps.select("doc", F.explode("b").alias("key")).join(shared, "key").groupBy("doc").agg(F.collect_list("key").alias("b"))
-    both = left.join(right, "doc").select("doc", "b", F.explode("a").alias("i")).select("doc", "i", F.explode("b").alias("j"))
+    # Written as two lists a class; the pairs of their keys are made again where they are counted and where they are joined.
+    both = settle(left.join(right, "doc")).select("doc", "b", F.explode("a").alias("i")).select("doc", "i", F.explode("b").alias("j"))
     tables = both.select("doc", F.xxhash64("i", "j").alias("key"))
     buckets = settle(tables.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).filter("x < y").select("key", "x"))
     return tables.join(buckets, "key").filter("doc > x").select(F.col("doc").alias("a"), F.col("x").alias("b")).distinct()
@@ -145,9 +150,16 @@ def spanning_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np
     return out
 
 
-def _compare(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in comparisons; ``placed`` has (doc, task, side): side 0 alone means within the block."""
-    rows = placed.join(sets, "doc").select("task", "side", "doc", "shingles")
+def _compare(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) found in comparisons; ``placed`` has (doc, tasks), a list of (task, side): side 0 alone means within the block.
+
+    Texts travel, which compress, not sets, which do not; each is sent once to each of its tasks, which cut it into shingles.
+    Up to ``BROADCAST_TASKS`` entries of such lists, some 30 MB, go to where the texts are; more of them are joined by a shuffle.
+    """
+    placed = settle(placed)
+    if (placed.agg(F.sum(F.size("tasks") + 1)).first()[0] or 0) <= BROADCAST_TASKS:
+        placed = F.broadcast(placed)
+    rows = texts.join(placed, "doc").select("doc", "text", F.inline("tasks")).select("task", "side", "doc", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, left, right = None, [], []
@@ -159,52 +171,38 @@ def _compare(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         for batch in batches:
             tasks, sides, docs = (batch.column(k).to_pylist() for k in range(3))
-            for task, side, doc, raw in zip(tasks, sides, docs, batch.column(3)):
-                if task != now:
-                    yield from close()
-                    now, left, right = task, [], []
-                (right if side else left).append((doc, np.frombuffer(raw.as_buffer(), np.uint64)))
+            for low, high, sets in shingle_sets(batch.column(3), width):
+                for task, side, doc, own in zip(tasks[low:high], sides[low:high], docs[low:high], sets):
+                    if task != now:
+                        yield from close()
+                        now, left, right = task, [], []
+                    (right if side else left).append((doc, own))
         yield from close()
+        give_back()
 
     return rows.repartition("task").sortWithinPartitions("task", "side").mapInArrow(run, "a long, b long")
 
 
 def _blocks(members: DataFrame, by: list[str]) -> DataFrame:
     """``members`` with ``blocks``, the number of blocks their group needs, and ``block``, drawn by hash."""
-    sizes = members.groupBy(*by).agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_c"))
-    need = F.greatest(F.ceil(F.col("_n") / BLOCK_SHINGLES), F.ceil(F.col("_c") / BLOCK_DOCS)).cast("bigint")
-    joined = members.join(sizes.select(*by, need.alias("blocks")), by)
-    return joined.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), F.col("blocks")))
+    group = Window.partitionBy(*by)
+    need = F.greatest(F.ceil(F.sum("n").over(group) / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)).over(group) / BLOCK_DOCS)).cast("bigint")
+    return members.withColumn("blocks", need).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), F.col("blocks")))
 
 
 def _links(texts: DataFrame, families: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links within families (node, label) of classes; ``texts`` has (doc, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low, high, sets in shingle_sets(batch.column(1), width):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    ["doc", "n", "shingles"],
-                )
-
-    chosen = texts.join(families.select(F.col("node").alias("doc")), "doc", "left_semi").select("doc", "text")
-    sets = settle(chosen.mapInArrow(run, "doc long, n long, shingles binary"))
-    members = sets.select("doc", "n").join(families.select(F.col("node").alias("doc"), F.col("label").alias("family")), "doc")
-    members = settle(_blocks(members, ["family"]))
+    """Links within families (doc, n, family) of classes; ``texts`` has (doc, text)."""
+    members = settle(_blocks(families, ["family"]))
     # First round: every block within itself, and with block 0 of its family.
+    none = F.array().cast("array<struct<task:bigint,side:int>>")
     apart = F.transform(
         F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(1).cast("bigint"), F.col("blocks") - 1)).otherwise(F.array().cast("array<bigint>")),
         lambda k: F.struct(F.xxhash64(F.lit("hub"), "family", k).alias("task"), F.lit(0).alias("side")),
     )
     mine = F.array(F.struct(F.xxhash64(F.lit("own"), "family", "block").alias("task"), F.lit(0).alias("side")))
     hub = F.when(F.col("block") > 0, F.array(F.struct(F.xxhash64(F.lit("hub"), "family", "block").alias("task"), F.lit(1).alias("side"))))
-    placed = members.select("doc", F.inline(F.concat(mine, apart, F.coalesce(hub, F.array().cast("array<struct<task:bigint,side:int>>")))))
-    first = settle(_compare(placed, sets, percent))
+    placed = members.select("doc", F.concat(mine, apart, F.coalesce(hub, none)).alias("tasks"))
+    first = settle(_compare(placed, texts, width, percent))
     # Second round: families of several blocks that are not one component yet.
     many = members.filter("blocks > 1").select("doc", "n", "family")
     if many.isEmpty():
@@ -227,7 +225,8 @@ def _links(texts: DataFrame, families: DataFrame, width: int, percent: int) -> D
     task = F.xxhash64(F.lit("pair"), "home", "home2").alias("task")
     one = home.join(pairs.select("home", task), "home").select("doc", "task", F.lit(0).alias("side"))
     two = home.join(pairs.filter("home < home2").select(F.col("home2").alias("home"), task), "home").select("doc", "task", F.lit(1).alias("side"))
-    return first.unionByName(_compare(one.unionByName(two), sets, percent))
+    again = one.unionByName(two).select("doc", F.array(F.struct("task", "side")).alias("tasks"))
+    return first.unionByName(_compare(again, texts, width, percent))
 
 
 def _number(df: DataFrame) -> tuple[DataFrame, str]:
@@ -253,7 +252,9 @@ def _classes(texts: DataFrame, usable: str, width: int, percent: int, halves: in
     classes = settle(marks.filter(usable).groupBy(*_SAME).agg(first).withColumn("node", F.col("best.doc")))
     reps = marks.join(classes.select(F.col("node").alias("doc")), "doc", "left_semi").select("doc", "a", "b")
     meetings = settle(_meetings(reps))
-    families = settle(connected_components(meetings))
+    # The sizes of sets are known, so blocks are planned before any text is moved.
+    sizes = classes.select(F.col("node").alias("doc"), "n")
+    families = sizes.join(connected_components(meetings).select(F.col("node").alias("doc"), F.col("label").alias("family")), "doc")
     labels = settle(connected_components(_links(texts.select("doc", "text"), families, width, percent)))
     found = classes.join(labels, "node", "left").select(*_SAME, "best", F.coalesce("label", "node").alias("label"))
     return marks.select("doc", "key", *_SAME), settle(found)
@@ -265,7 +266,7 @@ def near_duplicates(
     text: str = "text",
     width: int = 5,
     percent: int = 80,
-    halves: int = 16,
+    halves: int = 10,
     rows: int = 3,
     seed: int = 7,
 ) -> DataFrame:
@@ -300,7 +301,7 @@ def one_of_each(
     text: str = "text",
     width: int = 5,
     percent: int = 80,
-    halves: int = 16,
+    halves: int = 10,
     rows: int = 3,
     seed: int = 7,
 ) -> DataFrame:
