@@ -42,12 +42,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document taken, and whether decoding them gives the text back."""
     ranks, pattern = queries.rank_file()
-    keep = ["doc_id", "lang", "source", "_sha"]
     # A digest goes along instead of the text, to compare what decoding gives.
     marked = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    ids = bpe.encode(marked, ranks, pattern, keep)
-    exact = F.sha2("decoded", 256) == F.col("_sha")
-    return bpe.decode(ids, ranks, [*keep, "ids"]).select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"), exact.alias("exact"))
+    ids = bpe.encode_and_check(marked, ranks, pattern, ["doc_id", "lang", "source", "_sha"])
+    return ids.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"), (F.col("decoded_sha256") == F.col("_sha")).alias("exact"))
 
 
 STAGES: list[tuple[str, Stage]] = [
