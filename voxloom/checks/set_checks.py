@@ -121,6 +121,21 @@ def h3(spark, d):
     return sampling.split_sets(v.table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey").select("o_orderkey", "split")
 
 
+@check(
+    "h3_weighted_split",
+    f"""WITH g AS (SELECT o_custkey, sum(round(o_totalprice::DOUBLE * 100)::BIGINT) AS w FROM orders GROUP BY 1),
+    p AS (SELECT o_custkey, w, sum(w) OVER (ORDER BY {rank_sql('o_custkey', '0', "'weight'")}, o_custkey) - w AS before, sum(w) OVER () AS total FROM g),
+    m AS (SELECT o_custkey, (2 * before + w)::DOUBLE AS middle, (2 * total)::DOUBLE AS total FROM p)
+    SELECT o_orderkey, CASE WHEN middle * 1000000 < total * 800000 THEN 'train' WHEN middle * 1000000 < total * 900000 THEN 'test' ELSE 'validation' END AS split,
+      least(floor(middle * 7 / total), 6)::INTEGER AS shard FROM orders JOIN m USING (o_custkey)""",
+)
+def h3b(spark, d):
+    """Customers stay whole; shares are of the price of their orders."""
+    orders = v.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    split = sampling.weighted_split(orders, "o_custkey", "o_totalprice", scale=100)
+    return sampling.weighted_groups(split, 7, "o_custkey", "o_totalprice", scale=100).select("o_orderkey", "split", "shard")
+
+
 @check("h4_pick_share", f"SELECT event_id FROM events WHERE {unit_sql('event_id', '1')} < 0.5")
 def h4(spark, d):
     return sampling.pick_share(v.table(spark, d, "events"), "event_id", 0.5, 1).select("event_id")

@@ -27,7 +27,8 @@ from ..sources import (
     write_subtitles,
 )
 from . import views as v
-from .registry import check
+from ..sources.textgrid import text_of
+from .registry import ORACLES, check
 
 
 @check(
@@ -122,6 +123,21 @@ def a5(spark, d):
     return both.select("audio_filepath", "duration", F.md5("text").alias("text_md5"), F.col("reason").alias("outcome"))
 
 
+@check("a5_short_textgrid", ORACLES["a5_textgrid"])
+def a5_short(spark, d):
+    """The same grids in the short layout, a tier of points before the intervals, every other file in UTF-16."""
+    turns = v.segments(spark, d)
+    item = F.format_string('%s\n%s\n"%s"\n', F.col("lo").cast("string"), F.col("hi").cast("string"), F.replace("text", F.lit('"'), F.lit('""')))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", item.alias("t")))), lambda x: x["t"]), "")
+    head = 'File type = "ooTextFile"\nObject class = "TextGrid"\n\n0\n99\n<exists>\n2\n"TextTier"\n"IntervalTier"\n0\n99\n1\n0.5\n"p ""q"""\n"IntervalTier"\n"words"\n0\n99\n'
+    whole = turns.groupBy("conv_id").agg(F.concat(F.lit(head), F.count("*").cast("string"), F.lit("\n"), body).alias("value"))
+    content = F.when(F.pmod("conv_id", F.lit(2)) == 0, F.encode("value", "UTF-16")).otherwise(F.encode("value", "UTF-8"))
+    files = whole.select(F.concat(F.lit("/grids/part_call_"), "conv_id", F.lit(".TextGrid")).alias("path"), text_of(content).alias("value"))
+    kept, rejects = manifest_from_textgrid(files, 3, 12)
+    both = kept.withColumn("reason", F.lit("kept")).unionByName(rejects)
+    return both.select("audio_filepath", "duration", F.md5("text").alias("text_md5"), F.col("reason").alias("outcome"))
+
+
 @check(
     "a6_sanity_lines",
     v.with_views(v.REFS, v.PREDICTIONS)
