@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -269,10 +270,52 @@ def test_fingerprints_add_up(spark):
     a, b, c, d = (fingerprints.lanes(F.col(x)) for x in "abcd")
     r = df.select(
         (a == b).alias("order"), (fingerprints.combine(d, c) == a).alias("put"), (fingerprints.combine(a, c, -1) == d).alias("out"), (a == d).alias("count"),
-        fingerprints.likeness(a, b).alias("same"), fingerprints.likeness(a, c).alias("other"), F.length(fingerprints.to_text(a)).alias("n"),
+        fingerprints.likeness(a, b).alias("same"), fingerprints.likeness(a, c).alias("other"), F.length(fingerprints.to_text(a)).alias("n"), (F.size(a) - 8).alias("lanes"),
     ).first()
-    assert (r.order, r.put, r.out, r["count"], r.same, r.n) == (True, True, True, False, 1.0, 8 * 8 + 128 * 4)
-    assert 0 <= r.other < 1
+    assert (r.order, r.put, r.out, r["count"], r.same, r.n) == (True, True, True, False, 1.0, 8 * 8 + 8 * r.lanes)
+    assert 0 <= r.other < 1 and 2 <= r.lanes
+
+
+def test_likeness_is_near_the_jaccard_of_pieces_at_every_length(spark):
+    draw = random.Random(5)
+
+    def line(n):
+        return " ".join("".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    rows, kept_shares = [], (0.0, 0.25, 0.5, 0.9, 0.99)
+    for lines in (1, 10, 100, 1000, 4000):
+        for kept in kept_shares:
+            text = [line(200)] if lines == 1 else [line(4)[:30] for _ in range(lines)]
+            if lines == 1:
+                at = int(len(text[0]) * kept)
+                other = [text[0][:at] + line(200)[at:]]
+            else:
+                at = int(lines * kept)
+                other = text[:at] + [line(4)[:30] for _ in range(lines - at)]
+                draw.shuffle(other)
+            rows.append((lines, kept, "\n".join(text), "\n".join(other)))
+    df = spark.createDataFrame(rows, "lines int, kept double, a string, b string").repartition(8)
+    got = df.select(
+        "lines", "kept", fingerprints.likeness(fingerprints.lanes(F.col("a")), fingerprints.lanes(F.col("b"))).alias("near"),
+        fingerprints.pieces(F.col("a")).alias("pa"), fingerprints.pieces(F.col("b")).alias("pb"),
+    ).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        a, b = Counter(r.pa), Counter(r.pb)
+        truth = sum((a & b).values()) / sum((a | b).values())
+        assert abs(r.near - truth) <= 0.1, (r.lines, r.kept, r.near, truth)
+        if r.lines > 1:
+            same = int(r.lines * r.kept) / r.lines
+            assert truth == pytest.approx(same / (2 - same), abs=0.1)
+        assert r.near > 0 or r.kept == 0
+
+
+def test_a_removed_half_gives_the_lanes_of_the_rest(spark):
+    draw = random.Random(6)
+    lines = [" ".join(str(draw.randrange(10**6)) for _ in range(9)) + ". x, y" for _ in range(600)]
+    df = spark.createDataFrame([("\n".join(lines), "\n".join(lines[:300]), "\n".join(lines[300:]))], "a string, b string, c string")
+    a, b, c = (fingerprints.lanes(F.col(x)) for x in "abc")
+    assert df.select((fingerprints.combine(a, b, -1) == c) & (fingerprints.combine(b, c) == a)).first()[0]
 
 
 # --- byte-level BPE

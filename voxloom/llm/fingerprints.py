@@ -4,9 +4,11 @@ A paragraph is a non-empty line. It is hashed to a wide vector, and the vectors
 lane modulo a power of two. So the fingerprint is that of the multiset of paragraphs: their order does not matter,
 and a paragraph is put in or taken out by adding or subtracting its vector.
 
-The vector has two parts. Eight dense lanes modulo 2^32 hold the paragraph's SHA-256; they decide equality. A
-hundred and twenty-eight sparse lanes modulo 2^16 are zero but for two, chosen and filled by the same hash. Documents
-that share paragraphs agree in the sparse lanes that no other paragraph touches, which gives a likeness.
+The vector has two parts. Eight dense lanes modulo 2^32 hold the paragraph's SHA-256; they decide equality. Sparse
+lanes modulo 2^16 stand for its pieces: what lies between punctuation marks, cut again at 32 code points. Each piece
+adds a value from its hash to one lane of 512 on level 0, and on level k as well if its hash is divisible by 4^k. So
+level k holds a sample of one piece in 4^k, and a text of any length has a level that is not full, from which the
+likeness is read. Zero lanes are not stored: short texts have short fingerprints.
 """
 
 from __future__ import annotations
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import settle, whole_text
 
-DENSE, SPARSE, TOUCHED = 8, 128, 2
+DENSE, SLOTS, LEVELS, PIECE = 8, 512, 16, 32
 _DENSE_MOD, _SPARSE_MOD = 1 << 32, 1 << 16
+# A level serves while at most this many of its lanes are in use by the two texts together.
+_FULL = 360
+_CUT = "([.,;:!?\u3002\uff0c\u3001\uff01\uff1f\uff1b\uff1a] ?)"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -38,65 +43,121 @@ def _digests(text: Column) -> Column:
     return F.transform(paragraphs(text), lambda p: F.sha2(p, 256))
 
 
-def _touches(digest: Column) -> Column:
-    """(lane, value) pairs a paragraph adds to the sparse lanes; values are never zero."""
-    pairs = []
-    for k in range(TOUCHED):
-        lane = F.pmod(_hex(digest, 8 * k + 1, 4), F.lit(SPARSE)).cast("int")
-        pairs.append(F.struct(lane.alias("lane"), (F.pmod(_hex(digest, 8 * k + 5, 4), F.lit(_SPARSE_MOD - 1)) + 1).alias("value")))
-    return F.array(*pairs)
+def pieces(text: Column) -> Column:
+    """The pieces of all paragraphs; none crosses a line break, so they depend on their paragraph alone."""
+    cut = F.regexp_replace(whole_text(text), _CUT, "$1\n")
+    return F.regexp_extract_all(cut, F.lit("[^\n]{1,%d}" % PIECE), F.lit(0))
+
+
+def _entry(h: Column, level: Column) -> Column:
+    """Lane and value of a piece on a level in one number, lane * 2^16 + value; values are never zero."""
+    lane = level * SLOTS + F.pmod(h, F.lit(SLOTS))
+    return lane * _SPARSE_MOD + F.pmod(F.shiftright(h, 39), F.lit(_SPARSE_MOD - 1)) + 1
+
+
+def _deepest(h: Column) -> Column:
+    """How often 4 divides the level bits of a hash."""
+    bits = F.shiftright(h, 9).bitwiseAND(F.lit((1 << 30) - 1)).bitwiseOR(F.lit(1 << 30))
+    return F.floor(F.bit_count(bits.bitwiseAND(-bits) - 1) / 2)
+
+
+def _entries(text: Column) -> Column:
+    def spread_over(hashes: Column) -> Column:
+        first = F.transform(hashes, lambda h: _entry(h, F.lit(0).cast("bigint")))
+        sampled = F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 9), F.lit(4)) == 0)
+        one = F.lit(1).cast("bigint")
+        deeper = F.flatten(F.transform(sampled, lambda h: F.transform(F.sequence(one, _deepest(h)), lambda k: _entry(h, k))))
+        return F.concat(first, deeper)
+
+    return _let(F.transform(pieces(text), lambda p: _hex(F.md5(p), 1, 15)), spread_over)
+
+
+def _summed(entries: Column) -> Column:
+    """Entries of one lane added up, in order of lanes; lanes that come to zero are left out."""
+    start = F.struct(
+        F.array().cast("array<bigint>").alias("done"), F.lit(-1).cast("bigint").alias("lane"), F.lit(0).cast("bigint").alias("total")
+    )
+
+    def close(acc: Column) -> Column:
+        total = F.pmod(acc["total"], F.lit(_SPARSE_MOD))
+        return F.when(total == 0, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["lane"] * _SPARSE_MOD + total)))
+
+    def step(acc: Column, entry: Column) -> Column:
+        lane, value = F.shiftright(entry, 16), F.pmod(entry, F.lit(_SPARSE_MOD))
+        same = F.struct(acc["done"].alias("done"), acc["lane"].alias("lane"), (acc["total"] + value).alias("total"))
+        return F.when(lane == acc["lane"], same).otherwise(F.struct(close(acc).alias("done"), lane.alias("lane"), value.alias("total")))
+
+    return F.aggregate(F.sort_array(entries), start, step, close)
 
 
 def lanes(text: Column) -> Column:
-    """The fingerprint as an array of lane values, dense ones first."""
+    """The fingerprint: values of the dense lanes, then lane * 2^16 + value of each sparse lane that is not zero."""
 
     def build(digests: Column) -> Column:
         def lane(k: int) -> Column:
             total = F.aggregate(digests, F.lit(0).cast("bigint"), lambda a, d: a + _hex(d, 8 * k + 1, 8))
             return F.pmod(total, F.lit(_DENSE_MOD))
 
-        dense = [lane(k) for k in range(DENSE)]
-        zero = F.array_repeat(F.lit(0).cast("bigint"), SPARSE)
-
-        def put(acc: Column, t: Column) -> Column:
-            new = F.pmod(F.get(acc, t["lane"]) + t["value"], F.lit(_SPARSE_MOD))
-            return F.concat(F.slice(acc, 1, t["lane"]), F.array(new), F.slice(acc, t["lane"] + 2, SPARSE))
-
-        sparse = F.aggregate(F.flatten(F.transform(digests, _touches)), zero, put)
-        return F.concat(F.array(*dense), sparse)
+        return F.concat(F.array(*[lane(k) for k in range(DENSE)]), _summed(_entries(text)))
 
     return _let(_digests(text), build)
 
 
-def _lane_mod(k: Column) -> Column:
-    return F.when(k < DENSE, F.lit(_DENSE_MOD)).otherwise(F.lit(_SPARSE_MOD))
+def _sparse(lane_values: Column) -> Column:
+    return F.slice(lane_values, DENSE + 1, F.size(lane_values))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """Lanes of the paragraphs of both (``sign`` 1), or of ``a`` without those of ``b`` (``sign`` -1)."""
-    added = F.zip_with(a, b, lambda x, y: x + sign * y)
-    return F.transform(added, lambda x, k: F.pmod(x, _lane_mod(k)))
+    dense = F.zip_with(F.slice(a, 1, DENSE), F.slice(b, 1, DENSE), lambda x, y: F.pmod(x + sign * y, F.lit(_DENSE_MOD)))
+    other = _sparse(b)
+    if sign < 0:
+        other = F.transform(other, lambda e: F.shiftright(e, 16) * _SPARSE_MOD + _SPARSE_MOD - F.pmod(e, F.lit(_SPARSE_MOD)))
+    return F.concat(dense, _summed(F.concat(_sparse(a), other)))
 
 
 def to_text(lane_values: Column) -> Column:
-    """Lower-case hexadecimal, eight digits a dense lane and four a sparse one."""
-    dense = F.transform(F.slice(lane_values, 1, DENSE), lambda x: F.lpad(F.hex(x), 8, "0"))
-    sparse = F.transform(F.slice(lane_values, DENSE + 1, SPARSE), lambda x: F.lpad(F.hex(x), 4, "0"))
-    return F.lower(F.concat(F.array_join(dense, ""), F.array_join(sparse, "")))
+    """Lower-case hexadecimal, eight digits a dense lane and eight a sparse one that is not zero."""
+    return F.lower(F.array_join(F.transform(lane_values, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal fingerprints; otherwise the share of equal lanes among sparse lanes that either has filled."""
-    pairs = F.slice(F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), DENSE + 1, SPARSE)
-    filled = F.size(F.filter(pairs, lambda p: (p["x"] != 0) | (p["y"] != 0)))
-    equal = F.size(F.filter(pairs, lambda p: (p["x"] != 0) & (p["x"] == p["y"])))
-    share = F.coalesce(F.try_divide(equal.cast("double"), filled.cast("double")), F.lit(0.0))
+    """1 for equal fingerprints; otherwise about the share of pieces that both texts hold among those that either holds.
+
+    Lanes in use tell how many different pieces a text has, and lanes that differ tell how many are in one text only
+    (``-SLOTS * ln(share of lanes not hit)``, since pieces may share a lane). A piece that both repeat, but not equally
+    often, counts as different. Rounded to six decimals.
+    """
+
+    def shared(parts: Column) -> Column:
+        used_a, used_b = (F.transform(parts[k], lambda e: F.shiftright(e, 16)) for k in "ab")
+        common = F.transform(F.array_intersect(parts["a"], parts["b"]), lambda e: F.shiftright(e, 16))
+        return _let(F.struct(used_a.alias("a"), used_b.alias("b"), F.array_union(used_a, used_b).alias("u"), common.alias("c")), estimate)
+
+    def used(of: Column, level: Column) -> Column:
+        return F.size(F.filter(of, lambda lane: F.shiftright(lane, 9) == level))
+
+    def estimate(sets: Column) -> Column:
+        open_levels = F.filter(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: used(sets["u"], k) <= _FULL)
+        level = F.when(F.size(sets["u"]) <= _FULL, F.lit(0)).otherwise(F.coalesce(F.get(open_levels, F.lit(0)), F.lit(LEVELS - 1)))
+
+        def ratio(k: Column) -> Column:
+            def number(n: Column) -> Column:
+                return -SLOTS * F.log(1 - F.least(n, F.lit(SLOTS - 1)) / SLOTS)
+
+            own, other = number(used(sets["a"], k)), number(used(sets["b"], k))
+            apart = number(used(sets["u"], k) - used(sets["c"], k))
+            return F.greatest(F.coalesce(F.try_divide(own + other - apart, own + other + apart), F.lit(0.0)), F.lit(0.0))
+
+        return _let(level, ratio)
+
+    share = _let(F.struct(_sparse(a).alias("a"), _sparse(b).alias("b")), shared)
     # Different documents may agree in every sparse lane by chance, but never count as equal.
-    return F.when(a == b, F.lit(1.0)).otherwise(F.least(share, F.lit(1.0 - 1.0 / SPARSE)))
+    return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.least(share, F.lit(1.0 - 1.0 / SLOTS)), 6))
 
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "lanes") -> DataFrame:
-    """All rows and columns with the lanes of their text; null and empty texts have all lanes zero."""
+    """All rows and columns with the lanes of their text; null and empty texts have the dense lanes alone, all zero."""
     return df.withColumn(out, lanes(F.col(text)))
 
 

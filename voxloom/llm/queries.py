@@ -211,29 +211,29 @@ SELECT n.doc_id, n.size, n.words AS source_size, n.target,
 FROM n"""
 )
 
-_FINGERPRINT_SQL = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+_FINGERPRINT_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 nx AS (SELECT doc_id, t, length(t) AS n, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nt FROM d),
 e AS (SELECT doc_id, n, t, nt, left(t, n - n // 2) || left(nt, n // 2) AS ed FROM nx),
 x AS (SELECT doc_id, 1 AS which, t AS v FROM e UNION ALL SELECT doc_id, 2, ed FROM e UNION ALL SELECT doc_id, 3, nt FROM e),
 h AS (SELECT doc_id, which, list_transform(list_filter(string_split(v, chr(10)), lambda p: p <> ''), lambda p: sha256(p)) AS hs FROM x),
-dn AS (SELECT doc_id, which, hs, list_transform(range(8), lambda k: (coalesce(list_sum(list_transform(hs, lambda q: ('0x' || substr(q, (8 * k + 1)::INT, 8))::BIGINT)), 0) % 4294967296)::BIGINT) AS dense FROM h),
-u AS (SELECT doc_id, which, unnest(hs) AS q FROM h),
-v AS (SELECT doc_id, which, ('0x' || substr(q, 1, 4))::BIGINT % 128 AS lane, ('0x' || substr(q, 5, 4))::BIGINT % 65535 + 1 AS val FROM u
-  UNION ALL SELECT doc_id, which, ('0x' || substr(q, 9, 4))::BIGINT % 128, ('0x' || substr(q, 13, 4))::BIGINT % 65535 + 1 FROM u),
-g AS (SELECT doc_id, which, lane, (sum(val) % 65536)::BIGINT AS val FROM v GROUP BY ALL),
-ml AS (SELECT doc_id, which, map_from_entries(list((lane, val))) AS mp FROM g GROUP BY doc_id, which),
-al AS (SELECT dn.doc_id, dn.which, dense, list_transform(range(128), lambda k: coalesce(mp[k], 0)::BIGINT) AS sparse
-  FROM dn LEFT JOIN ml ON dn.doc_id = ml.doc_id AND dn.which = ml.which),
-a AS (SELECT * FROM al WHERE which = 1), b AS (SELECT * FROM al WHERE which = 2), c AS (SELECT * FROM al WHERE which = 3),
-fp AS (SELECT doc_id, which, list_aggregate(list_concat(list_transform(dense, lambda z: printf('%08x', z)), list_transform(sparse, lambda z: printf('%04x', z))), 'string_agg', '') AS fp FROM al),
-lk AS (SELECT a.doc_id,
-  CASE WHEN a.dense = b.dense AND a.sparse = b.sparse THEN 1.0::DOUBLE ELSE least(coalesce(len(list_filter(list_zip(a.sparse, b.sparse), lambda p: p[1] <> 0 AND p[1] = p[2]))::DOUBLE
-    / nullif(len(list_filter(list_zip(a.sparse, b.sparse), lambda p: p[1] <> 0 OR p[2] <> 0)), 0), 0), 1.0 - 1.0 / 128)::DOUBLE END AS near_edited,
-  CASE WHEN a.dense = c.dense AND a.sparse = c.sparse THEN 1.0::DOUBLE ELSE least(coalesce(len(list_filter(list_zip(a.sparse, c.sparse), lambda p: p[1] <> 0 AND p[1] = p[2]))::DOUBLE
-    / nullif(len(list_filter(list_zip(a.sparse, c.sparse), lambda p: p[1] <> 0 OR p[2] <> 0)), 0), 0), 1.0 - 1.0 / 128)::DOUBLE END AS near_next
-  FROM a JOIN b ON a.doc_id = b.doc_id JOIN c ON a.doc_id = c.doc_id)
-SELECT e.doc_id, e.n::BIGINT AS n_chars, sha256(e.ed) AS edited_sha256, f1.fp AS fingerprint, f2.fp AS edited_fingerprint, lk.near_edited, lk.near_next
-FROM e JOIN lk ON e.doc_id = lk.doc_id JOIN fp f1 ON f1.doc_id = e.doc_id AND f1.which = 1 JOIN fp f2 ON f2.doc_id = e.doc_id AND f2.which = 2"""
+dn AS (SELECT doc_id, which, list_transform(range(8), lambda k: (coalesce(list_sum(list_transform(hs, lambda q: ('0x' || substr(q, (8 * k + 1)::INT, 8))::BIGINT)), 0) % 4294967296)::BIGINT) AS dense FROM h),
+un AS (SELECT doc_id, which, unnest(regexp_extract_all(regexp_replace(v, '([.,;:!?。，、！？；：] ?)', '\1' || chr(10), 'g'), '[^\n]{1,32}')) AS piece FROM x),
+hx AS (SELECT doc_id, which, ('0x' || substr(md5(piece), 1, 15))::BIGINT AS h FROM un),
+g AS (SELECT doc_id, which, k * 512 + h % 512 AS lane, (sum((h >> 39) % 65535 + 1) % 65536)::BIGINT AS val
+  FROM hx, range(16) levels(k) WHERE (h >> 9) % (1::BIGINT << (2 * k)) = 0 GROUP BY ALL HAVING val <> 0),
+sp AS (SELECT doc_id, which, string_agg(printf('%08x', lane * 65536 + val), '' ORDER BY lane) AS tail FROM g GROUP BY doc_id, which),
+fp AS (SELECT dn.doc_id, dn.which, list_aggregate(list_transform(dense, lambda z: printf('%08x', z)), 'string_agg', '') || coalesce(tail, '') AS fp
+  FROM dn LEFT JOIN sp ON dn.doc_id = sp.doc_id AND dn.which = sp.which),
+pr AS (SELECT doc_id, other, lane, max(CASE WHEN which = 1 THEN val END) AS a, max(CASE WHEN which = other THEN val END) AS b
+  FROM g, (VALUES (2), (3)) o(other) WHERE which IN (1, other) GROUP BY ALL),
+lv AS (SELECT doc_id, other, lane // 512 AS level, count(a) AS na, count(b) AS nb, count(*) AS nu, count(*) FILTER (a = b) AS nc FROM pr GROUP BY ALL),
+ok AS (SELECT doc_id, other, arg_min(na, level) AS na, arg_min(nb, level) AS nb, arg_min(nu - nc, level) AS nd FROM lv WHERE nu <= 360 GROUP BY ALL),
+es AS (SELECT doc_id, other, -512 * ln(1 - least(na, 511) / 512) AS ea, -512 * ln(1 - least(nb, 511) / 512) AS eb, -512 * ln(1 - least(nd, 511) / 512) AS ed FROM ok),
+lk AS (SELECT a.doc_id, b.which, CASE WHEN a.fp = b.fp THEN 1.0 ELSE round(least(greatest(coalesce((ea + eb - ed) / nullif(ea + eb + ed, 0), 0), 0), 1.0 - 1.0 / 512), 6) END::DOUBLE AS near
+  FROM fp a JOIN fp b ON a.doc_id = b.doc_id AND a.which = 1 AND b.which > 1 LEFT JOIN es ON es.doc_id = b.doc_id AND es.other = b.which)
+SELECT e.doc_id, e.n::BIGINT AS n_chars, sha256(e.ed) AS edited_sha256, f1.fp AS fingerprint, f2.fp AS edited_fingerprint, l2.near AS near_edited, l3.near AS near_next
+FROM e JOIN fp f1 ON f1.doc_id = e.doc_id AND f1.which = 1 JOIN fp f2 ON f2.doc_id = e.doc_id AND f2.which = 2
+JOIN lk l2 ON l2.doc_id = e.doc_id AND l2.which = 2 JOIN lk l3 ON l3.doc_id = e.doc_id AND l3.which = 3"""
 
 _NEAR_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
