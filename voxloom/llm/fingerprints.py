@@ -156,6 +156,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.least(share, F.lit(1.0 - 1.0 / SLOTS)), 6))
 
 
+def _packed(lane_values: Column) -> Column:
+    """Lanes as they travel: sparse ones fit into four bytes."""
+    return _let(lane_values, lambda x: F.struct(F.slice(x, 1, DENSE).alias("dense"), _sparse(x).cast("array<int>").alias("sparse")))
+
+
+def _unpacked(column: str) -> Column:
+    return F.concat(f"{column}.dense", F.col(f"{column}.sparse").cast("array<bigint>"))
+
+
 def fingerprint(df: DataFrame, text: str = "text", out: str = "lanes") -> DataFrame:
     """All rows and columns with the lanes of their text; null and empty texts have the dense lanes alone, all zero."""
     return df.withColumn(out, lanes(F.col(text)))
@@ -194,23 +203,24 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
     """Fingerprints of every document, of its edited text, and how alike both and the next document are.
 
     The edited text has its last half replaced by as many first code points of the next document. Texts cross the
-    network once, joined with their place in the ring; only the beginnings the neighbours need move again.
+    network once, joined with their place in the ring and their lanes, which are computed once; only the beginnings and
+    lanes that the neighbours need move again.
     Columns: ``key``, n_chars, edited, lanes, edited_lanes, near_edited, near_next.
     """
-    own = df.select(*_identity(df, key, text), whole_text(F.col(text)).alias("_text"))
+    own = df.select(*_identity(df, key, text), whole_text(F.col(text)).alias("_text"), _packed(lanes(F.col(text))).alias("_lanes"))
     placed = own.join(ring(df, key, text), _WHO)
     # Of rows that are one document, one gives its beginning.
     first = F.row_number().over(Window.partitionBy(*_WHO).orderBy(*_WHO))
     gives = placed.withColumn("_nth", first).filter("_nth = 1").select(
         *[F.col(f"_before.{c}").alias(c) for c in _WHO],
         F.left("_text", F.col("_before._half")).alias("_start"),
-        lanes(F.col("_text")).alias("_next"),
+        F.col("_lanes").alias("_next"),
     )
     joined = placed.join(gives, _WHO)
     length = F.length("_text")
     kept = F.left("_text", (length - F.floor(length / 2)).cast("int"))
-    texts = joined.select(F.when(~F.col("_none"), F.col("_id")).alias("_id"), length.cast("bigint").alias("n_chars"), "_text", F.concat(kept, "_start").alias("edited"), "_next")
-    both = texts.select("*", lanes(F.col("_text")).alias("lanes"), lanes(F.col("edited")).alias("edited_lanes"))
+    texts = joined.select(F.when(~F.col("_none"), F.col("_id")).alias("_id"), length.cast("bigint").alias("n_chars"), F.concat(kept, "_start").alias("edited"), _unpacked("_lanes").alias("lanes"), _unpacked("_next").alias("_next"))
+    both = texts.select("*", lanes(F.col("edited")).alias("edited_lanes"))
     return both.select(
         F.col("_id").alias(key),
         "n_chars",
