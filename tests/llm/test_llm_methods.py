@@ -429,6 +429,76 @@ def test_license_scan_equals_brute_force(spark):
         assert name in got[k] and set(got[k]) <= {name, "apache-2.0-statement"}
 
 
+ALL_TEMPLATES = {**licenses.TEMPLATES, **licenses.WHOLE_TEXTS}
+
+
+@pytest.mark.parametrize("places", [1, 2])
+def test_licenses_with_inserted_words_are_found_whole(spark, places):
+    """Five to 200 foreign words at one or two places: coverage is 1 and the span runs from the first to the last word."""
+    draw = random.Random(places)
+    rows, want = [], {}
+    for name, template in ALL_TEMPLATES.items():
+        words = template.split()
+        if len(words) < 25:
+            continue
+        for extra in (5, 8, 9, 12, 20, 60, 200):
+            cuts = sorted(draw.sample(range(6, len(words) - 6, 6), places))
+            parts = [words[a:b] for a, b in zip([0, *cuts], [*cuts, len(words)])]
+            fill = [" ".join(f"x{draw.randrange(10**6)}" for _ in range(extra)) for _ in cuts]
+            body = " ".join(parts[0]) + "".join(f" {f} {' '.join(p)}" for f, p in zip(fill, parts[1:]))
+            rows.append((len(rows), f"lead words {body} tail words"))
+            want[len(rows) - 1] = (name, body)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in licenses.find_licenses(df, ALL_TEMPLATES, keep=("doc_id", "text")).collect():
+        name, body = want[r.doc_id]
+        mine = [m for m in r.licenses if m.license == name]
+        assert [m.coverage for m in mine] == [1.0], (name, mine)
+        assert r.text[mine[0].start : mine[0].end].strip(".") == body.strip("."), name
+
+
+def slow_chain(runs, gap):
+    """Most words of one chain, every order of runs tried."""
+    best = 0
+
+    def grow(total, last, rest):
+        nonlocal best
+        best = max(best, total)
+        for k, (i, j, n) in enumerate(rest):
+            if last is not None:
+                x, y = last[0] + last[2], last[1] + last[2]
+                tail = [(i + s, j + s) for s in range(n) if i + s >= x and j + s >= y]
+                if not tail or tail[0][1] - y > gap:
+                    continue
+                far = max(tail[0][0] - x, tail[0][1] - y) > licenses.BAND
+                if far and min(len(tail), last[2]) < licenses.GRAM:
+                    continue
+                grow(total + len(tail), (i, j, n), rest[:k] + rest[k + 1 :])
+            else:
+                grow(total + n, (i, j, n), rest[:k] + rest[k + 1 :])
+
+    grow(0, None, runs)
+    return best
+
+
+def test_chains_equal_trying_every_order():
+    draw = random.Random(3)
+    for _ in range(300):
+        runs = [(draw.randrange(40), draw.randrange(80), draw.randrange(1, 20)) for _ in range(draw.randrange(1, 6))]
+        got = licenses.chain(runs, 1, 15)
+        assert max(hits for hits, _, _ in got) == slow_chain(runs, 15)
+        ordered = sorted((a, b) for _, a, b in got)
+        assert all(b <= c for (_, b), (c, _) in zip(ordered, ordered[1:]))
+
+
+def test_a_license_repeated_many_times_is_found_each_time(spark):
+    words = licenses.TEMPLATES["mit"].split()
+    split = " ".join(words[:40]) + " footer" * 15 + " " + " ".join(words[40:])
+    df = spark.createDataFrame([(1, " ".join([split] * 300))], "doc_id long, text string")
+    found = licenses.find_licenses(df).first().licenses
+    assert [(m.license, m.coverage) for m in found] == [("mit", 1.0)] * 300
+    assert len({m.end - m.start for m in found}) == 1
+
+
 @needs_tables
 def test_license_statements_in_the_tables(spark):
     got = {r.doc_id: r.n_matches for r in queries.license_scan(spark, FOLDER).collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import vector_queries
 from .bpe import encode_and_check
 from .fingerprints import edited_fingerprints, to_text
-from .licenses import find_licenses
+from .licenses import TEMPLATES, WHOLE_TEXTS, find_licenses
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .secret_scan import BASE_RULES, RULES, find_secrets
@@ -111,7 +111,7 @@ def vector_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = find_licenses(table(spark, folder, "documents"))
+    found = find_licenses(table(spark, folder, "documents"), {**TEMPLATES, **WHOLE_TEXTS})
     spans = F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
     return found.select(
         "doc_id",
