@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..operators import combine, loanwords, scoring
@@ -53,6 +51,23 @@ def walk_sql(words) -> str:
     return "WITH RECURSIVE " + ",\n".join([v.REFS, v.PREDICTIONS, WALK.format(pairs=pairs)]) + "\n"
 
 
+# The walk back from the last cell: a list of the cell reached, then a number per move, of its kind and the cell it stops at.
+# Costs are read from the diagonals; the order of preference is that of the walk there.
+COST = "c[a[1] + a[2] + {dd}][a[1] + {di}]"
+TRACE = f"""costs AS (SELECT id, list(list_transform(p1, lambda x: x >> 42) ORDER BY d) AS c FROM walk GROUP BY id),
+ends AS (SELECT DISTINCT ON (id) id, r, h, n, m FROM walk WHERE d = 0),
+traced AS (SELECT id, r, h, list_reduce(list_concat([[n, m]], list_transform(range(n + m), lambda x: [x])), lambda a, x: CASE
+    WHEN a[1] = 0 AND a[2] = 0 THEN a
+    WHEN a[1] > 0 AND a[2] > 0 AND r[a[1]] = h[a[2]] THEN list_concat([a[1] - 1, a[2] - 1], a[3:], [(a[1] - 1) * 1048576 + a[2] - 1])
+    WHEN a[1] > 0 AND a[2] > 0 AND {COST.format(dd=-1, di=0)} <= {COST.format(dd=0, di=1)} AND {COST.format(dd=-1, di=0)} <= {COST.format(dd=0, di=0)}
+      THEN list_concat([a[1] - 1, a[2] - 1], a[3:], [1099511627776 + (a[1] - 1) * 1048576 + a[2] - 1])
+    WHEN a[2] > 0 AND (a[1] = 0 OR {COST.format(dd=0, di=1)} <= {COST.format(dd=0, di=0)})
+      THEN list_concat([a[1], a[2] - 1], a[3:], [2 * 1099511627776 + a[1] * 1048576 + a[2] - 1])
+    ELSE list_concat([a[1] - 1, a[2]], a[3:], [3 * 1099511627776 + (a[1] - 1) * 1048576 + a[2]]) END)[3:] AS moves FROM ends JOIN costs USING (id)),
+steps AS (SELECT id, r, h, (x >> 40)::INTEGER AS kind, (x >> 20) & 1048575 AS i, x & 1048575 AS j FROM (SELECT id, r, h, unnest(moves) AS x FROM traced)),
+ops AS (SELECT id, i, j, ['OK', 'SUB', 'INS', 'DEL'][kind + 1] AS op, CASE WHEN kind <> 2 THEN r[i + 1] END AS ref, CASE WHEN kind <> 3 THEN h[j + 1] END AS hyp FROM steps)"""
+
+
 ID = "split_part(id, '|', 1) AS checkpoint, split_part(id, '|', 2) AS audio_filepath"
 PERCENT = "avg({c} / n::DOUBLE * 100)"
 MACRO_SQL = """macro AS (SELECT split_part(id, '|', 1) AS checkpoint, count(*) AS n_files, avg(cor / n::DOUBLE * 100) AS avg_cor,
@@ -115,7 +130,10 @@ def t18(spark, d):
     return confusions(worded(spark, d, scoring.scoring_words)).groupBy("op").agg(F.sum("n").alias("n"))
 
 
-@check("t18_confusions")
+@check(
+    "t18_confusions",
+    walk_sql(SCORING).rstrip() + ",\n" + TRACE + " SELECT op, ref, hyp, count(*)::BIGINT AS n FROM ops GROUP BY 1, 2, 3 ORDER BY n DESC, op, ref NULLS FIRST, hyp NULLS FIRST LIMIT 500",
+)
 def t18b(spark, d):
     return confusions(worded(spark, d, scoring.scoring_words), k=500)
 
@@ -255,10 +273,8 @@ def x8(spark, d):
       LEFT JOIN p ON p.word = w.word AND p.checkpoint = c.checkpoint WHERE g IS NOT NULL OR p IS NOT NULL""",
 )
 def d5(spark, d):
-    """Every checkpoint against the truth, one comparison each."""
-    truth, heard = truth_words(spark, d), heard_words(spark, d)
-    each = [loanwords.loan_word_pairs(truth, heard.filter(F.col("checkpoint") == c)).withColumn("checkpoint", F.lit(c)) for c in v.CHECKPOINTS]
-    return reduce(lambda a, b: a.unionByName(b), each)
+    """Every checkpoint against the truth."""
+    return loanwords.loan_word_pairs(truth_words(spark, d), heard_words(spark, d), "checkpoint", v.CHECKPOINTS)
 
 
 @check(
@@ -302,7 +318,17 @@ def p2(spark, d):
     return report.withColumns({c: F.round(c, 6) for c in AVERAGES})
 
 
-@check("x9_word_times")
+TIMED_PAIRS = """SELECT audio_filepath AS id, r, h FROM (SELECT audio_filepath, list_filter(regexp_split_to_array(regexp_replace(text, ' [a-z]{2} ', ' in ', 'g'), '\\s+'), lambda t: t <> '') AS r FROM refs)
+  JOIN (SELECT audio_filepath, list(word ORDER BY start, "end", pos, word) AS h FROM timed_words GROUP BY 1) USING (audio_filepath)"""
+
+
+@check(
+    "x9_word_times",
+    "WITH RECURSIVE " + ",\n".join([v.REFS, v.TIMED_WORDS, WALK.replace("{pairs}", TIMED_PAIRS), TRACE])
+    + """, slots AS (SELECT audio_filepath AS id, start, "end", row_number() OVER (PARTITION BY audio_filepath ORDER BY start, "end", pos, word) - 1 AS j FROM timed_words)
+    SELECT o.id AS audio_filepath, o.i::INTEGER AS pos, o.ref AS word, o.op, s.start, s."end" FROM ops o
+      LEFT JOIN slots s ON s.id = o.id AND s.j = o.j AND o.op <> 'DEL' WHERE o.op <> 'INS'""",
+)
 def x9(spark, d):
     truth = v.refs(spark, d).select("audio_filepath", F.regexp_replace("text", " [a-z]{2} ", " in ").alias("text"))
     return combine.word_times(truth, v.timed_words(spark, d))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,10 @@ def spread(df: DataFrame) -> DataFrame:
     execution cuts the moved rows into parts of the advisory size, as many as the data ask for.
     """
     return df.hint("rebalance")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that several consumers share the work and no lost task repeats it."""
+    path = f"{shared_folder(df.sparkSession)}/voxloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
