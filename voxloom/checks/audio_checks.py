@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import pcm
 from ..functions.paths import base_name
 from ..functions.wav import pcm_bytes, pcm_header
-from ..operators import resample
+from ..operators import combine, mixdown, resample
 from ..sources.keyed_files import write_keyed, write_subtitle_files
 from ..sources.lines import parse_subtitles
 from ..sources.manifest import list_files
 from ..sources.wav_ranges import cut_ranges, probe_ranges, wav_listing
 from . import views as v
 from .registry import check
+from .set_checks import rank_sql, unit_sql
 
 
 def written(spark, files: DataFrame) -> DataFrame:
@@ -131,3 +132,85 @@ def t24(spark, d):
     )
     signed = F.transform(level, lambda n: F.when(n > 32767, n - 65536).otherwise(n).cast("string"))
     return back.select("vec_id", ((F.length("x") - 88) / 4).cast("long").alias("samples"), F.md5(F.array_join(signed, ",")).alias("samples_md5"))
+
+
+# Recordings of a thousand samples a second, so that milliseconds are samples. Values in steps of 16 bits.
+RATE = 1000
+TAPES = """tapes AS (SELECT 'vec' || vec_id || '.wav' AS path, len(embedding)::BIGINT AS n,
+  list_transform(embedding, lambda v: round(greatest(least(v, 1.0), -1.0)::DOUBLE * 32767)::BIGINT) AS x FROM embeddings)"""
+MIXED_SQL = """laid AS (SELECT t.out, t.at, t.path, x, t.at + n AS stop FROM tracks t JOIN tapes USING (path)),
+    total AS (SELECT out, max(stop)::BIGINT AS samples FROM laid GROUP BY 1),
+    spots AS (SELECT out, p.at + i AS spot, p.x[i + 1] AS v FROM laid p, LATERAL (SELECT unnest(range(len(p.x))) AS i)),
+    sums AS (SELECT out, spot, greatest(-32768, least(32767, sum(v)))::BIGINT AS y FROM spots GROUP BY 1, 2),
+    every AS (SELECT out, samples, unnest(range(samples)) AS spot FROM total)
+    SELECT out, max(samples)::BIGINT AS samples, md5(string_agg(coalesce(y, 0)::VARCHAR, ',' ORDER BY spot)) AS samples_md5
+    FROM every LEFT JOIN sums USING (out, spot) GROUP BY out"""
+
+
+def tapes(spark, d) -> DataFrame:
+    """(path, first_out, pcm) of recordings written to files and read again, 50 samples a row."""
+    data = pcm_bytes(F.col("embedding"))
+    head = pcm_header(F.octet_length(data), F.lit(RATE), F.lit(1), F.lit(16))
+    files = v.table(spark, d, "embeddings").select(F.concat(F.lit("vec"), "vec_id", F.lit(".wav")).alias("path"), F.concat(head, data).alias("content"))
+    chunks = resample.convert(probe_ranges(written(spark, files)).kept, RATE, chunk=50)
+    return chunks.withColumn("path", base_name(F.col("path")))
+
+
+def heard(spark, folder: str) -> DataFrame:
+    """Samples of the files in a folder, as signed numbers."""
+    content = F.hex("content")
+    level = F.transform(
+        F.sequence(F.lit(89), F.length(content) - 3, F.lit(4)),
+        lambda at: F.conv(F.concat(F.substr(content, at + 2, F.lit(2)), F.substr(content, at, F.lit(2))), 16, 10).cast("long"),
+    )
+    signed = F.transform(level, lambda n: F.when(n > 32767, n - 65536).otherwise(n).cast("string"))
+    files = spark.read.format("binaryFile").load(folder)
+    name = F.regexp_extract("path", r"([^/]*)\.wav$", 1)
+    return files.select(name.alias("out"), ((F.length("content") - 44) / 2).cast("long").alias("samples"), F.md5(F.array_join(signed, ",")).alias("samples_md5"))
+
+
+@check(
+    "x5_overtalk_samples",
+    "WITH " + TAPES
+    + f""", k AS (SELECT path, n / 1000::DOUBLE AS length, {unit_sql('path', '5', "'half'")} < 0.5 AS half, {rank_sql('path', '5', "'order'")} AS o FROM tapes),
+    r AS (SELECT *, row_number() OVER (PARTITION BY half ORDER BY o, path) AS rk FROM k),
+    m AS (SELECT a.path AS p1, b.path AS p2, a.length - format('{{:.3f}}', {unit_sql('a.path', 'b.path', '5')} * least(0.05::DOUBLE, a.length, b.length))::DOUBLE AS late
+      FROM r a JOIN r b USING (rk) WHERE a.half AND NOT b.half),
+    tracks AS (SELECT p1 || '+' || p2 AS out, p1 AS path, 0::BIGINT AS at FROM m UNION ALL SELECT p1 || '+' || p2, p2, round(late * 1000)::BIGINT FROM m),
+    """
+    + MIXED_SQL,
+)
+def x5_samples(spark, d):
+    """Pairs of recordings, the second starting before the first ends, mixed in frames of 64 samples."""
+    timed = v.table(spark, d, "embeddings").select(
+        F.concat(F.lit("vec"), "vec_id", F.lit(".wav")).alias("audio_filepath"), F.lit(0).alias("pos"), F.lit("w").alias("word"), F.lit(0.0).alias("start"), (F.size("embedding") / RATE).alias("end")
+    )
+    plan = combine.overtalk(timed, seed=5, max_overlap=0.05).kept
+    folder = v.scratch(spark)
+    mixdown.write_mix(mixdown.mix_down(mixdown.overtalk_tracks(plan, RATE), tapes(spark, d), frame=64).kept, folder, RATE)
+    return heard(spark, folder)
+
+
+@check(
+    "x6_backchannel_samples",
+    "WITH " + TAPES
+    + f""", g AS (SELECT path, {unit_sql('path', '0', '0', "'word'")} < 0.5 AS okay, {unit_sql('path', '0', '0', "'gate'")} AS gate FROM tapes),
+    tracks AS (SELECT regexp_replace(path, '[.]wav$', '') AS out, path, 0::BIGINT AS at FROM tapes
+      UNION ALL SELECT regexp_replace(path, '[.]wav$', ''), CASE WHEN okay THEN 'vec0.wav' ELSE 'vec1.wav' END, CASE WHEN okay THEN 12 ELSE 16 END::BIGINT FROM g WHERE gate < 0.7),
+    """
+    + MIXED_SQL,
+)
+def x6_samples(spark, d):
+    """Two words a recording with a pause between them; the inserted word sounds as one of two recordings."""
+    name = F.concat(F.lit("vec"), "vec_id", F.lit(".wav")).alias("audio_filepath")
+    spoken = F.array(
+        F.struct(F.lit(0).alias("pos"), F.lit("a").alias("word"), F.lit(0.0).alias("start"), F.lit(0.01).alias("end")),
+        F.struct(F.lit(1).alias("pos"), F.lit("b").alias("word"), F.lit(0.03).alias("start"), F.lit(0.06).alias("end")),
+    )
+    timed = v.table(spark, d, "embeddings").select(name, F.inline(spoken))
+    worded = combine.insert_backchannels(timed, [("okay", 0.016), ("yes", 0.008)], share=0.7)
+    clips = spark.createDataFrame([("okay", "vec0.wav"), ("yes", "vec1.wav")], "word string, path string")
+    tracks = mixdown.backchannel_tracks(worded, clips, RATE).withColumn("out", F.regexp_replace("out", "[.]wav$", ""))
+    folder = v.scratch(spark)
+    mixdown.write_mix(mixdown.mix_down(tracks, tapes(spark, d), frame=64).kept, folder, RATE)
+    return heard(spark, folder)

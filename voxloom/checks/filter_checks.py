@@ -8,6 +8,7 @@ from ..functions import has_extension, name_parts_ne, route_paths
 from ..functions.text import SPECIAL_CHARACTERS, char_class
 from ..operators import counting, dedupe, durations, existence, fallback, filters
 from ..plans import manifest_reason
+from ..streaming import first_arrivals, start_batches
 from . import views as v
 from .registry import check
 
@@ -209,7 +210,20 @@ def e11(spark, d):
 @check("f1_first_by_text", "SELECT doc_id, md5(text) AS text_md5 FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def f1(spark, d):
     rows = v.table(spark, d, "documents").select("doc_id", "text")
-    return dedupe.first_by(rows, "text", "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
+    return dedupe.first_by_text(rows, "text", "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@check("f1_first_arrivals", "SELECT doc_id, md5(text) AS text_md5 FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id % 3, doc_id) = 1")
+def f1_stream(spark, d):
+    """Three parts that arrive one after another, each taken in by a run of its own that goes on from the checkpoint."""
+    folder = v.scratch(spark)
+    rows = v.table(spark, d, "documents").select("doc_id", "text")
+    for part in range(3):
+        rows.filter(F.pmod("doc_id", F.lit(3)) == part).write.mode("append").parquet(f"{folder}/inbox")
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{folder}/inbox")
+        start_batches(first_arrivals(arriving, "text", "doc_id"), f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    kept = spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    return kept.select("doc_id", F.md5("text").alias("text_md5"))
 
 
 @check(

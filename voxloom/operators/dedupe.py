@@ -22,6 +22,11 @@ def first_by(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def first_by_text(df: DataFrame, text: str = "text", order: str | Sequence[str | Column] = "row_id") -> DataFrame:
+    """The first row of each text. Rows are dealt and sorted by a digest, not by their texts; null texts are one text."""
+    return first_by(df.withColumn("_digest", row_digest(text)), "_digest", order).drop("_digest")
+
+
 def row_digest(*cols: str) -> Column:
     """256-bit digest of whole rows, so that equal rows meet without moving their text."""
     parts = [F.coalesce(F.concat(F.length(c), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in cols]
