@@ -171,6 +171,16 @@ def test_substring_dedup(docs, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_many_rows_without_a_key_stay_out_of_the_joins(spark):
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(None, f"{passage} n{k}") for k in range(500)] + [(1, passage), (2, f"lead {passage}")]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep=["doc_id", "text"])
+    for r in got.collect():
+        assert (r.n_words, r.n_removed) == (31 if r.doc_id != 1 else 30, 30 if r.doc_id == 2 else 0)
+        assert r.kept_text == ("lead" if r.doc_id == 2 else r.text)
+    assert got.filter("doc_id IS NULL").count() == 500
+
+
 def test_pipeline_stages(spark, docs, none, tmp_path):
     spark.createDataFrame([(1, 0, 1), (7, 1, 0), (12, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for table in (docs, none):

@@ -376,6 +376,25 @@ def test_blocks_and_batches_merge(spark):
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, one.collect()))
 
 
+@needs_tables
+def test_the_mix_reaches_the_shards_by_the_tree(spark):
+    """Every copy has a shard; a shard holds only blocks of its quota, and quotas of a source add up to its blocks."""
+    mixed = mixing.mix(spark.read.parquet(f"{FOLDER}/documents.parquet"), block_words=256, depth=3).collect()
+    copies = [r for r in mixed if r.copy is not None]
+    assert copies and all(r.shard is not None and 0 <= r.shard < 8 for r in copies)
+    home = {}
+    for r in copies:
+        assert home.setdefault((r.source_size, r.target, r.block), r.shard) == r.shard
+    blocks = [sum(1 for s in home.values() if s == k) for k in range(8)]
+    # Shards have equally many blocks; some blocks hold no beginning of a document and do not show.
+    assert max(blocks) - min(blocks) <= len(home) // 8
+    quotas = spark.createDataFrame([(1, 37), (2, 5), (3, 400)], "rank int, quota long")
+    leaves = mixing.splitting_tree(quotas, 3).collect()
+    assert {k: sum(r.blocks for r in leaves if r.rank == k) for k in (1, 2, 3)} == {1: 37, 2: 5, 3: 400}
+    sizes = [sum(r.blocks for r in leaves if r.shard == k) for k in range(8)]
+    assert max(sizes) - min(sizes) <= 1
+
+
 # --- licenses
 
 

@@ -54,7 +54,8 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 def mixture(spark: SparkSession, folder: str) -> DataFrame:
     rows = mix(table(spark, folder, "documents"))
-    taken = F.coalesce(F.sum(F.when(F.col("copy").isNotNull(), F.col("size"))), F.lit(0)).cast("bigint")
+    # What the mix takes is what its blocks bring to the shards: a copy without a shard would not count.
+    taken = F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("size"))), F.lit(0)).cast("bigint")
     return rows.groupBy("row", "doc_id", "size", "source_size", "target").agg(taken.alias("taken")).drop("row")
 
 

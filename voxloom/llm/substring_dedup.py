@@ -41,7 +41,7 @@ _ROUTED = "bucket int, settled boolean, data binary"
 def _bits(df: DataFrame) -> int:
     """Length of the hash prefixes that part about the input's size into groups."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(8, min(21, (size // (_GROUP // 8)).bit_length()))
+    return max(8, min(30, (size // (_GROUP // 8)).bit_length()))
 
 
 _HEAD = "<qBBQq"
@@ -344,7 +344,10 @@ def remove_repeats(
                 [*keep, *made],
             )
 
-    first = _gather(own.select("doc", "text").mapInArrow(sample, _ROUTED), bits, False)
-    second = _gather(_per_document(own, first).select("doc", "text", "nodes").mapInArrow(windows, _ROUTED), bits, True)
+    # Rows without a key would all meet in one task of the joins, where nothing waits for them.
+    named, unnamed = own.filter("doc IS NOT NULL"), own.filter("doc IS NULL").withColumn("nodes", F.lit(None).cast("binary"))
+    first = _gather(named.select("doc", "text").mapInArrow(sample, _ROUTED), bits, False)
+    second = _gather(_per_document(named, first).select("doc", "text", "nodes").mapInArrow(windows, _ROUTED), bits, True)
     columns = [(F.col("doc").cast(df.schema[c].dataType) if c == key else F.col(f"_k{i}")).alias(f"_k{i}") for i, c in enumerate(keep)]
-    return _per_document(own, second).select("doc", "text", "nodes", *columns).mapInArrow(cut, schema)
+    judged, untouched = (rows.select("doc", "text", "nodes", *columns).mapInArrow(cut, schema) for rows in (_per_document(named, second), unnamed))
+    return judged.unionByName(untouched)
