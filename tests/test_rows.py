@@ -250,3 +250,10 @@ def test_keyword_tables_of_several_parts(spark):
     want = [(1, ""), (1, "bc"), (1, "d"), (2, ""), (2, "bc"), (2, "x")]
     for per in (1, 100):
         assert rows(keywords.keyword_table_matches(df, table, per=per), "row_id", "keyword") == want
+
+
+def test_a_function_of_the_user_judges_batches(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, None), (4, "")], "row_id int, text string")
+    both = filters.split_by(df, filters.user_reason(lambda t: t.str.len().map({2: True, 3: False}), "text", reason="mine"))
+    assert [r.row_id for r in both.kept.collect()] == [1]
+    assert sorted((r.row_id, r.reason) for r in both.rejects.collect()) == [(2, "mine"), (3, "mine"), (4, "mine")]

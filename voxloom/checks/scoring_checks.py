@@ -332,3 +332,17 @@ TIMED_PAIRS = """SELECT audio_filepath AS id, r, h FROM (SELECT audio_filepath,
 def x9(spark, d):
     truth = v.refs(spark, d).select("audio_filepath", F.regexp_replace("text", " [a-z]{2} ", " in ").alias("text"))
     return combine.word_times(truth, v.timed_words(spark, d))
+
+
+@check(
+    "b2_report_lines",
+    walk_sql(SCORING).rstrip() + ",\n" + MACRO_SQL + ",\n" + LOAN + ",\nls AS (" + LOAN_SCORES + """)
+    SELECT checkpoint, checkpoint || '  |  AVERAGE COR: ' || format('{:.2f}', avg_cor) || '  |  AVERAGE WER: ' || format('{:.2f}', avg_wer)
+      || '  |  AVERAGE INS: ' || format('{:.2f}', avg_ins) || '  |  AVERAGE SUB: ' || format('{:.2f}', avg_sub) || '  |  AVERAGE DEL: ' || format('{:.2f}', avg_del)
+      || '  |  LOAN WORDS TP: ' || tp || '  |  LOAN WORDS FP: ' || fp || '  |  LOAN WORDS FN: ' || fn AS line FROM macro JOIN ls USING (checkpoint)""",
+)
+def b2_report(spark, d):
+    """The lines of the whole report, loan words included."""
+    path = v.scratch(spark)
+    write_averages(checkpoint_report(v.refs(spark, d), v.predictions(spark, d)), path)
+    return spark.read.schema("line string, checkpoint string").text(path).select("checkpoint", "line")

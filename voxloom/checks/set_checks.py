@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import encode_segment
 from ..functions.wav import pcm_bytes, pcm_header, pcm_info
 from ..operators import augment, batching, combine, ordering, sampling, segments
-from ..operators.filters import reason_if, split_by
+from ..operators.filters import reason_if, split_by, user_reason
 from ..plans import prepare_training
 from . import views as v
 from .registry import check
@@ -274,6 +274,17 @@ def u2(spark, d):
     return split_by(v.manifest(spark, d), reason_if(~wanted, "user")).kept.select("row_id")
 
 
+@check("u2_user_function", M + "SELECT row_id, CASE WHEN length(text) % 3 <> 1 OR duration <= 5 THEN 'odd' ELSE 'kept' END AS outcome FROM manifest")
+def u2_function(spark, d):
+    """A vectorised function of the user, on batches of two columns."""
+
+    def accept(text, duration):
+        return (text.str.len() % 3 == 1) & (duration > 5)
+
+    both = split_by(v.manifest(spark, d), user_reason(accept, "text", "duration", reason="odd"))
+    return both.kept.select("row_id", F.lit("kept").alias("outcome")).unionByName(both.rejects.select("row_id", F.col("reason").alias("outcome")))
+
+
 @check(
     "t23_cut_segments",
     """WITH c AS (SELECT vec_id, flatten(list_transform(range(8), lambda i: embedding)) AS x FROM embeddings),

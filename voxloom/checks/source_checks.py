@@ -225,6 +225,21 @@ def a12(spark, d):
     return preflight(rows.select("lang").distinct(), rows, v.listing(spark, d))
 
 
+@check(
+    "a12_preflight_ready",
+    v.with_views(v.MANIFEST, v.LISTING)
+    + """, there AS (SELECT * FROM manifest WHERE audio_filepath IN (SELECT path FROM listing)),
+      n AS (SELECT count(DISTINCT lang) AS n FROM there)
+    SELECT n::BIGINT AS n_files, 0::BIGINT AS n_missing, n >= least AS ready FROM n, (VALUES (2), (1000)) t(least)""",
+)
+def a12_ready(spark, d):
+    """Audio is there for every row; the files are enough for one training run and too few for another."""
+    listing = v.listing(spark, d)
+    rows = v.manifest(spark, d).join(listing.withColumnRenamed("path", "audio_filepath"), "audio_filepath", "left_semi")
+    files = rows.select("lang").distinct()
+    return preflight(files, rows, listing).unionByName(preflight(files, rows, listing, least=1000))
+
+
 @check(
     "b1_write_manifest",
     v.with_views(v.MANIFEST) + "SELECT audio_filepath, duration, md5(text) AS text_md5, (SELECT count(*) FROM manifest)::BIGINT AS n_written FROM manifest",

@@ -6,9 +6,10 @@ so they also run on streams, and several can be chained with ``first_reason`` to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,17 @@ def reason_if(condition: Column, reason: str) -> Column:
     return F.when(F.coalesce(condition, F.lit(True)), F.lit(reason))
 
 
+def user_reason(accept: Callable[..., pd.Series], *columns: str, reason: str = "user") -> Column:
+    """``reason`` where a function of the user's own does not accept the row.
+
+    ``accept`` gets the columns as pandas Series, an Arrow batch at a time, and returns a Series of booleans; a missing one
+    refuses the row. Its answer must depend on the row alone, as batches are cut anywhere.
+    """
+    # Wrapped, so that type hints of ``accept`` do not decide what kind of function Spark takes it for.
+    judge = F.pandas_udf(lambda *series: accept(*series), "boolean")
+    return reason_if(~judge(*columns), reason)
+
+
 def first_reason(*reasons: Column) -> Column:
     return F.coalesce(*reasons)
 
