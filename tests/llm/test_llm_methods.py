@@ -18,6 +18,8 @@ from voxloom.llm.components import connected_components
 
 FOLDER = "/root/testdata/sf0.001"
 SF1 = "/root/testdata/sf0.01"
+SF2 = "/root/testdata/sf0.1"
+CHECK = "/root/testdata/check_s"
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
 
@@ -246,6 +248,74 @@ def test_held_out_toxicity(spark):
     assert queries.toxicity(spark, SF1).count() == 1000
 
 
+def slow_subwords(text):
+    """Words with a blank in front and behind cut into n-grams one by one, then the words."""
+    words = re.split(r"[\x20\t-\r]+", text.lower())
+    words = [w for w in words if w]
+    grams = [f" {w} "[a : a + n] for w in words for n in toxicity.GRAMS for a in range(len(w) + 3 - n)]
+    return grams, words
+
+
+def bucket_of(piece, whole):
+    """The bucket of one n-gram or word, from a text that holds nothing else."""
+    chars = np.array([ord(c) for c in (f" {piece} " if whole else piece)], np.uint32)
+    parts = list(toxicity.subwords(chars, np.zeros(len(chars), np.int64)))
+    if whole:
+        return int(parts[-1][1][0])
+    # Parts come by length; one n-gram of full length is the only one of its length.
+    lengths = [n for n in toxicity.GRAMS if n <= len(piece)]
+    return int(parts[len(lengths) - 1][1][0])
+
+
+def test_scores_equal_a_slow_softmax(spark):
+    draw = random.Random(11)
+    letters = "abcdeXYÄß漢🙂é'"
+    texts = ["", " ", None, "a", "ab cd", "\t\nA  b\r"] + [
+        " ".join("".join(draw.choices(letters, k=draw.randrange(1, 12))) for _ in range(draw.randrange(1, 40))) for _ in range(194)
+    ]
+    rng = np.random.default_rng(2)
+    # Two classes of embeddings of width 3 and a layer; the model holds the difference of the class scores.
+    table, layer = rng.normal(size=(toxicity.BUCKETS, 3)), rng.normal(size=(3, 2)) * 20
+    model = toxicity.Model((table @ (layer[:, 1] - layer[:, 0])).astype(np.float32), 0.3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    for k, text in enumerate(texts):
+        grams, words = slow_subwords(text or "")
+        buckets = [bucket_of(g, False) for g in grams] + [bucket_of(w, True) for w in words]
+        mean = sum((table[b] for b in buckets), np.zeros(3)) / (len(buckets) + toxicity.NEUTRAL)
+        out = mean @ layer + np.array([0, 0.3])
+        p = np.exp(out - out.max())
+        assert abs(got[k] - p[1] / p.sum()) < 1e-5, text
+
+
+def test_training_lowers_the_loss_of_its_softmax():
+    """Bags of two kinds that differ in one bucket of ten: the folded model tells all of them apart, whatever their order."""
+    rng = np.random.default_rng(6)
+    labels = [k % 2 for k in range(400)]
+    bags = []
+    for y in labels:
+        own = np.unique(np.append(rng.integers(0, 5000, 9), 6000 + y)).astype(np.int32)
+        bags.append((own, np.full(len(own), 1 / (len(own) + toxicity.NEUTRAL), np.float32)))
+    model = toxicity.train(toxicity.flat_bags(labels, bags), {0: 200, 1: 200})
+    logits = np.array([model.weights[b] @ x for b, x in bags]) + model.bias
+    assert ((logits > 0) == np.array(labels, bool)).all()
+    assert model.weights[6001] > 0 > model.weights[6000]
+
+
+@pytest.mark.parametrize("folder,recall", [(SF2, 0.75), (CHECK, 0.85)])
+def test_held_out_recall(spark, folder, recall):
+    """Floors below what was measured, 0.81 and 0.88: fewer labelled toxic documents to learn from give less recall."""
+    if not os.path.exists(f"{folder}/labels.parquet"):
+        pytest.skip("test tables not present")
+    got = queries.toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").filter("held_out").collect()
+    bad, good = [r for r in got if r.toxic == 1], [r for r in got if r.toxic == 0]
+    caught, wrong = np.mean([r.predicted for r in bad]), np.mean([r.predicted for r in good])
+    scores = np.sort([r.score for r in good])
+    order = np.mean(np.searchsorted(scores, [r.score for r in bad])) / len(scores)
+    print(f"{folder}: recall {caught:.3f} of {len(bad)}, false {wrong:.4f} of {len(good)}, order {order:.4f}")
+    assert caught >= recall and wrong <= 0.02 and order >= 0.95
+
+
 def test_misspelt_words_share_subwords(spark):
     draw = random.Random(4)
     calm = ["river", "stone", "cloud", "meadow", "window", "garden", "letter", "bridge"]
