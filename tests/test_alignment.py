@@ -1,10 +1,13 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from voxloom.functions import edits
 from voxloom.operators import alignment
 from voxloom.operators.alignment import align, confusions, distance, trace_ops
 from voxloom.operators.scoring import best_checkpoint, macro_scores, micro_cer, pair, pair_cer, pending_work, score_words
@@ -105,3 +108,47 @@ def test_macro_rounds_each_file_first(spark):
     df = frame(spark, [("a b c", "a b x"), ("a", "a")]).withColumn("checkpoint", F.lit("c"))
     got = macro_scores(score_words(df)).first()
     assert got.avg_wer == (0.333 * 100 + 0) / 2 and got.n_files == 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from(["a", "b", "c", None]), max_size=150), st.lists(st.sampled_from(["a", "b", "d", None]), max_size=150)), max_size=30), st.sampled_from([1, 2, 16]), st.sampled_from([1 << 12, 1 << 25]))
+def test_pairs_together_equal_pairs_alone(pairs, few, room):
+    kept = edits.FEW, edits.ROOM
+    edits.FEW, edits.ROOM = few, room
+    try:
+        ref, hyp = (pa.array([p[k] for p in pairs] + [None, []], pa.list_(pa.string())) for k in (0, 1))
+        both = [(r or [], h or []) for r, h in zip(ref.to_pylist(), hyp.to_pylist())]
+        assert alignment.ops_batch(ref, hyp).to_pylist() == [trace_ops(r, h) for r, h in both]
+        counts = [tuple([o["op"] for o in trace_ops(r, h)].count(op) for op in ("OK", "SUB", "INS", "DEL")) for r, h in both]
+        assert [tuple(c.values()) for c in alignment.count_batch(ref, hyp).to_pylist()] == counts
+        texts = [tuple("".join(w or "漢" for w in side) for side in p) for p in both]
+        found = alignment._distances(*edits.text_sequences(*(pa.array([t[k] for t in texts], pa.string()) for k in (0, 1))))
+        assert found.tolist() == [distance(r, h) for r, h in texts]
+    finally:
+        edits.FEW, edits.ROOM = kept
+
+
+def test_many_pairs_do_not_step_one_by_one(monkeypatch):
+    """Character distances and moves of pairs of like size share their steps; confusions leave a group of pairs counted."""
+    words = [f"{k % 7} x{k % 3} y {'z ' * (k % 5)}w" for k in range(400)]
+    heard = [w.replace("x1", "u").replace("z z", "z") for w in words]
+    alone = []
+    monkeypatch.setattr(alignment, "distance", lambda r, h: alone.append(1) or 0)
+    monkeypatch.setattr(alignment, "walk", lambda r, h: alone.append(1) or iter(()))
+    alignment._distances(*edits.text_sequences(pa.array(words), pa.array(heard)))
+    lists = [pa.array([w.split() for w in side], pa.list_(pa.string())) for side in (words, heard)]
+    alignment.ops_batch(*lists)
+    found = list(alignment._confused([pa.RecordBatch.from_arrays(lists, ["ref", "hyp"])]))
+    assert not alone
+    assert sum(b.num_rows for b in found) < 100 < 400 < sum(sum(b.column(3).to_pylist()) for b in found)
+
+
+def test_batch_of_moves_needs_little_memory():
+    """Moves are arrays, not objects; what Python allocates for a batch stays near what it returns."""
+    lists = [pa.array([[f"w{(k * j + s) % 50}" for j in range(80)] for k in range(2000)], pa.list_(pa.string())) for s in (0, 1)]
+    alignment.ops_batch(*lists)
+    tracemalloc.start()
+    alignment.ops_batch(*lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2000 * 80 * 2 * 8 * 12 + 3 * edits.ROOM

@@ -3,25 +3,28 @@
 ``align`` gives the counts of an optimal word alignment. Costs are one per substitution, insertion and
 deletion; equal words always pair up, and among equally cheap moves a substitution is taken before an
 insertion and an insertion before a deletion, as seen from the end of both texts. Spark spreads the
-pairs over tasks; inside a task the edit table of a pair is held as bits, one integer per column, and only
-a block of columns at a time, so no text is too long.
+pairs over tasks; inside a task the edit tables of pairs of like size are held as bits and stepped through together. A pair
+too long for that has one integer per column, and only a block of columns at a time, so no text is too long.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import edits
 from ..schemas import COUNTS, OP
 
+_OPS = ["OK", "SUB", "INS", "DEL"]
+
 # Table columns kept at a time while walking back; shorter hypotheses are kept whole.
 _BLOCK = 256
 
@@ -107,23 +110,62 @@ def walk(ref: Sequence[str], hyp: Sequence[str]) -> Iterator[tuple[str, int, int
         yield "DEL", i, 0
 
 
-def _word_lists(array: pa.Array) -> list[list[str]]:
-    """Word lists of an Arrow column; null lists count as empty."""
-    flat = array.flatten().to_numpy(zero_copy_only=False).tolist()
-    sizes = pc.fill_null(pc.list_value_length(array), 0).to_pylist()
-    ends = list(accumulate(sizes))
-    return [flat[end - size : end] for size, end in zip(sizes, ends)]
+def _alone(ref: edits.Sequences, hyp: edits.Sequences, row: int) -> tuple[list[int], list[int]]:
+    """One pair of a batch as lists of numbers."""
+    return tuple(side.codes[side.start[row] : side.start[row] + side.size[row]].tolist() for side in (ref, hyp))
+
+
+def _moves(ref: edits.Sequences, hyp: edits.Sequences) -> Iterator[tuple[np.ndarray, ...]]:
+    return edits.walks(ref, hyp, lambda row: [(_OPS.index(op), i, j) for op, i, j in walk(*_alone(ref, hyp, row))])
+
+
+def _distances(ref: edits.Sequences, hyp: edits.Sequences) -> np.ndarray:
+    return edits.distances(ref, hyp, lambda row: distance(*_alone(ref, hyp, row)))
 
 
 def count_batch(ref: pa.Array, hyp: pa.Array) -> pa.StructArray:
     """Alignment counts for one Arrow batch of word lists."""
-    counts = ([], [], [], [])
-    for r, h in zip(_word_lists(ref), _word_lists(hyp)):
-        moves = [move[0] for move in walk(r, h)]
-        cor, sub = moves.count("OK"), moves.count("SUB")
-        for column, value in zip(counts, (cor, sub, len(h) - cor - sub, len(r) - cor - sub)):
-            column.append(value)
-    return pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in counts], names=COUNTS.fieldNames())
+    (ref, hyp), _ = edits.word_sequences(ref, hyp)
+    counts = np.zeros((len(ref.size), len(_OPS)), np.int64)
+    for row, op, _, _ in _moves(ref, hyp):
+        low = int(row.min(initial=0))
+        found = np.bincount((row - low) * len(_OPS) + op)
+        found.resize(-(-len(found) // len(_OPS)) * len(_OPS))
+        counts[low : low + len(found) // len(_OPS)] += found.reshape(-1, len(_OPS))
+    return pa.StructArray.from_arrays([pa.array(counts[:, k], pa.int32()) for k in range(len(_OPS))], names=COUNTS.fieldNames())
+
+
+def ops_batch(ref: pa.Array, hyp: pa.Array) -> pa.ListArray:
+    """The alignments of one Arrow batch of word lists, built column by column."""
+    (ref, hyp), words = edits.word_sequences(ref, hyp)
+    parts = list(_moves(ref, hyp)) or [(np.zeros(0, np.int64),) * 4]
+    row = np.concatenate([p[0] for p in parts])
+    order = np.argsort(row, kind="stable")
+    row, op, i, j = row[order], *(np.concatenate([p[k] for p in parts])[order].astype(np.int32) for k in (1, 2, 3))
+    sides = []
+    for side, place, gone in ((ref, i, op == edits.INS), (hyp, j, op == edits.DEL)):
+        at = (side.start[row] + place)[~gone]
+        code = np.zeros(len(row), np.int32)
+        code[~gone] = side.codes[at]
+        sides += [words.take(pa.array(code, mask=gone)).cast(pa.string()), pa.array(place, mask=gone)]
+    names = pa.array(_OPS, pa.string()).take(pa.array(op))
+    moves = pa.StructArray.from_arrays([names, sides[0], sides[2], sides[1], sides[3]], ["op", "ref", "hyp", "ref_pos", "hyp_pos"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(ref.size) + 1)).astype(np.int32)), moves)
+
+
+def _confused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(op, ref, hyp, n) of each batch of word lists (ref, hyp), each combination once a group of pairs."""
+    for batch in batches:
+        (ref, hyp), words = edits.word_sequences(batch.column(0), batch.column(1))
+        many = len(words) + 1
+        for row, op, i, j in _moves(ref, hyp):
+            # Numbers of words from 1; 0 where a side has none.
+            left, right = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+            for code, side, place, there in ((left, ref, i, op != edits.INS), (right, hyp, j, op != edits.DEL)):
+                code[there] = side.codes[(side.start[row] + place)[there]] + 1
+            keys, n = np.unique((op * many + left) * many + right, return_counts=True)
+            sides = [words.take(pa.array(np.maximum(c - 1, 0), mask=c == 0)).cast(pa.string()) for c in (keys // many % many, keys % many)]
+            yield pa.RecordBatch.from_arrays([pa.array(_OPS, pa.string()).take(pa.array(keys // many // many)), *sides, pa.array(n, pa.int64())], ["op", "ref", "hyp", "n"])
 
 
 def trace_ops(ref: Sequence[str], hyp: Sequence[str]) -> list[dict]:
@@ -144,18 +186,16 @@ def _udfs():
 
     @F.arrow_udf(T.ArrayType(OP))
     def ops(ref: pa.Array, hyp: pa.Array) -> pa.Array:
-        text, place = pa.string(), pa.int32()
-        kind = pa.struct([("op", text), ("ref", text), ("hyp", text), ("ref_pos", place), ("hyp_pos", place)])
-        return pa.array([trace_ops(a, b) for a, b in zip(_word_lists(ref), _word_lists(hyp))], pa.list_(kind))
+        return ops_batch(ref, hyp)
 
     @F.arrow_udf("int")
     def word_edits(ref: pa.Array, hyp: pa.Array) -> pa.Array:
-        return pa.array(map(distance, _word_lists(ref), _word_lists(hyp)), pa.int32())
+        return pa.array(_distances(*edits.word_sequences(ref, hyp)[0]), pa.int32())
 
     @F.arrow_udf("int")
     def char_edits(ref: pa.Array, hyp: pa.Array) -> pa.Array:
-        pairs = zip(*(side.to_numpy(zero_copy_only=False).tolist() for side in (ref, hyp)))
-        return pa.array((None if a is None or b is None else distance(a, b) for a, b in pairs), pa.int32())
+        missing = pc.or_(ref.is_null(), hyp.is_null()).to_numpy(zero_copy_only=False)
+        return pa.array(_distances(*edits.text_sequences(ref, hyp)), pa.int32(), mask=missing)
 
     # Called nondeterministic so that a filter on the result is not moved, with a second call, below the
     # repartitioning that spreads the work.
@@ -204,7 +244,7 @@ def cer(ref: Column, hyp: Column) -> Column:
 
 def confusions(df: DataFrame, k: int | None = None, ref: str = "ref_words", hyp: str = "hyp_words") -> DataFrame:
     """How often each (op, reference word, hypothesis word) occurs; the ``k`` most frequent if asked."""
-    ops = df.select(align_ops(F.col(ref), F.col(hyp)).alias("ops"))
-    ops = ops.select(F.explode("ops").alias("o")).select("o.op", "o.ref", "o.hyp")
-    counted = ops.groupBy("op", "ref", "hyp").agg(F.count("*").alias("n"))
+    # Tasks add up what they see of a group of pairs before a row of it leaves Python.
+    found = df.select(ref, hyp).mapInArrow(_confused, "op string, ref string, hyp string, n long")
+    counted = found.groupBy("op", "ref", "hyp").agg(F.sum("n").alias("n"))
     return counted if k is None else counted.orderBy(F.desc("n"), "op", "ref", "hyp").limit(k)

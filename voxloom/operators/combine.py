@@ -137,13 +137,11 @@ def word_times(truth: DataFrame, timed: DataFrame, col: str = "text") -> DataFra
     )
     met = met.withColumn("words", times).withColumn("hyp_words", F.transform("words", lambda w: w["word"]))
     ops = spread(met).select("audio_filepath", "words", align_ops(F.col("ref_words"), F.col("hyp_words")).alias("ops"))
-    ops = ops.select("audio_filepath", "words", F.explode("ops").alias("o"))
-    slot = F.get(F.col("words"), F.col("o.hyp_pos"))
-    return ops.filter("o.ref IS NOT NULL").select(
-        "audio_filepath",
-        F.col("o.ref_pos").alias("pos"),
-        F.col("o.ref").alias("word"),
-        F.col("o.op").alias("op"),
-        slot["start"].alias("start"),
-        slot["end"].alias("end"),
-    )
+
+    def timed_word(o):
+        slot = F.get(F.col("words"), o["hyp_pos"])
+        return F.struct(o["ref_pos"].alias("pos"), o["ref"].alias("word"), o["op"].alias("op"), slot["start"].alias("start"), slot["end"].alias("end"))
+
+    # Times are looked up before the moves become rows, so that no row carries the words of its file.
+    spoken = F.filter("ops", lambda o: o["ref"].isNotNull())
+    return ops.select("audio_filepath", F.transform(spoken, timed_word).alias("_timed")).select("audio_filepath", F.inline("_timed"))
