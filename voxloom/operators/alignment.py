@@ -27,6 +27,8 @@ _OPS = ["OK", "SUB", "INS", "DEL"]
 
 # Table columns kept at a time while walking back; shorter hypotheses are kept whole.
 _BLOCK = 256
+# Words of both sides that are aligned at a time.
+_WORDS = 1 << 18
 
 
 def _next_column(match: int, up: int, down: int, full: int) -> tuple[int, int, int, int]:
@@ -123,6 +125,14 @@ def _distances(ref: edits.Sequences, hyp: edits.Sequences) -> np.ndarray:
     return edits.distances(ref, hyp, lambda row: distance(*_alone(ref, hyp, row)))
 
 
+def _stretches(ref: pa.Array, hyp: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Parts of a batch of word lists with about ``_WORDS`` words, so that what is held beside a batch does not grow with it."""
+    words = sum(pc.sum(pc.list_value_length(side)).as_py() or 0 for side in (ref, hyp))
+    rows = max(1, len(ref) * _WORDS // max(words, _WORDS))
+    for low in range(0, len(ref), rows):
+        yield ref.slice(low, rows), hyp.slice(low, rows)
+
+
 def count_batch(ref: pa.Array, hyp: pa.Array) -> pa.StructArray:
     """Alignment counts for one Arrow batch of word lists."""
     (ref, hyp), _ = edits.word_sequences(ref, hyp)
@@ -137,6 +147,11 @@ def count_batch(ref: pa.Array, hyp: pa.Array) -> pa.StructArray:
 
 def ops_batch(ref: pa.Array, hyp: pa.Array) -> pa.ListArray:
     """The alignments of one Arrow batch of word lists, built column by column."""
+    parts = [_ops_of(*part) for part in _stretches(ref, hyp)] or [_ops_of(ref, hyp)]
+    return pa.concat_arrays(parts) if len(parts) > 1 else parts[0]
+
+
+def _ops_of(ref: pa.Array, hyp: pa.Array) -> pa.ListArray:
     (ref, hyp), words = edits.word_sequences(ref, hyp)
     parts = list(_moves(ref, hyp)) or [(np.zeros(0, np.int64),) * 4]
     row = np.concatenate([p[0] for p in parts])
@@ -155,8 +170,8 @@ def ops_batch(ref: pa.Array, hyp: pa.Array) -> pa.ListArray:
 
 def _confused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(op, ref, hyp, n) of each batch of word lists (ref, hyp), each combination once a group of pairs."""
-    for batch in batches:
-        (ref, hyp), words = edits.word_sequences(batch.column(0), batch.column(1))
+    for left, right in (part for batch in batches for part in _stretches(batch.column(0), batch.column(1))):
+        (ref, hyp), words = edits.word_sequences(left, right)
         many = len(words) + 1
         for row, op, i, j in _moves(ref, hyp):
             # Numbers of words from 1; 0 where a side has none.
