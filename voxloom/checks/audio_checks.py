@@ -11,6 +11,7 @@ from ..functions import pcm
 from ..functions.paths import base_name
 from ..functions.wav import pcm_bytes, pcm_header
 from ..operators import combine, mixdown, resample
+from ..session import spread
 from ..sources.keyed_files import write_keyed, write_subtitle_files
 from ..sources.lines import parse_subtitles
 from ..sources.manifest import list_files
@@ -124,14 +125,19 @@ def t24(spark, d):
     """Files of all rates at 16 kHz, in chunks of 50 samples, written as files and read again."""
     folder = v.scratch(spark)
     resample.write_converted(probe_ranges(written(spark, v.wav_files(spark, d))).kept, folder, chunk=50)
-    back = spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", r"vec([0-9]+)\.wav$", 1).cast("long").alias("vec_id"), F.hex("content").alias("x"))
-    # Little-endian pairs of bytes as signed numbers.
-    level = F.transform(
-        F.sequence(F.lit(89), F.length("x") - 3, F.lit(4)),
-        lambda at: F.conv(F.concat(F.substr("x", at + 2, F.lit(2)), F.substr("x", at, F.lit(2))), 16, 10).cast("long"),
-    )
-    signed = F.transform(level, lambda n: F.when(n > 32767, n - 65536).otherwise(n).cast("string"))
-    return back.select("vec_id", ((F.length("x") - 88) / 4).cast("long").alias("samples"), F.md5(F.array_join(signed, ",")).alias("samples_md5"))
+    back = spread(spark.read.format("binaryFile").load(folder).select("path", "content"))
+    name = F.regexp_extract("path", r"vec([0-9]+)\.wav$", 1).cast("long").alias("vec_id")
+    return back.select(name, ((F.length("content") - 44) / 2).cast("long").alias("samples"), F.md5(_levels(F.col("content"))).alias("samples_md5"))
+
+
+def _levels(content):
+    """The 16-bit samples behind a header of 44 bytes as numbers with commas between."""
+
+    @F.arrow_udf("string")
+    def listed(files: pa.Array) -> pa.Array:
+        return pa.array([",".join(map(str, np.frombuffer(f.as_buffer(), "<i2", offset=44).tolist())) if f.is_valid else None for f in files], pa.string())
+
+    return listed(content)
 
 
 # Recordings of a thousand samples a second, so that milliseconds are samples. Values in steps of 16 bits.
@@ -158,15 +164,9 @@ def tapes(spark, d) -> DataFrame:
 
 def heard(spark, folder: str) -> DataFrame:
     """Samples of the files in a folder, as signed numbers."""
-    content = F.hex("content")
-    level = F.transform(
-        F.sequence(F.lit(89), F.length(content) - 3, F.lit(4)),
-        lambda at: F.conv(F.concat(F.substr(content, at + 2, F.lit(2)), F.substr(content, at, F.lit(2))), 16, 10).cast("long"),
-    )
-    signed = F.transform(level, lambda n: F.when(n > 32767, n - 65536).otherwise(n).cast("string"))
-    files = spark.read.format("binaryFile").load(folder)
+    files = spread(spark.read.format("binaryFile").load(folder).select("path", "content"))
     name = F.regexp_extract("path", r"([^/]*)\.wav$", 1)
-    return files.select(name.alias("out"), ((F.length("content") - 44) / 2).cast("long").alias("samples"), F.md5(F.array_join(signed, ",")).alias("samples_md5"))
+    return files.select(name.alias("out"), ((F.length("content") - 44) / 2).cast("long").alias("samples"), F.md5(_levels(F.col("content"))).alias("samples_md5"))
 
 
 @check(

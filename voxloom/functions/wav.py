@@ -1,9 +1,13 @@
-"""Reading PCM WAV headers, and writing canonical ones, with binary column expressions."""
+"""Reading PCM WAV headers, and writing canonical ones, with binary column expressions; samples are packed in an Arrow function."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -123,9 +127,24 @@ def pcm_header(data_bytes: Column, rate: Column, channels: Column, bits: Column)
     return F.unhex(hexed)
 
 
+@lru_cache(maxsize=1)
+def _pcm_udf():
+    @F.arrow_udf("binary")
+    def packed(samples: pa.Array) -> pa.Array:
+        values = pc.fill_null(samples.flatten().cast(pa.float64()), 1.0).to_numpy(zero_copy_only=False)
+        # What is no number is loudest, as the greatest of all values.
+        steps = np.clip(np.where(np.isnan(values), 1.0, values), -1.0, 1.0) * 32767
+        whole = np.floor(np.abs(steps))
+        whole += np.abs(steps) - whole >= 0.5
+        data = np.copysign(whole, steps).astype("<i2").tobytes()
+        size = pc.fill_null(pc.list_value_length(samples), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(2 * size)]).astype(np.int64)
+        made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(samples), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return pc.if_else(samples.is_null(), pa.scalar(None, pa.large_binary()), made).cast(pa.binary())
+
+    return packed
+
+
 def pcm_bytes(samples: Column) -> Column:
-    """16-bit PCM of samples in [-1, 1]."""
-    level = F.transform(
-        samples, lambda x: little_endian(F.round(F.greatest(F.least(x, F.lit(1.0)), F.lit(-1.0)) * 32767), 2)
-    )
-    return F.unhex(F.array_join(level, ""))
+    """16-bit PCM of samples in [-1, 1], rounded half away from zero; a missing sample is 1."""
+    return _pcm_udf()(samples)

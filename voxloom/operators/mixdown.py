@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.wav import pcm_header
+from ..session import settle
 from ..sources.keyed_files import write_keyed
 from .filters import Split
 
@@ -77,6 +78,8 @@ def mix_down(tracks: DataFrame, chunks: DataFrame, frame: int = FRAME) -> Split:
     negative, or whose recording is not there, are rejects; a result of which every track is one is not made.
     """
     bad = F.when(F.col("out").isNull(), "no_name").when(F.col("at").isNull() | (F.col("at") < 0), "bad_start")
+    # Read three times; what converts recordings opens all of their files.
+    chunks = settle(chunks.select("path", "first_out", "pcm"))
     known = chunks.select("path").distinct().withColumn("_there", F.lit(True))
     tagged = tracks.select(F.col("out").cast("string"), "path", F.col("at").cast("bigint").alias("at")).withColumn("_bad", bad).join(known, "path", "left")
     tagged = tagged.withColumn("reason", F.coalesce("_bad", F.when(F.col("_there").isNull(), "no_recording")))
@@ -92,7 +95,8 @@ def mix_down(tracks: DataFrame, chunks: DataFrame, frame: int = FRAME) -> Split:
         F.struct((first + 1).alias("frame"), F.lit(0).alias("off"), F.substr("pcm", room * 2 + 1, F.greatest(F.octet_length("pcm") - room * 2, F.lit(0))).alias("pcm")),
     )
     cut = placed.select("out", F.inline(parts)).filter(F.octet_length("pcm") > 0)
-    dealt = cut.repartition("out", "frame").sortWithinPartitions("out", "frame")
+    # The number is given, so that adaptive execution does not put all short frames into one task.
+    dealt = cut.repartition(int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")), "out", "frame").sortWithinPartitions("out", "frame")
     sums = dealt.mapInArrow(lambda batches: _summed(batches, frame), "out string, frame long, pcm binary")
     last = F.floor((F.greatest("samples", F.lit(1)) - 1) / frame)
     grid = lengths.select("out", "samples", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("frame"))

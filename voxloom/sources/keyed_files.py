@@ -122,7 +122,9 @@ def write_keyed(df: DataFrame, path: str, name: Column, content: Column, order:
     is written again is replaced. The rows of a name are streamed, so a file may be larger than a task's memory.
     """
     rows = df.withColumns({"_name": name.cast("string"), "_content": content.cast("binary")})
-    named = rows.filter("length(_name) > 0").repartition("_name").sortWithinPartitions("_name", *order)
+    # The number is given, or adaptive execution would put any number of short files into one task by their bytes.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = rows.filter("length(_name) > 0").repartition(parts, "_name").sortWithinPartitions("_name", *order)
     df.sparkSession.dataSource.register(KeyedFiles)
     named.select(F.col("_name").alias("name"), F.col("_content").alias("content")).write.format("keyed_files").mode(mode).option("path", path).save()
     return rows.filter("_name IS NULL OR length(_name) = 0").select(*df.columns)

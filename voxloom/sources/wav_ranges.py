@@ -18,11 +18,13 @@ from ..functions import pcm
 from ..functions.paths import base_name
 from ..operators.filters import Split
 from ..operators.segments import segment_sources
-from ..session import shared_folder
+from ..session import settle, shared_folder
 from .stores import locate
 
 # Bytes that one task reads, as far as single rows allow, and bytes of one Arrow batch of results.
 STRIPE = 64 << 20
+# What opening a file counts as, in bytes: a task of short files holds few of them.
+OPENING = 128 << 10
 _BATCH = 16 << 20
 
 _FORMAT = "channels int, sample_rate int, byte_rate long, block_align int, bits int, tag int, data_at long, data_bytes long"
@@ -59,8 +61,10 @@ def probe_ranges(files: DataFrame, path: str = "path") -> Split:
 
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
     names, types = zip(*((n, kinds[t]) for n, t in (f.split() for f in PROBED.split(", "))))
-    # A listing is dealt by the length of its files, which suits their opening; its own few bytes would not.
-    probed = files.select(F.col(path).cast("string").alias("path")).mapInArrow(run, PROBED)
+    # A listing comes in tasks of a few dozen files, as if they were read whole; for their heads alone it is dealt anew. The number of
+    # tasks is given, since by its own few bytes it would be one.
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probed = files.select(F.col(path).cast("string").alias("path")).repartition(parts, "path").mapInArrow(run, PROBED)
     seconds = F.try_divide(F.col("data_bytes").cast("double"), (F.col("block_align") * F.col("sample_rate").cast("long")).cast("double"))
     known = probed.filter("reason IS NULL").drop("reason").withColumn("duration", seconds)
     return Split(known, probed.filter("reason IS NOT NULL").select("path", "reason"))
@@ -68,12 +72,15 @@ def probe_ranges(files: DataFrame, path: str = "path") -> Split:
 
 def dealt_by_bytes(ranges: DataFrame, stripe: int = STRIPE) -> DataFrame:
     """``ranges``, which have ``_path``, ``_first`` and ``_bytes``, written to the shared folder in as many files as there are
-    stripes of bytes to be read; a file of ranges is sorted by path and place."""
+    stripes of bytes to be read, the opening of files counted in; a file of ranges is sorted by path and place."""
     spark = ranges.sparkSession
     path = f"{shared_folder(spark)}/ranges-{uuid.uuid4().hex}"
-    total = ranges.agg(F.sum("_bytes")).first()[0] or 0
-    files = max(1, -(-total // stripe))
-    dealt = ranges.repartition(files, "_path", F.floor(F.col("_first") / stripe)).sortWithinPartitions("_path", "_first")
+    # Ranges come from the heads of files, which are read once.
+    ranges = settle(ranges)
+    place = [F.col("_path"), F.floor(F.col("_first") / stripe)]
+    total, opened = ranges.agg(F.sum("_bytes"), F.approx_count_distinct(F.struct(*place))).first()
+    files = max(1, -(-((total or 0) + opened * OPENING) // stripe))
+    dealt = ranges.repartition(files, *place).sortWithinPartitions("_path", "_first")
     dealt.write.parquet(path)
     return spark.read.schema(ranges.schema).parquet(path)
 
