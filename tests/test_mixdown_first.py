@@ -121,3 +121,17 @@ def test_first_by_text_deals_by_digest(spark):
     df = spark.createDataFrame([(2, "a"), (1, "a"), (3, None), (0, None), (5, "")], "row_id int, text string")
     got = dedupe.first_by_text(df)
     assert got.columns == ["row_id", "text"] and rows(got) == [(0, None), (1, "a"), (5, "")]
+
+
+def test_arrivals_reach_python_in_small_batches(spark, tmp_path):
+    """Batches of whole texts are bounded in rows and bytes, whatever the session had."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    kept = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "10000")
+        spark.conf.set(names[1], "64MB")
+        first_arrivals(spark.readStream.schema("row_id long, text string").parquet(str(tmp_path)), "text")
+        assert [int(spark.conf.get(n)) for n in names] == [500, 4 << 20]
+    finally:
+        for n, value in zip(names, kept):
+            spark.conf.set(n, value)

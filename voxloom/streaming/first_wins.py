@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState
 from ..operators.dedupe import row_digest
 
 _KEY = "_first_key"
+_BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 500, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 def first_arrivals(rows: DataFrame, key: str | Sequence[str], order: str = "row_id") -> DataFrame:
@@ -28,6 +29,12 @@ def first_arrivals(rows: DataFrame, key: str | Sequence[str], order: str = "row_
     """
     keys = [key] if isinstance(key, str) else list(key)
     schema = rows.schema
+    # Rows are held on both sides of Python by the batch, several times over; whole texts make ten thousand of them large.
+    for name, most in _BATCH_LIMITS.items():
+        now = rows.sparkSession.conf.get(name).lower().removesuffix("b")
+        # A size with a unit, or none at all, is taken for too much.
+        if not now.isdigit() or not 0 < int(now) <= most:
+            rows.sparkSession.conf.set(name, str(most))
     marked = rows.withColumn(_KEY, F.hex(row_digest(*keys)))
 
     def least(frame: pd.DataFrame) -> pd.DataFrame:
