@@ -127,3 +127,23 @@ def test_many_phrases(spark):
     phrases = spark.createDataFrame(list(table.items()), "simplified string, traditional string").repartition(4)
     got = script_rows.convert_phrases(spark.createDataFrame(list(enumerate(texts)), "k int, text string"), "text", phrases)
     assert {r.k: r.text for r in got.collect()} == {k: brute_longest(t, table) for k, t in enumerate(texts)}
+
+
+def test_a_task_lets_out_few_matches_of_a_keyword(spark):
+    """Texts come in order, so a task's first matches of a keyword are all that a cap can take; the trees shrink on the way."""
+    import pyarrow as pa
+
+    from voxloom.operators.word_parts import first_texts, write_parts
+
+    words = ["", "a", "ab", "b", "zz", "éa"]
+    listed = spark.createDataFrame([(w, None, k) for k, w in enumerate(words)], "word string, note string, place long")
+    texts = [None if k % 11 == 0 else "ab" * (k % 3) + "é" * (k % 2) + "a" * (k % 5 == 0) + "zz" * (k == 37) for k in range(40)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(low, low + 8)), pa.array([b"%d" % k for k in range(low, low + 8)]), pa.array(texts[low : low + 8], pa.string())], ["_order", "_text", "_col"])
+        for low in range(0, 40, 8)
+    ]
+    for per in (2, 100):
+        found = [r for b in first_texts(write_parts(listed, per), 3)(iter(batches)) for r in b.to_pylist()]
+        want = [(w, at, k) for at, w in enumerate(words) for k in [n for n, t in enumerate(texts) if t is not None and w in t][:3]]
+        assert sorted((r["keyword"], r["kw_ord"], r["_order"]) for r in found) == sorted(want)
+        assert all(r["_text"] == b"%d" % r["_order"] for r in found)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import trie
 from .dedupe import first_by, row_digest
 from .ordering import top_per_group
-from .word_parts import PART_WORDS, found_words, write_parts
+from .word_parts import PART_WORDS, first_texts, found_words, write_parts
 
 # Longest list tested with one expression per keyword; longer ones give the same rows by a tree.
 _INLINE = 64
@@ -89,10 +89,14 @@ def select_by_keyword_table(
 ) -> DataFrame:
     """``select_by_keywords`` for a table of any size, whose order of keywords is the column ``kw_order``; ties go by keyword.
 
-    Matches carry a digest of their text and the row's ``order``, not the row, and meet by them; rows are joined to what is picked.
+    Matches carry a digest of their text and the row's ``order``, not the row, and meet by them; rows are joined to what is picked. A task
+    reads its texts in order and lets out no more than ``cap`` matches of a keyword.
     """
     narrow = df.select(F.col(order).alias("_order"), row_digest(col).alias("_text"), F.col(col).alias("_col"))
-    matches = keyword_table_matches(narrow, keywords, word, "_col", kw_order, per).drop("_col")
+    listed = _listed(keywords, word, kw_order).select(F.col("keyword").alias("word"), F.lit(None).cast("string").alias("note"), "place")
+    kinds = narrow.select(F.lit("").alias("keyword"), F.lit(0).cast("bigint").alias("kw_ord"), "_order", "_text").schema
+    in_order = narrow.withColumn("_col", F.col("_col").cast("string")).sortWithinPartitions("_order")
+    matches = in_order.mapInArrow(first_texts(write_parts(listed, per), cap), kinds)
     capped = top_per_group(matches, ["keyword"], ["_order"], cap)
     picked = first_by(capped, "_text", ["kw_ord", "keyword", "_order"])
     own = [c for c in df.columns if c not in ("keyword", "kw_ord")]

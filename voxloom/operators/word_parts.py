@@ -137,6 +137,54 @@ def found_words(folder: str):
     return hits
 
 
+def first_texts(folder: str, cap: int):
+    """A function for ``mapInArrow`` over (order, text digest, text) rows in order: (keyword, place, order, digest) for the first ``cap`` texts that
+    contain each word among those of the task.
+
+    A word that has its texts is looked for no more, and trees are built anew when half of their words are done, so most of a scan is for rare words.
+    """
+    parts = part_reader(folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Texts still wanted of each word of each part; the words that the tree at hand looks for, and that tree.
+        left: list[np.ndarray] = []
+        trees: dict[int, tuple[np.ndarray, trie.Trie]] = {}
+        for batch in batches:
+            texts, orders, digests = (batch.column(c) for c in ("_col", "_order", "_text"))
+            there = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
+            pieces = list(trie.blocks(texts))
+            for k, part in enumerate(parts()):
+                if k == len(left):
+                    left.append(np.full(len(part.words), cap, np.int64))
+                wanted = left[k]
+                empty = np.flatnonzero([not w for w in part.words])
+                for low, _, data, offsets in [(0, 0, None, None), *pieces]:
+                    if data is None:
+                        # Every text has the empty word.
+                        row, word = np.tile(there, len(empty)), np.repeat(empty, len(there))
+                    else:
+                        live = np.flatnonzero((wanted > 0) & (part.tree.size > 0))
+                        if not len(live):
+                            break
+                        listed, tree = trees.get(k, (np.arange(len(part.words)), part.tree))
+                        if 2 * len(live) <= len(listed):
+                            listed, tree = live, trie.build([part.words[w] for w in live])
+                            trees[k] = listed, tree
+                        row, word = trie.contained(tree, data, offsets)
+                        row, word = row + low, listed[word]
+                    # By word, in the order of rows; the first of each that are still wanted.
+                    order = np.lexsort((row, word))
+                    row, word = row[order], word[order]
+                    keep = np.arange(len(word)) - np.searchsorted(word, word, "left") < wanted[word]
+                    row, word = row[keep], word[keep]
+                    wanted -= np.bincount(word, minlength=len(wanted))
+                    if len(row):
+                        names = pa.array([part.words[w].decode() for w in word.tolist()], pa.string())
+                        yield pa.RecordBatch.from_arrays([names, pa.array(part.places[word]), orders.take(pa.array(row)), digests.take(pa.array(row))], ["keyword", "kw_ord", "_order", "_text"])
+
+    return run
+
+
 def replaced_words(folder: str):
     """A function of a text column: the text with words replaced by their notes, read from left to right, the longest word first."""
     parts = part_reader(folder)
