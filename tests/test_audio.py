@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from voxloom.functions.wav import pcm_bytes
 from voxloom.functions import pcm
 from voxloom.functions.wav import pcm_info
 from voxloom.operators import resample
@@ -241,3 +242,29 @@ def test_chunks_equal_the_whole(spark, tapes, tmp_path):
     want = resample.resample(noise.reshape(-1, 2).mean(1), 0, 0, -(-15_000 * 160 // 441), 160, 441)
     assert one["fast.wav"] == wav(pcm.encode16(want))
     assert one["slow.wav"] == wav(pcm.encode16(resample.resample(noise.astype(float), 0, 0, -(-30_000 * 640 // 441), 640, 441)))
+
+
+def test_short_files_are_dealt_by_their_number(spark):
+    """By bytes alone three thousand short files are one task."""
+    from voxloom.sources.wav_ranges import dealt_by_bytes
+
+    ranges = spark.range(3000).select(F.concat(F.lit("/w/"), "id").alias("_path"), F.lit(0).cast("long").alias("_first"), F.lit(100).cast("long").alias("_bytes"))
+    dealt = dealt_by_bytes(ranges)
+    assert dealt.count() == 3000 and len(dealt.inputFiles()) > 1
+
+
+def test_samples_are_packed_as_before(spark):
+    """Halves away from zero, what is no number or missing as the loudest, null and empty lists."""
+    rows = [[0.5 / 32767, -0.5 / 32767, 2.0, -2.0, float("nan"), None, float("-inf")], [], None]
+    packed = spark.createDataFrame([(r,) for r in rows], "x array<double>").select(pcm_bytes(F.col("x")).alias("b"))
+    assert [None if r.b is None else list(memoryview(bytes(r.b)).cast("h")) for r in packed.collect()] == [[1, -1, 32767, -32767, 32767, 32767, -32767], [], None]
+
+
+def test_flags_are_hashed_not_sorted(spark, tmp_path):
+    from voxloom.checks.catalog import QUERIES
+
+    rows = [(1, "A"), (1, None), (2, "A"), (2, "N"), (3, "N"), (3, "R"), (4, None), (5, "B"), (5, "A")] + [(k, "A") for k in (6, 6, 6, 6)]
+    spark.createDataFrame(rows, "l_orderkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["c8_label_length"](spark, str(tmp_path))
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == {(k, "kept") for k in range(1, 6)} | {(6, "label_length")}
