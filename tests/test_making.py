@@ -5,10 +5,11 @@ import random
 from math import log10
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from voxloom.operators import augment, combine, segmentation, sentences
+from voxloom.operators import augment, combine, segmentation, sentences, split_tables
 from voxloom.plans import prepare_training, sanity_check
 
 TIMED = "audio_filepath string, pos int, word string, start double, end double"
@@ -103,6 +104,31 @@ def test_segment_latin(spark):
     assert rows(segmentation.segment_latin(df, counts), "text") == rows(segmentation.segment_latin(df, counts, pairs), "text")
 
 
+@pytest.mark.parametrize("per", [3, 1000])
+def test_tokens_split_together(spark, monkeypatch, per):
+    monkeypatch.setattr(split_tables.write_words, "__defaults__", (per,))
+    monkeypatch.setattr(split_tables.write_pairs, "__defaults__", (per,))
+    monkeypatch.setattr(segmentation, "_LETTERS", 50)
+    draw = random.Random(4)
+    vocabulary = sorted({"".join(draw.choices("ab1", k=draw.choice([1, 2, 2, 3, 5, 13, 24]))) for _ in range(20)})
+    counts = {w: draw.choice([1, 2, 9]) for w in vocabulary[::2] + vocabulary[1::4]}
+    pairs = {f"{a} {b}": draw.choice([1, 3]) for a in vocabulary for b in vocabulary if draw.random() < 0.4}
+    tokens = sorted({"".join(draw.choices(vocabulary, k=draw.randint(1, 9))) for _ in range(40)} | {"", "zz" * 30, "a" * 200})
+    got = segmentation.token_splits(
+        spark.createDataFrame([(t,) for t in tokens], "token string"),
+        spark.createDataFrame([*counts.items(), ("é", 4)], "word string, n long"),
+        spark.createDataFrame([*pairs.items()], "pair string, n long"),
+    )
+    # No substring of a token is a row.
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    total = float(sum(counts.values()) + 4)
+    want = []
+    for t in tokens:
+        inside = {p: n for p, n in pairs.items() if p.replace(" ", "") in t}
+        want.append((t, " ".join(segmentation.best_split(t, {w: n for w, n in counts.items() if w in t}, inside, total))))
+    assert rows(got, "token", "words") == sorted(want, key=repr)
+
+
 def test_spoken_form(spark):
     df = spark.createDataFrame([("佢哋喺度",), ("他們是的",), ("無",)], "text string")
     assert rows(sentences.spoken_form(df, ["佢", "喺"], ["他們", "是"])) == [("佢哋喺度",), ("無",)]

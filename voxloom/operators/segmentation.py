@@ -1,25 +1,28 @@
 """Splitting run-together Latin text into words, with word counts learned from a corpus.
 
-Tokens are looked at once per distinct spelling. Their substrings meet the count tables in joins; only the
-choice of the best split of one token, over the few of its substrings that are known words, runs in an
-Arrow UDF.
+Tokens are looked at once per distinct spelling. Words and pairs are written by tasks as tables in parts; a task looks up the
+substrings of a stretch of its tokens in the parts in turn and splits all tokens of the stretch together, so no substring is a row.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterator
 from math import log10
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import space_scripts, words
-from ..session import spread
+from ..functions import splits
+from ..functions.splits import MAX_WORD
+from ..functions.text import space_scripts
+from ..session import settle, spread
+from . import split_tables
 from .ordering import skew_join
 
-# Fixed value: the longest word a token is split into; longer vocabulary words are not used, nor counted in totals.
-MAX_WORD = 24
+# Letters of the tokens that are split together.
+_LETTERS = 1 << 18
 
 
 def word_counts(df: DataFrame, col: str = "text") -> DataFrame:
@@ -79,54 +82,60 @@ def best_split(token: str, counts: dict[str, int], pairs: dict[str, int], total:
     return out[::-1]
 
 
-@lru_cache(maxsize=1)
-def _splitter():
-    @F.arrow_udf("string")
-    def split(token: pa.Array, known: pa.Array, total: pa.Array) -> pa.Array:
-        out = []
-        for t, rows, n in zip(token.to_pylist(), known.to_pylist(), total.to_pylist()):
-            found = {row["w"]: row["n"] for row in rows or []}
-            words = {w: k for w, k in found.items() if " " not in w}
-            pairs = {w: k for w, k in found.items() if " " in w}
-            out.append(" ".join(best_split(t, words, pairs, float(n or 1))))
-        return pa.array(out, pa.string())
+def _stretches(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows of about ``_LETTERS`` letters, a longer text alone."""
+    low = 0
+    while low < len(offsets) - 1:
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + _LETTERS, "right")) - 1)
+        yield low, high
+        low = high
 
-    return split.asNondeterministic()
 
+def _split_batches(words: str, pairs: str | None, n_pairs: int, total: float):
+    """A function for ``mapInArrow`` over tokens of a-z and 0-9: (token, words)."""
+    find_words = split_tables.word_finder(words)
+    find_pairs = split_tables.pair_finder(pairs, n_pairs) if pairs else None
 
-def _substrings(tokens: DataFrame) -> DataFrame:
-    """(_id, part) for every substring of up to ``_longest`` characters.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column(0).cast(pa.large_string())
+            ends = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+            letters = np.frombuffer(tokens.buffers()[2] or b"", np.uint8)
+            for low, high in _stretches(ends):
+                data, offsets = letters[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
+                texts = splits.laid_out(data, offsets)
+                cut = splits.split(texts, *splits.known_words(texts, find_words), total, find_pairs)
+                out, places = splits.spaced(data, offsets, cut)
+                made = pa.LargeStringArray.from_buffers(high - low, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(out.tobytes()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), made.cast(pa.string())], ["token", "words"])
 
-    Each start is looked up once and its substrings are cut from there, since finding a place in a string
-    takes as long as the place is far in.
-    """
-    starts = tokens.select("*", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_at"))
-    cuts = starts.select("_id", F.substr("token", "_at", "_longest").alias("_from"))
-    sized = cuts.select("*", F.explode(F.sequence(F.lit(1), F.length("_from"))).alias("_size"))
-    return sized.select("_id", F.left("_from", "_size").alias("part"))
+    return run
 
 
 def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """(token, words) for a frame of distinct ``token``; ``counts`` is (word, n), ``pairs`` is (pair, n).
+    """(token, words) for a frame of distinct ``token`` of a-z and 0-9; ``counts`` is (word, n), ``pairs`` is (pair, n).
 
-    A pair lies in a token as its two words run together, so words and pairs are found by one join.
+    The tables are written to the shared folder at once, the tokens are split when the result is read.
     """
-    counts = counts.filter(F.length("word") <= MAX_WORD)
-    known = counts.select(F.col("word").alias("part"), F.col("word").alias("w"), "n")
+    # Words with other letters lie in no token, but count.
+    counts = settle(counts.filter(F.length("word") <= MAX_WORD))
+    total = counts.agg(F.sum("n")).first()[0]
+    listed = counts.filter(F.col("word").rlike("^[a-z0-9]+\\z")).groupBy("word").agg(F.max("n").alias("n"))
+    folder, n_pairs = None, 0
+    if pairs is not None:
+        part = F.split("pair", " ")
+        near = pairs.filter(F.col("pair").rlike(f"^[a-z0-9]{{1,{MAX_WORD}}} [a-z0-9]{{1,{MAX_WORD}}}\\z"))
+        near = settle(near.select(part[0].alias("first"), part[1].alias("word"), "n"))
+        # A second word need not have been counted itself.
+        others = near.select("word").distinct().join(listed, "word", "left_anti")
+        listed = listed.unionByName(others.withColumn("n", F.lit(None).cast("long")))
+    words, numbered = split_tables.write_words(listed)
     if pairs is not None:
-        glued = pairs.select(F.replace("pair", F.lit(" "), F.lit("")).alias("part"), F.col("pair").alias("w"), "n")
-        known = known.unionByName(glued.filter(F.length("part") <= 2 * MAX_WORD))
-    longest = known.agg(F.coalesce(F.max(F.length("part")), F.lit(1))).scalar()
-    # A token may be long, so its substrings carry a digest of it; they are many, so tokens are spread first.
-    tokens = spread(tokens.select("token", F.unhex(F.md5("token")).alias("_id"), longest.alias("_longest")))
-    parts = _substrings(tokens.filter("token <> ''"))
-    # Size estimates do not see the explode, so left alone the planner takes the substrings for the small
-    # side. The vocabulary is hashed partition by partition instead; where its measured size allows,
-    # adaptive execution sends it to all tasks.
-    known = known.hint("shuffle_hash")
-    hits = parts.join(known, "part").groupBy("_id").agg(F.collect_set(F.struct("w", "n")).alias("known"))
-    joined = tokens.join(hits, "_id", "left").withColumn("total", counts.agg(F.sum("n")).scalar())
-    return spread(joined).select("token", _splitter()(F.col("token"), F.col("known"), F.col("total")).alias("words"))
+        folder, n_pairs = split_tables.write_pairs(near, numbered)
+    run = _split_batches(words, folder, n_pairs, float(total or 1))
+    # Texts of like length are split in fewer steps.
+    sorted_tokens = spread(tokens.select("token")).sortWithinPartitions(F.length("token").desc())
+    return sorted_tokens.mapInArrow(run, "token string, words string")
 
 
 def segment_latin(
@@ -142,9 +151,11 @@ def segment_latin(
     pieces = runs.select(key, F.posexplode("runs").alias("pos", "run"), ((F.size("runs") > 1) | F.col("_low")).alias("_go"))
     cleaned = F.regexp_replace(F.lower("run"), "[^a-z0-9]", "")
     pieces = pieces.withColumn("token", F.when(F.col("_go") & F.lower("run").rlike("[a-z]"), cleaned))
-    latin = pieces.filter("token IS NOT NULL")
-    splits = token_splits(latin.select("token").distinct(), counts, pairs)
-    done = skew_join(latin.select(key, "pos", "token"), splits, ["token"]).select(key, "pos", "words")
+    # Cutting texts into runs costs more than writing these, and they are read three times.
+    pieces = settle(pieces.select(key, "pos", F.when(F.col("token").isNull(), F.col("run")).alias("run"), "token"))
+    latin = pieces.filter("token IS NOT NULL").select(key, "pos", "token")
+    tally = settle(latin.groupBy("token").agg(F.count("*").alias("_n")))
+    done = skew_join(latin, token_splits(tally, counts, pairs), ["token"], counts=tally).select(key, "pos", "words")
     other = pieces.filter("token IS NULL").select(key, "pos", F.col("run").alias("words"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "words"))), lambda p: p["words"]), " ")
     rebuilt = done.unionByName(other).groupBy(key).agg(F.concat(F.lit(" "), text).alias(col))
