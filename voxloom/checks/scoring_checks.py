@@ -80,8 +80,10 @@ def pairs(spark, d):
 
 
 def worded(spark, d, words):
-    return spread(pairs(spark, d)).select(
-        "checkpoint", "audio_filepath", words(F.col("ref")).alias("ref_words"), words(F.col("hyp")).alias("hyp_words")
+    # A reference is cut into words once, not for each checkpoint; joined by blanks, which no word holds, they move as text.
+    cut = v.refs(spark, d).withColumn("text", F.array_join(words(F.col("text")), " "))
+    return spread(scoring.pair(cut, v.predictions(spark, d))).select(
+        "checkpoint", "audio_filepath", F.filter(F.split("ref", " "), lambda w: w != "").alias("ref_words"), words(F.col("hyp")).alias("hyp_words")
     )
 
 
