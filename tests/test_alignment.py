@@ -1,6 +1,7 @@
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +11,7 @@ from tests.conftest import rows
 from voxloom.functions import edits
 from voxloom.operators import alignment
 from voxloom.operators.alignment import align, confusions, distance, trace_ops
+from voxloom.operators.filters import below_rate
 from voxloom.operators.scoring import best_checkpoint, macro_scores, micro_cer, pair, pair_cer, pending_work, score_words
 
 
@@ -152,3 +154,51 @@ def test_batch_of_moves_needs_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 2000 * 80 * 2 * 8 * 12 + 3 * edits.ROOM
+
+
+def heard(text, letters, share):
+    """``text`` with about this share of its letters changed, left out or said twice."""
+    out = []
+    for c in text:
+        k = random.random() / share
+        out.append(c if k > 1 else random.choice(letters) if k > 0.6 else "" if k > 0.3 else c + c)
+    return "".join(out)
+
+
+def test_bands_give_the_distance_and_tell_what_is_above_a_limit(monkeypatch):
+    """Near texts, texts with a part moved, and texts without relation, of several blocks; with a limit, only what is above it may differ."""
+    random.seed(11)
+    for letters, room in (("ab", 1 << 25), ("abcdefgh é", 1 << 25), ("abc漢字", 1 << 12)):
+        monkeypatch.setattr(edits, "ROOM", room)
+        refs = ["".join(random.choices(letters, k=random.choice([0, 3, 64, 65, 200, 700]))) for _ in range(120)]
+        hyps = [heard(r, letters, random.choice([0.01, 0.05, 0.3, 1])) if k % 4 else r[len(r) // 3 :] + r[: len(r) // 3] for k, r in enumerate(refs)]
+        want = [distance(r, h) for r, h in zip(refs, hyps)]
+        both = edits.text_sequences(pa.array(refs), pa.array(hyps))
+        assert alignment._distances(*both).tolist() == want
+        most = [random.choice([-1, 0, 1, len(r) // 20 + 1, w - 1, w, w + 1, 1 << 40]) for r, w in zip(refs, want)]
+        found = alignment._distances(*both, np.array(most)).tolist()
+        assert all(f == w if w <= m else f > m for f, w, m in zip(found, want, most))
+
+
+def test_a_limit_leaves_out_pairs_and_most_of_the_table(monkeypatch):
+    """Pairs whose letters tell that they are above the limit are not stepped, and the others only in a band of that width."""
+    random.seed(12)
+    letters = "abcdefghijklmnopqrst "
+    refs = ["".join(random.choices(letters, k=1500)) for _ in range(200)]
+    hyps = [r.translate({97: "x", 98: "y"}) if k % 2 else heard(r, letters, 0.02) for k, r in enumerate(refs)]
+    seen, step = [], edits.columns
+    monkeypatch.setattr(edits, "columns", lambda ref, hyp, rows, within=None: seen.append((set((rows % 2).tolist()), len(rows), within.max())) or step(ref, hyp, rows, within))
+    alignment._distances(*edits.text_sequences(pa.array(refs), pa.array(hyps)), np.full(200, 60))
+    assert seen == [({0}, 100, 60)]
+
+
+def test_cer_below_keeps_the_same_rows(spark):
+    random.seed(13)
+    texts = ["".join(random.choices("abcdef ", k=random.choice([1, 20, 40, 300]))) for _ in range(150)]
+    both = [(k, r, heard(r, "abcdef ", random.choice([0.02, 0.1, 0.5]))) for k, r in enumerate(texts)] + [(-1, "", "a"), (-2, None, "a"), (-3, "a", None), (-4, "", ""), (-5, "漢字", "漢字")]
+    df = spark.createDataFrame(both, "id int, ref string, hyp string")
+    for t in (0.0, 0.05, 0.1, 0.5, 1.0, 5.0):
+        kept = rows(below_rate(pair_cer(df), "cer", t).kept)
+        assert rows(below_rate(pair_cer(df, below=t), "cer", t).kept) == kept
+        assert below_rate(pair_cer(df, below=t), "cer", t).rejects.count() == len(both) - len(kept)
+    assert 0 < len(rows(below_rate(pair_cer(df, below=0.05), "cer", 0.05).kept)) < len(both)

@@ -305,7 +305,7 @@ def c7(spark, d):
     WHERE levenshtein({NARROW.format(c='text')}, {NARROW.format(c='hyp')}) / length(text)::DOUBLE < 0.05""",
 )
 def c7b(spark, d):
-    return below_rate(scoring.pair_cer(pairs(spark, d)), "cer", 0.05).kept.select("checkpoint", "audio_filepath")
+    return below_rate(scoring.pair_cer(pairs(spark, d), below=0.05), "cer", 0.05).kept.select("checkpoint", "audio_filepath")
 
 
 @check(

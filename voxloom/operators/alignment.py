@@ -121,8 +121,8 @@ def _moves(ref: edits.Sequences, hyp: edits.Sequences) -> Iterator[tuple[np.ndar
     return edits.walks(ref, hyp, lambda row: [(_OPS.index(op), i, j) for op, i, j in walk(*_alone(ref, hyp, row))])
 
 
-def _distances(ref: edits.Sequences, hyp: edits.Sequences) -> np.ndarray:
-    return edits.distances(ref, hyp, lambda row: distance(*_alone(ref, hyp, row)))
+def _distances(ref: edits.Sequences, hyp: edits.Sequences, most: np.ndarray | None = None) -> np.ndarray:
+    return edits.distances(ref, hyp, lambda row: distance(*_alone(ref, hyp, row)), most)
 
 
 def _stretches(ref: pa.Array, hyp: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
@@ -212,9 +212,16 @@ def _udfs():
         missing = pc.or_(ref.is_null(), hyp.is_null()).to_numpy(zero_copy_only=False)
         return pa.array(_distances(*edits.text_sequences(ref, hyp)), pa.int32(), mask=missing)
 
+    @F.arrow_udf("int")
+    def few_char_edits(ref: pa.Array, hyp: pa.Array, most: pa.Array) -> pa.Array:
+        missing = pc.or_(pc.or_(ref.is_null(), hyp.is_null()), most.is_null()).to_numpy(zero_copy_only=False)
+        most = pc.fill_null(most, -1).to_numpy(zero_copy_only=False)
+        found = _distances(*edits.text_sequences(ref, hyp), most)
+        return pa.array(found, pa.int32(), mask=missing | (found > most))
+
     # Called nondeterministic so that a filter on the result is not moved, with a second call, below the
     # repartitioning that spreads the work.
-    return tuple(f.asNondeterministic() for f in (counts, ops, word_edits, char_edits))
+    return tuple(f.asNondeterministic() for f in (counts, ops, word_edits, char_edits, few_char_edits))
 
 
 def align_counts(ref: Column, hyp: Column) -> Column:
@@ -243,18 +250,22 @@ def word_distance(ref: Column, hyp: Column) -> Column:
     return _udfs()[2](ref, hyp)
 
 
-def char_distance(ref: Column, hyp: Column) -> Column:
-    """Edit distance of two texts in characters.
+def char_distance(ref: Column, hyp: Column, most: Column | None = None) -> Column:
+    """Edit distance of two texts in characters; null where it is above ``most``, if that is given.
 
     Same value as the built-in ``levenshtein``, whose cost is the product of both lengths; here a text
-    length of work covers 64 characters of the other text at a time.
+    length of work covers 64 characters of the other text at a time, and only those that so many edits can reach.
     """
-    return _udfs()[3](ref, hyp)
+    return _udfs()[3](ref, hyp) if most is None else _udfs()[4](ref, hyp, most.cast("long"))
 
 
-def cer(ref: Column, hyp: Column) -> Column:
-    """Character error rate of one pair; null for an empty reference."""
-    return F.try_divide(char_distance(ref, hyp).cast("double"), F.length(ref))
+def cer(ref: Column, hyp: Column, below: float | None = None) -> Column:
+    """Character error rate of one pair; null for an empty reference.
+
+    With ``below``, rates that are not below it may be null: a pair is followed only as far as it takes to tell.
+    """
+    most = None if below is None else F.floor(F.length(ref) * F.lit(float(below)) + 1.0)
+    return F.try_divide(char_distance(ref, hyp, most).cast("double"), F.length(ref))
 
 
 def confusions(df: DataFrame, k: int | None = None, ref: str = "ref_words", hyp: str = "hyp_words") -> DataFrame:

@@ -88,8 +88,9 @@ def macro_scores(scores: DataFrame, by: str | Sequence[str] = "checkpoint") -> D
     return scores.groupBy(*by).agg(F.count("wer").alias("n_files"), *averages)
 
 
-def pair_cer(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
-    return spread(pairs).withColumn("cer", cer(F.col(ref), F.col(hyp)))
+def pair_cer(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp", below: float | None = None) -> DataFrame:
+    """Add ``cer`` to each pair; with ``below``, rates that are not below it may be null, which ``below_rate`` refuses like them."""
+    return spread(pairs).withColumn("cer", cer(F.col(ref), F.col(hyp), below))
 
 
 def micro_cer(pairs: DataFrame, by: str | Sequence[str] = "checkpoint", ref: str = "ref", hyp: str = "hyp") -> DataFrame:
