@@ -1,7 +1,7 @@
 """Splitting run-together Latin text into words, with word counts learned from a corpus.
 
-Tokens are looked at once per distinct spelling. Words and pairs are written by tasks as tables in parts; a task looks up the
-substrings of a stretch of its tokens in the parts in turn and splits all tokens of the stretch together, so no substring is a row.
+Words and pairs are written by tasks as tables in parts. A task cuts a stretch of texts into runs, splits the distinct tokens of the stretch
+together and puts the texts together again, so no run, token or substring is a row.
 """
 
 from __future__ import annotations
@@ -11,34 +11,60 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyarrow import compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import splits
+from ..functions import runs, splits
 from ..functions.splits import MAX_WORD
-from ..functions.text import space_scripts
 from ..session import settle, spread
 from . import split_tables
-from .ordering import skew_join
 
 # Letters of the tokens that are split together.
-_LETTERS = 1 << 18
+_LETTERS = 1 << 17
+# Bytes of the texts that are cut, or counted, together.
+_TEXT = 1 << 23
 
 
 def word_counts(df: DataFrame, col: str = "text") -> DataFrame:
     """Occurrences of each Latin word in well-spaced text."""
-    return _latin_words(df, col).select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
+    def count(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        found, _ = runs.words(texts)
+        coded = found.dictionary_encode()
+        return coded.dictionary, np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+
+    return _counted(df, col, count, "word")
 
 
 def word_pair_counts(df: DataFrame, col: str = "text") -> DataFrame:
     """Occurrences of each pair of neighbouring Latin words, as ``first second``."""
-    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
-    many = _latin_words(df, col).filter(F.size("w") > 1)
-    return many.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
 
+    def count(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        found, of_text = runs.words(texts)
+        coded = found.dictionary_encode()
+        word = coded.indices.to_numpy().astype(np.int64)
+        near = np.flatnonzero(of_text[1:] == of_text[:-1])
+        key, many = np.unique(word[near] << 32 | word[near + 1], return_counts=True)
+        first, second = (coded.dictionary.take(pa.array(k)) for k in (key >> 32, key & 0xFFFFFFFF))
+        return pc.binary_join_element_wise(first, second, pa.scalar(" ", pa.large_string())), many
+
+    return _counted(df, col, count, "pair")
+
+
+def _counted(df: DataFrame, col: str, count, name: str) -> DataFrame:
+    """(name, n): what ``count`` finds in stretches of texts, added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            for low, high in _stretches(_offsets(texts), _TEXT):
+                found, many = count(texts.slice(low, high - low))
+                yield pa.RecordBatch.from_arrays([found.cast(pa.string()), pa.array(many.astype(np.int64))], [name, "n"])
 
-def _latin_words(df: DataFrame, col: str) -> DataFrame:
-    return df.select(F.regexp_extract_all(F.lower(F.col(col)), F.lit("([a-z0-9]+)"), F.lit(1)).alias("w"))
+    texts = spread(df.select(F.col(col).cast("string")))
+    return texts.mapInArrow(run, f"{name} string, n long").groupBy(name).agg(F.sum("n").alias("n"))
 
 
 def best_split(token: str, counts: dict[str, int], pairs: dict[str, int], total: float) -> list[str]:
@@ -82,34 +108,59 @@ def best_split(token: str, counts: dict[str, int], pairs: dict[str, int], total:
     return out[::-1]
 
 
-def _stretches(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Rows of about ``_LETTERS`` letters, a longer text alone."""
+def _offsets(texts: pa.Array) -> np.ndarray:
+    """Where texts begin, and the last one ends."""
+    return np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+
+
+def _stretches(offsets: np.ndarray, letters: int) -> Iterator[tuple[int, int]]:
+    """Rows of about so many letters, a longer text alone."""
     low = 0
     while low < len(offsets) - 1:
-        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + _LETTERS, "right")) - 1)
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + letters, "right")) - 1)
         yield low, high
         low = high
 
 
-def _split_batches(words: str, pairs: str | None, n_pairs: int, total: float):
-    """A function for ``mapInArrow`` over tokens of a-z and 0-9: (token, words)."""
-    find_words = split_tables.word_finder(words)
-    find_pairs = split_tables.pair_finder(pairs, n_pairs) if pairs else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = batch.column(0).cast(pa.large_string())
-            ends = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
-            letters = np.frombuffer(tokens.buffers()[2] or b"", np.uint8)
-            for low, high in _stretches(ends):
-                data, offsets = letters[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
-                texts = splits.laid_out(data, offsets)
-                cut = splits.split(texts, *splits.known_words(texts, find_words), total, find_pairs)
-                out, places = splits.spaced(data, offsets, cut)
-                made = pa.LargeStringArray.from_buffers(high - low, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(out.tobytes()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), made.cast(pa.string())], ["token", "words"])
-
-    return run
+def _splitter(counts: DataFrame, pairs: DataFrame | None):
+    """A function for tasks: the words of distinct tokens of a-z and 0-9. The tables are written to the shared folder at once."""
+    # Words with other letters lie in no token, but count.
+    counts = settle(counts.filter(F.length("word") <= MAX_WORD))
+    total = float(counts.agg(F.sum("n")).first()[0] or 1)
+    listed = counts.filter(F.col("word").rlike("^[a-z0-9]+\\z")).select("word", F.col("n").cast("long"))
+    words = split_tables.write_words(listed.groupBy("word").agg(F.max("n").alias("n")))
+    find_pairs = None
+    if pairs is not None:
+        pairs = settle(pairs.select("pair", "n"))
+        near = split_tables.write_pairs(pairs, words)
+        if not near.whole:
+            # A second word need not have been counted itself.
+            others = split_tables.second_words(pairs).withColumn("n", F.lit(None).cast("long"))
+            words = split_tables.write_words(listed.unionByName(others).groupBy("word").agg(F.max("n").alias("n")))
+            near = split_tables.write_pairs(pairs, words)
+        find_pairs = split_tables.pair_finder(near)
+    may, find_words = split_tables.word_filter(words), split_tables.word_finder(words)
+
+    def split(tokens: pa.Array) -> pa.Array:
+        if not len(tokens):
+            return pa.array([], pa.large_string())
+        # Texts of like length are split in fewer steps.
+        size = np.diff(_offsets(tokens))
+        order = np.argsort(-size, kind="stable")
+        tokens = tokens.take(pa.array(order)).cast(pa.large_string())
+        ends = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+        letters = np.frombuffer(tokens.buffers()[2] or b"", np.uint8)
+        made = []
+        for low, high in _stretches(ends, _LETTERS):
+            data, offsets = letters[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
+            texts = splits.laid_out(data, offsets)
+            cut = splits.split(texts, splits.known_words(texts, may, find_words), total, find_pairs)
+            made.append(runs.large_strings(*splits.spaced(data, offsets, cut)))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return pa.concat_arrays(made).take(pa.array(back))
+
+    return split
 
 
 def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
@@ -117,25 +168,24 @@ def token_splits(tokens: DataFrame, counts: DataFrame, pairs: DataFrame | None =
 
     The tables are written to the shared folder at once, the tokens are split when the result is read.
     """
-    # Words with other letters lie in no token, but count.
-    counts = settle(counts.filter(F.length("word") <= MAX_WORD))
-    total = counts.agg(F.sum("n")).first()[0]
-    listed = counts.filter(F.col("word").rlike("^[a-z0-9]+\\z")).groupBy("word").agg(F.max("n").alias("n"))
-    folder, n_pairs = None, 0
-    if pairs is not None:
-        part = F.split("pair", " ")
-        near = pairs.filter(F.col("pair").rlike(f"^[a-z0-9]{{1,{MAX_WORD}}} [a-z0-9]{{1,{MAX_WORD}}}\\z"))
-        near = settle(near.select(part[0].alias("first"), part[1].alias("word"), "n"))
-        # A second word need not have been counted itself.
-        others = near.select("word").distinct().join(listed, "word", "left_anti")
-        listed = listed.unionByName(others.withColumn("n", F.lit(None).cast("long")))
-    words, numbered = split_tables.write_words(listed)
-    if pairs is not None:
-        folder, n_pairs = split_tables.write_pairs(near, numbered)
-    run = _split_batches(words, folder, n_pairs, float(total or 1))
-    # Texts of like length are split in fewer steps.
-    sorted_tokens = spread(tokens.select("token")).sortWithinPartitions(F.length("token").desc())
-    return sorted_tokens.mapInArrow(run, "token string, words string")
+    split = _splitter(counts, pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in _stretches(_offsets(batch.column(0)), _TEXT):
+                part = batch.column(0).slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([part, split(part).cast(pa.string())], ["token", "words"])
+
+    return spread(tokens.select("token")).mapInArrow(run, "token string, words string")
+
+
+def _han(spark: SparkSession) -> np.ndarray:
+    """Code points of the session's class of Han characters, as (first, last); a few dozen ranges."""
+    ids = spark.range(0x2E80, 0x40000, 1, 4).filter("id NOT BETWEEN 55296 AND 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    found = np.sort(np.array([r[0] for r in ids.filter(char.rlike(r"\p{IsHan}")).collect()], np.int64))
+    edge = np.flatnonzero(np.diff(found) > 1)
+    return np.stack([found[np.append(0, edge + 1)], found[np.append(edge, len(found) - 1)]], 1)
 
 
 def segment_latin(
@@ -144,19 +194,46 @@ def segment_latin(
     """Respace transcripts: blanks out, scripts spaced, Latin runs split into lower-case words.
 
     The result starts with a blank. A text that is one run is only split when it begins with a lower-case
-    letter; runs without a letter pass through. A null text stays null.
+    letter; runs without a letter pass through. A null text stays null. Rows that share a key get one text, of the runs of all of them by
+    their place; a row without a key has none.
     """
-    spaced = space_scripts(F.replace(F.col(col), F.lit(" "), F.lit("")))
-    runs = df.select(key, F.split(spaced, " ").alias("runs"), spaced.rlike("^[a-z]").alias("_low"))
-    pieces = runs.select(key, F.posexplode("runs").alias("pos", "run"), ((F.size("runs") > 1) | F.col("_low")).alias("_go"))
-    cleaned = F.regexp_replace(F.lower("run"), "[^a-z0-9]", "")
-    pieces = pieces.withColumn("token", F.when(F.col("_go") & F.lower("run").rlike("[a-z]"), cleaned))
-    # Cutting texts into runs costs more than writing these, and they are read three times.
-    pieces = settle(pieces.select(key, "pos", F.when(F.col("token").isNull(), F.col("run")).alias("run"), "token"))
-    latin = pieces.filter("token IS NOT NULL").select(key, "pos", "token")
-    tally = settle(latin.groupBy("token").agg(F.count("*").alias("_n")))
-    done = skew_join(latin, token_splits(tally, counts, pairs), ["token"], counts=tally).select(key, "pos", "words")
-    other = pieces.filter("token IS NULL").select(key, "pos", F.col("run").alias("words"))
+    split, ranges = _splitter(counts, pairs), _han(df.sparkSession)
+    shared = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key)
+    alone = shared.isEmpty()
+    rest = [c for c in df.columns if c not in (key, col)]
+
+    def pieces(texts: pa.Array, is_han: np.ndarray) -> pa.Array:
+        cut = runs.runs(texts, is_han)
+        words = split(cut.tokens).take(pa.array(cut.token, mask=cut.token < 0))
+        whole = pc.coalesce(words, cut.whole).cast(pa.string())
+        offsets = np.append(0, np.cumsum(np.bincount(cut.of_text, minlength=len(texts))))
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), whole)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_han = np.zeros(1 << 21, bool)
+        for first, last in ranges.tolist():
+            is_han[first : last + 1] = True
+        for batch in batches:
+            for low, high in _stretches(_offsets(batch.column(0)), _TEXT):
+                part = batch.slice(low, high - low)
+                lists, null = pieces(part.column(0), is_han), part.column(0).is_null()
+                if alone:
+                    lists = pc.binary_join_element_wise("", pc.binary_join(lists, " "), " ")
+                made = pc.if_else(null, pa.scalar(None, lists.type), lists)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], made], names)
+
+    names = [key, *rest, col]
+    # Splitting costs some microseconds a letter, so tasks are more than the bytes ask for.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(F.col(col).cast("string").alias("_text"), key, *rest).repartition(parts)
+    fields = [df.select(key, *rest).schema[n] for n in range(len(names) - 1)]
+    cut = texts.mapInArrow(run, T.StructType([*fields, T.StructField(col, T.StringType() if alone else T.ArrayType(T.StringType()))]))
+    if alone:
+        return cut.withColumn(col, F.when(F.col(key).isNotNull(), F.col(col)))
+    cut = settle(cut)
+    both = cut.join(shared, key, "left_semi").select(key, F.posexplode(col).alias("pos", "words"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "words"))), lambda p: p["words"]), " ")
-    rebuilt = done.unionByName(other).groupBy(key).agg(F.concat(F.lit(" "), text).alias(col))
-    return df.drop(col).join(rebuilt, key, "left")
+    merged = both.groupBy(key).agg(F.concat(F.lit(" "), text).alias("_merged"))
+    joined = cut.join(merged, key, "left")
+    own = F.when(F.col(key).isNotNull(), F.concat(F.lit(" "), F.array_join(col, " ")))
+    return joined.select(key, *rest, F.coalesce("_merged", own).alias(col))

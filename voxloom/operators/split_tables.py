@@ -1,194 +1,298 @@
-"""Counts of words and of pairs of words, as tables that tasks load part by part.
+"""Counts of words and of pairs of words, as files that tasks map into memory.
 
-Words are dealt by hash into parts of bounded size and numbered there; a pair is the numbers of its two words. A task sorts a part by a
-hash of its keys and writes it to the shared folder; nothing passes through the driver. Keys are compared whole. Parts that are small
-together stay with the task, others are read again for each stretch of texts.
+Keys are dealt by hash into parts of bounded size; a task sorts a part by a further hash and writes it as one file to the shared folder,
+so nothing but names and sizes passes through the driver. A word gets a number, a pair is the numbers of its two words, and keys are compared
+whole. A file of a local store is mapped as it is, so that the tasks of a machine share it; one of another store is copied
+to a file without a name first. No table is held whole, or read again for further texts.
 """
 
 from __future__ import annotations
 
+import mmap
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-import pyarrow.parquet as pq
+import pyarrow as pa
+from pyarrow import compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.splits import word_codes
+from ..functions.splits import MAX_WORD, _DIGIT, word_codes
 from ..session import settle, shared_folder
 from ..sources.stores import locate
 
-# Entries of one part on average; a part of words has numbers for twice as many.
+# Words of one part on average; a part of words has numbers for twice as many.
 PART = 1 << 18
 _NUMBERS = 1 << 19
-# Bytes of the parts of one table that a task keeps.
-_KEEP = 192 << 20
+# Bits of the filter for each word.
+_FILTER = 16
 
-_PACKED = "part long, low binary, high binary, number binary, n binary"
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _REMIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_KEYED = "part int, low long, high long, n long"
+_WRITTEN = "part int, name string, entries long, first long"
+
+
+@dataclass
+class Table:
+    """Where the parts of a table are: (name, entries, number of the first entry), the bits of a part's filter, 0 for none, and whether all keys found
+    their place."""
+
+    folder: str
+    parts: list[tuple[str, int, int]]
+    filter_bits: int
+    whole: bool
 
 
 @dataclass
 class Part:
-    """Keys of one or two numbers, sorted by slot, what goes with them, and where each slot begins."""
+    """Keys of one or two numbers, sorted by slot, how often they occur, and where each slot begins."""
 
-    part: int
     low: np.ndarray
     high: np.ndarray | None
-    number: np.ndarray | None
     n: np.ndarray
     slots: np.ndarray
+    first: int
 
 
-def _slot(low: np.ndarray, high: np.ndarray | None, bits: int) -> np.ndarray:
-    mixed = low.astype(np.uint64) * _MIX
+def _hash(low: np.ndarray, high: np.ndarray | None) -> np.ndarray:
+    mixed = low.view(np.uint64) * _MIX
     if high is not None:
-        mixed = (mixed ^ high.astype(np.uint64)) * _MIX
-    # The upper half of a product depends on all bits of its factor.
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+        mixed ^= high.view(np.uint64)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed * _MIX
 
 
-def _bits(entries: int) -> int:
-    return max(1, entries.bit_length())
+def _part(mixed: np.ndarray, parts: int) -> np.ndarray:
+    return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
 
+def _slot(mixed: np.ndarray, bits: int) -> np.ndarray:
+    # The upper bits of a product depend on all bits of its factor.
+    return (mixed * _REMIX >> np.uint64(64 - bits)).astype(np.int64)
 
-def _narrow(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.int32) if values.max(initial=0) < 1 << 31 else values.astype(np.int64)
 
+def _bits(entries: int) -> int:
+    return max(1, entries.bit_length())
 
-def _packed(part: int, low: np.ndarray, high: np.ndarray | None, number: np.ndarray | None, n: np.ndarray) -> pd.DataFrame:
-    order = np.argsort(_slot(low, high, _bits(len(low))), kind="stable")
-    sides = [b"" if c is None else c[order].tobytes() for c in (low, high, number, _narrow(n))]
-    return pd.DataFrame([[part, *sides]], columns=["part", "low", "high", "number", "n"])
 
+def _words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, offsets, which texts are null) of texts without gaps between them."""
+    null = texts.is_null().to_numpy(zero_copy_only=False)
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0], null
+
+
+def _keyed(part: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(low), pa.array(high), pa.array(n)], ["part", "low", "high", "n"])
+
+
+def _write(keyed: DataFrame, parts: int, two: bool, numbers: int = 0, filter_bits: int = 0) -> Table:
+    """``keyed`` is (part, low, high, n); rows of part -1 only make the table one that lacks something. A part's numbers are those from the
+    part times ``numbers`` on."""
+    folder = f"{shared_folder(keyed.sparkSession)}/splits-{uuid.uuid4().hex}"
+
+    def build(rows: pa.Table) -> pa.Table:
+        if rows.column("part")[0].as_py() < 0:
+            return pa.table({"part": pa.array([-1], pa.int32()), "name": [""], "entries": [0], "first": [0]})
+        part, low, high, n = (rows.column(c).combine_chunks().to_numpy() for c in ("part", "low", "high", "n"))
+        mixed, bits = _hash(low, high if two else None), _bits(len(low))
+        slot = _slot(mixed, bits)
+        order = np.argsort(slot, kind="stable")
+        slots = np.append(0, np.cumsum(np.bincount(slot, minlength=1 << bits))).astype(np.int32)
+        sides = [low[order], *([high[order]] if two else []), n[order], slots]
+        if filter_bits:
+            flags = np.zeros(1 << filter_bits, bool)
+            flags[_slot(mixed, filter_bits)] = True
+            sides.append(np.packbits(flags, bitorder="little"))
+        # A task that runs again writes a file of another name, and only the names that reach the driver count.
+        name = f"part-{uuid.uuid4().hex}"
+        store, place = locate(folder)
+        store.create_dir(place, recursive=True)
+        with store.open_output_stream(f"{place}/{name}") as out:
+            for side in sides:
+                out.write(side)
+        return pa.table({"part": part[:1], "name": [name], "entries": [len(low)], "first": [int(part[0]) * numbers]})
 
-def _new_folder(df: DataFrame) -> str:
-    return f"{shared_folder(df.sparkSession)}/splits-{uuid.uuid4().hex}"
+    found = {r["part"]: (r["name"], r["entries"], r["first"]) for r in keyed.groupBy("part").applyInArrow(build, _WRITTEN).collect()}
+    # Parts may be empty.
+    return Table(folder, [found.get(k, ("", 0, 0)) for k in range(parts)], filter_bits, -1 not in found)
 
 
-def write_words(words: DataFrame, per: int = PART) -> tuple[str, DataFrame]:
-    """The folder of (word, n), and (word, number, n); n may be null for words that only pairs know."""
+def write_words(words: DataFrame, per: int = PART) -> Table:
+    """The table of (word, n), distinct words of a-z and 0-9; n may be null for words that only pairs know."""
     words = settle(words)
     parts = max(1, -(-words.count() // per))
-    dealt = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
-    inside = F.row_number().over(Window.partitionBy("part").orderBy("word"))
-    numbered = settle(dealt.withColumn("number", F.col("part") * _NUMBERS + inside - 1))
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = word_codes([w.encode() for w in rows["word"]])
-        return _packed(int(rows["part"].iloc[0]), low, high, rows["number"].to_numpy(np.int32), rows["n"].fillna(-1).to_numpy(np.int64))
-
-    folder = _new_folder(words)
-    numbered.groupBy("part").applyInPandas(build, _PACKED).write.parquet(folder)
-    return folder, numbered.drop("part")
-
-
-def write_pairs(pairs: DataFrame, numbered: DataFrame, per: int = PART) -> tuple[str, int]:
-    """The folder of (first, word, n) by the numbers of both words, and how many parts it has. A first word that was not counted has no pairs."""
-    first = numbered.filter("n IS NOT NULL").select(F.col("word").alias("first"), F.col("number").alias("_first"))
-    second = numbered.select("word", F.col("number").alias("_second"))
-    keyed = settle(pairs.join(first, "first").join(second, "word").select("_first", "_second", "n"))
-    parts = max(1, -(-keyed.count() // per))
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        low = rows["_first"].to_numpy(np.int64) << 32 | rows["_second"].to_numpy(np.int64)
-        return _packed(int(rows["part"].iloc[0]), low, None, None, rows["n"].to_numpy(np.int64))
-
-    folder = _new_folder(pairs)
-    dealt = keyed.withColumn("part", F.pmod(F.col("_first") * 31 + F.col("_second"), F.lit(parts)))
-    dealt.groupBy("part").applyInPandas(build, _PACKED).write.parquet(folder)
-    return folder, parts
-
-
-def _unpack(row: dict) -> Part:
-    low, high, number = (np.frombuffer(row[c], t) if row[c] else None for c, t in (("low", np.int64), ("high", np.int64), ("number", np.int32)))
-    n = np.frombuffer(row["n"], np.int32 if len(row["n"]) == 4 * len(low) else np.int64)
-    bits = _bits(len(low))
-    slots = np.append(0, np.cumsum(np.bincount(_slot(low, high, bits), minlength=1 << bits))).astype(np.int32)
-    return Part(row["part"], low, high, number, n, slots)
-
-
-def part_reader(folder: str) -> Callable[[], Iterator[Part]]:
-    """What a task calls for each stretch of texts: the parts below ``folder``, one after another."""
-    kept: list[Part] = []
-    state = {"all": False, "bytes": 0}
-
-    def parts() -> Iterator[Part]:
-        if state["all"]:
-            yield from kept
-            return
-        kept.clear()
-        state["bytes"] = 0
-        store, place = locate(folder)
-        for file in sorted(f.path for f in store.get_file_info(fs.FileSelector(place)) if f.base_name.endswith(".parquet")):
-            with pq.ParquetFile(store.open_input_file(file)) as opened:
-                for batch in opened.iter_batches(batch_size=1):
-                    for row in batch.to_pylist():
-                        part = _unpack(row)
-                        state["bytes"] += sum(c.nbytes for c in (part.low, part.high, part.number, part.n, part.slots) if c is not None)
-                        if state["bytes"] <= _KEEP:
-                            kept.append(part)
-                        yield part
-        state["all"] = state["bytes"] <= _KEEP
-        if not state["all"]:
-            kept.clear()
-
-    return parts
-
-
-def _found(part: Part, low: np.ndarray, high: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets, _ = _words_of(batch.column(0))
+            low, high = word_codes(data, offsets[1:], np.diff(offsets))
+            yield _keyed(_part(_hash(low, high), parts), low, high, pc.fill_null(batch.column(1), -1).to_numpy(zero_copy_only=False))
+
+    keyed = words.select("word", F.col("n").cast("long")).mapInArrow(run, _KEYED)
+    return _write(keyed, parts, True, _NUMBERS, _bits(_FILTER * min(per, PART) - 1))
+
+
+def _sides(pairs: pa.Array):
+    """(bytes, where first words begin and end, where second ones end, which rows) of the pairs of two usable words."""
+    data, offsets, null = _words_of(pairs)
+    blank = data == ord(" ")
+    odd = np.append(0, np.cumsum((_DIGIT[data] == 0) & ~blank))
+    blanks = np.append(0, np.cumsum(blank))
+    good = ~null & (odd[offsets[1:]] == odd[offsets[:-1]]) & (blanks[offsets[1:]] - blanks[offsets[:-1]] == 1)
+    row = np.flatnonzero(good)
+    middle = np.flatnonzero(blank)[blanks[offsets[:-1][row]]] if len(row) else np.zeros(0, np.int64)
+    first, second = middle - offsets[row], offsets[row + 1] - middle - 1
+    fit = (first >= 1) & (first <= MAX_WORD) & (second >= 1) & (second <= MAX_WORD)
+    return data, middle[fit], first[fit], second[fit], row[fit]
+
+
+def second_words(pairs: DataFrame) -> DataFrame:
+    """(word), the second words of (pair, n), of usable words both; a task names a word again in another batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *_, row = _sides(batch.column(0))
+            found = pc.list_element(pc.split_pattern(batch.column(0).take(pa.array(row)), " "), 1) if len(row) else pa.array([], pa.string())
+            yield pa.RecordBatch.from_arrays([found.unique().cast(pa.string())], ["word"])
+
+    return pairs.select("pair").mapInArrow(run, "word string")
+
+
+def write_pairs(pairs: DataFrame, words: Table, per: int = 4 * PART) -> Table:
+    """The table of (pair, n) by the numbers of both words. Pairs of other than usable words are left out, and those whose first word was not counted;
+    the table is not whole if ``words`` lacks a second word."""
+    parts = max(1, -(-pairs.count() // per))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = word_finder(words)
+        for batch in batches:
+            data, middle, first, second, row = _sides(batch.column(0))
+            (one, counted), (two, _) = (find(*word_codes(data, ends, size)) for ends, size in ((middle, first), (middle + 1 + second, second)))
+            n = pc.fill_null(batch.column(1).take(pa.array(row)), 0).to_numpy(zero_copy_only=False)
+            good = (counted > 0) & (n > 0)
+            lacks = np.zeros(int((two[good] < 0).any()), np.int64)
+            good &= two >= 0
+            key = one[good] << 32 | two[good]
+            part = np.append(_part(_hash(key, None), parts), lacks - 1)
+            yield _keyed(part, np.append(key, lacks), np.zeros(len(part), np.int64), np.append(n[good], lacks))
+
+    return _write(pairs.select("pair", F.col("n").cast("long")).mapInArrow(run, _KEYED), parts, False)
+
+
+def _mapped(folder: str, name: str):
+    store, place = locate(f"{folder}/{name}")
+    if isinstance(store, fs.LocalFileSystem):
+        with open(place, "rb") as file:
+            return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+    with store.open_input_stream(place) as source, tempfile.TemporaryFile() as file:
+        shutil.copyfileobj(source, file, 1 << 24)
+        file.flush()
+        return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+def _opened(table: Table, two: bool) -> tuple[list[Part | None], np.ndarray]:
+    """The parts, None for empty ones, and the filters of all parts."""
+    parts, filters = [], []
+    wide = (1 << table.filter_bits) // 8 if table.filter_bits else 0
+    for name, entries, first in table.parts:
+        if not entries:
+            parts.append(None)
+            filters.append(np.zeros(wide, np.uint8))
+            continue
+        file, at, sides = _mapped(table.folder, name), 0, []
+        for kind, size in [(np.int64, entries)] * (2 + two) + [(np.int32, (1 << _bits(entries)) + 1), (np.uint8, wide)]:
+            sides.append(np.frombuffer(file, kind, size, at))
+            at += sides[-1].nbytes
+        *keys, n, slots, flags = sides
+        parts.append(Part(keys[0], keys[1] if two else None, n, slots, first))
+        filters.append(flags)
+    return parts, np.concatenate(filters)
+
+
+def _found(part: Part, mixed: np.ndarray, low: np.ndarray, high: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """(which of the keys, where in the part) of the keys that the part has."""
-    slot = _slot(low, high, _bits(len(part.low)))
-    at, end = part.slots[slot], part.slots[slot + 1]
-    key = np.flatnonzero(at < end)
-    at, end = at[key], end[key]
-    keys, places = [], []
+    slot = _slot(mixed, _bits(len(part.low)))
+    at, last = part.slots.take(slot), len(part.low) - 1
+    # Most slots have one key; those of empty ones are met with the next slot's, which differs.
+    hit = part.low.take(at, mode="clip") == low
+    if high is not None:
+        hit &= part.high.take(at, mode="clip") == high
+    hit &= at <= last
+    keys, places = [np.flatnonzero(hit)], [at[hit]]
+    key = np.flatnonzero(~hit)
+    at, end = at[key] + 1, part.slots.take(slot[key] + 1)
     while len(key):
+        left = at < end
+        key, at, end = key[left], at[left], end[left]
         hit = part.low[at] == low[key]
         if high is not None:
             hit &= part.high[at] == high[key]
         keys.append(key[hit])
         places.append(at[hit])
-        at = at + 1
-        left = ~hit & (at < end)
-        key, at, end = key[left], at[left], end[left]
-    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, places))
-
-
-def word_finder(folder: str):
-    """A function of lists of word codes, as ``functions.splits`` makes them: number and count, -1 of words that are not known."""
-    parts = part_reader(folder)
-
-    def find(lows: list[np.ndarray], highs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-        low, high = np.concatenate(lows), np.concatenate(highs)
-        number, n = np.full(len(low), -1, np.int32), np.full(len(low), -1, np.int64)
-        for part in parts():
-            key, place = _found(part, low, high)
-            number[key], n[key] = part.number[place], part.n[place]
-        edges = np.cumsum([len(x) for x in lows])[:-1]
-        return list(zip(np.split(number, edges), np.split(n, edges)))
+        key, at, end = key[~hit], at[~hit] + 1, end[~hit]
+    return np.concatenate(keys), np.concatenate(places)
 
-    return find
 
+def _finder(table: Table, two: bool):
+    state: list = []
 
-def pair_finder(folder: str, n_parts: int):
-    """A function of lists of pair keys: their counts, 0 of pairs that are not known."""
-    parts = part_reader(folder)
+    def opened() -> tuple[list[Part | None], np.ndarray]:
+        if not state:
+            state.append(_opened(table, two))
+        return state[0]
 
-    def find(keys: list[np.ndarray]) -> list[np.ndarray]:
-        key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        n = np.zeros(len(key), np.int64)
-        mine = (((key >> 32) * 31 + (key & 0xFFFFFFFF)) % n_parts).astype(np.int16 if n_parts < 1 << 15 else np.int64)
+    def find(low: np.ndarray, high: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        number, n = np.full(len(low), -1, np.int64), np.full(len(low), -1, np.int64)
+        parts, mixed = opened()[0], _hash(low, high)
+        mine = _part(mixed, len(parts)).astype(np.int16 if len(parts) < 1 << 15 else np.int32)
+        # Keys of one part after another, so that a part is looked at once.
         order = np.argsort(mine, kind="stable")
-        edge = np.searchsorted(mine[order], np.arange(n_parts + 1))
-        for part in parts():
-            own = order[edge[part.part] : edge[part.part + 1]]
-            at, place = _found(part, key[own], None)
-            n[own[at]] = part.n[place]
-        return np.split(n, np.cumsum([len(k) for k in keys])[:-1]) if keys else []
-
-    return find
+        edge = np.append(0, np.cumsum(np.bincount(mine, minlength=len(parts)))).tolist()
+        for k, part in enumerate(parts):
+            if part is None or edge[k] == edge[k + 1]:
+                continue
+            if len(parts) == 1:
+                key, place = _found(part, mixed, low, high)
+            else:
+                own = order[edge[k] : edge[k + 1]]
+                key, place = _found(part, mixed.take(own), low.take(own), None if high is None else high.take(own))
+                key = own.take(key)
+            number[key], n[key] = part.first + place, part.n.take(place)
+        return number, n
+
+    return opened, find
+
+
+def word_finder(table: Table) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """A function of word codes, as ``functions.splits`` makes them: number and count, -1 of words that are not known."""
+    return _finder(table, True)[1]
+
+
+def word_filter(table: Table) -> Callable[[np.ndarray, np.ndarray | None], np.ndarray]:
+    """A function of word codes that tells fast which words may be known; of others some, but few, are told so, too."""
+    opened, _ = _finder(table, True)
+    bits = table.filter_bits
+
+    def may(low: np.ndarray, high: np.ndarray | None) -> np.ndarray:
+        parts, flags = opened()
+        mixed = _hash(low, high)
+        at = _slot(mixed, bits)
+        if len(parts) > 1:
+            at += _part(mixed, len(parts)) << bits
+        return flags[at >> 3] >> (at & 7).astype(np.uint8) & 1 != 0
+
+    return may
+
+
+def pair_finder(table: Table) -> Callable[[np.ndarray], np.ndarray]:
+    """A function of pair keys: their counts, -1 of pairs that are not known."""
+    find = _finder(table, False)[1]
+    return lambda key: find(key, None)[1]
