@@ -62,9 +62,10 @@ def probe_ranges(files: DataFrame, path: str = "path") -> Split:
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
     names, types = zip(*((n, kinds[t]) for n, t in (f.split() for f in PROBED.split(", "))))
     # A listing comes in tasks of a few dozen files, as if they were read whole; for their heads alone it is dealt anew. The number of
-    # tasks is given, since by its own few bytes it would be one.
+    # tasks is given, since by its own few bytes it would be one; it is written in as many files, which count as more than their bytes.
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probed = files.select(F.col(path).cast("string").alias("path")).repartition(parts, "path").mapInArrow(run, PROBED)
+    dealt = settle(files.select(F.col(path).cast("string").alias("path")).repartition(parts, "path"))
+    probed = dealt.mapInArrow(run, PROBED)
     seconds = F.try_divide(F.col("data_bytes").cast("double"), (F.col("block_align") * F.col("sample_rate").cast("long")).cast("double"))
     known = probed.filter("reason IS NULL").drop("reason").withColumn("duration", seconds)
     return Split(known, probed.filter("reason IS NOT NULL").select("path", "reason"))
